@@ -113,7 +113,7 @@ def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def summary_report(balances: DataFrame, fund_descriptions: DataFrame) -> DataFrame:
     """Balance (units times price) per person and fund, by source group of either account kind."""
-    keys = ["participant_id", "global_participant_id", "ssn", "fund_id"]
+    keys = ["participant_id", "global_participant_id", "ssn", "fundid"]
 
     def branch(group: str) -> DataFrame:
         valued = balances.filter(F.col(group).isNotNull()).select(
@@ -125,5 +125,5 @@ def summary_report(balances: DataFrame, fund_descriptions: DataFrame) -> DataFra
         return sums.select(*keys, *[decimal(c, 38, 9).alias(c) for c in SUMMARY_GROUPS.values()])
 
     both = branch("civilian_group").unionByName(branch("uniformed_group")).distinct()
-    described = lookup(both, fund_descriptions, [(F.col("fund_id"), "fund_id")], {"fund_description": "fund_description"})
-    return described.drop("fund_id")
+    described = lookup(both, fund_descriptions, [(F.col("fundid"), "fund_id")], {"fund_description": "fund_description"})
+    return described.drop("fundid")

@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from . import history, reshaping  # noqa: F401
+    from . import history, messages, reshaping  # noqa: F401

@@ -238,7 +238,7 @@ def summary_report(spark, sf_dir):
             F.col("o_custkey").cast("string").alias("participant_id"),
             F.concat(F.lit("g"), F.col("o_custkey").cast("string")).alias("global_participant_id"),
             F.col("c_name").alias("ssn"),
-            F.col("l_linenumber").cast("string").alias("fund_id"),
+            F.col("l_linenumber").cast("string").alias("fundid"),
             F.col("l_quantity").alias("fund_balance_units"),
             F.col("l_extendedprice").alias("price"),
             F.when(flag == "A", "Employee").when(flag == "N", "Automatic").alias("civilian_group"),
