@@ -88,23 +88,29 @@ def activity_detail(activity: DataFrame, funds: DataFrame, source_groups: DataFr
 
 
 def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Contribution columns to rows, each amount placed by the kind its activity maps to."""
-    long = stack_pairs(wide, ["part_ssn", "plan_year"], CONTRIBUTIONS, "activity", "value")
-    kinds = mapping.select(F.col("Activity").alias("_activity"), "Employee", "Automatic", "Matching")
-    placed = long.join(kinds, long.activity == kinds["_activity"])
-
-    def amount(kind: str, out: str):
-        mapped = F.col(kind).isNotNull() & (F.col(kind) != "")
-        return F.when(mapped, F.col("value")).cast("decimal(10,2)").alias(out)
+    """Contribution columns to rows, each amount placed by the kinds its activity maps to.
 
+    Only which kinds are marked matters, and the result is distinct, so the mapping shrinks to
+    at most eight rows for each known label. That bound is what makes its broadcast safe; a
+    shuffle on the few labels would put much of the data into one task.
+    """
+    long = stack_pairs(wide, ["part_ssn", "plan_year"], CONTRIBUTIONS, "activity", "value")
+    kinds = {"Employee": "employee_contribution", "Automatic": "agency_automatic", "Matching": "matching_dollar_contribution"}
+    marks = (
+        mapping.filter(F.col("Activity").isin(*[label for label, _ in CONTRIBUTIONS]))
+        .select(
+            F.col("Activity").alias("_activity"),
+            *[(F.col(kind).isNotNull() & (F.col(kind) != "")).alias(f"_{kind}") for kind in kinds],
+        )
+        .distinct()
+    )
+    placed = long.join(F.broadcast(marks), long.activity == marks["_activity"])
     return (
         placed.select(
             F.col("part_ssn").cast("bigint").alias("part_ssn"),
             F.col("plan_year").cast("bigint").alias("plan_year"),
             F.col("activity").cast("string").alias("activity"),
-            amount("Employee", "employee_contribution"),
-            amount("Automatic", "agency_automatic"),
-            amount("Matching", "matching_dollar_contribution"),
+            *[F.when(F.col(f"_{kind}"), F.col("value")).cast("decimal(10,2)").alias(out) for kind, out in kinds.items()],
         )
         .distinct()
         .orderBy("part_ssn", "plan_year", "activity")

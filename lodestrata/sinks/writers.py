@@ -174,7 +174,12 @@ def write_manifest(manifest_rows: DataFrame, trigger_path: str, index_path: str)
     manifest_rows.select("DataFileName").write.mode("overwrite").text(index_path)
 
 
-def split_malformed(rows: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the corrupt-record column, and the raw text of the bad ones."""
-    bad = rows.filter(F.col(corrupt).isNotNull())
-    return rows.filter(F.col(corrupt).isNull()).drop(corrupt), bad.select(corrupt)
+def split_malformed(rows: DataFrame, corrupt: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows without the corrupt-record column, and the bad ones with their raw text.
+
+    Both are written in one pass, as two partitions. Reading them from the text twice would
+    parse it twice, and each time only the columns asked for, missing errors in the others.
+    """
+    rows.withColumn("malformed", F.col(corrupt).isNotNull()).write.partitionBy("malformed").parquet(path)
+    stored = rows.sparkSession.read.schema(f"{rows.schema.toDDL()}, malformed boolean").parquet(path)
+    return stored.filter("NOT malformed").drop("malformed", corrupt), stored.filter("malformed").drop("malformed")

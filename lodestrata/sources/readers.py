@@ -48,6 +48,18 @@ def read_delimited(
     return reader.csv(path)
 
 
+def read_with_corrupt(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ",", header: bool = True
+) -> DataFrame:
+    """Delimited text where a malformed record keeps its raw text in ``_corrupt_record``.
+
+    Errors are found only in the columns a query reads: write all of them before splitting, as
+    ``split_malformed`` does.
+    """
+    wide = T.StructType([*_schema(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    return read_delimited(spark, path, wide, sep, header, columnNameOfCorruptRecord=CORRUPT)
+
+
 def typed(value: Column, to: T.DataType, date_format: str | None = None, timestamp_format: str | None = None) -> Column:
     """Text to a type, null where it does not fit."""
     if isinstance(to, T.DateType) and date_format:
@@ -116,7 +128,8 @@ def read_after_first_line(
         target = _schema(schema)
     located = text.select("value", "_metadata.file_path", "_metadata.file_block_start")
     body = located.mapInArrow(lambda batches: _without_first_lines(batches, skip + 1), "value string")
-    parsed = body.filter(F.col("value") != "").select(F.from_csv("value", target.simpleString()[7:-1], {"sep": sep}).alias("r"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target.fields)
+    parsed = body.filter(F.col("value") != "").select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
     return parsed.select("r.*")
 
 

@@ -66,7 +66,7 @@ def ingest_files(
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (
         spark.readStream.schema(wide)
-        .options(sep=sep, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False)
+        .options(sep=sep, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
         .option("maxFilesPerTrigger", max_files)
     )
     if archive:

@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_all() -> None:
-    from . import calendars, history, messages, reshaping  # noqa: F401
+    from . import calendars, checks, files, history, messages, nesting, reshaping  # noqa: F401

@@ -16,11 +16,11 @@ def _as_of() -> Column:
     return F.to_date(F.lit("2026-12-01"))
 
 
-def _priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").withColumn("o_totalprice", decimal("o_totalprice", 18, 2))
 
 
-def _order_feed(orders: DataFrame) -> DataFrame:
+def order_feed(orders: DataFrame) -> DataFrame:
     """Open orders with a new status and price, and pending orders reissued under new keys."""
     changed = orders.filter(F.col("o_orderstatus") == "O").withColumns(
         {"o_orderstatus": F.lit("F"), "o_totalprice": (F.col("o_totalprice") + 10).cast("decimal(18,2)")}
@@ -104,21 +104,22 @@ def latest_order_summary(spark, sf_dir):
     )
 
 
-@workload(
-    f"""
-    WITH {_FEED_SQL}
-    SELECT *, '20261201_000000' AS partition_load_dt_tmstmp,
-           TIMESTAMP '2026-12-01 00:00:00' AS audit_created_tmstmp, TIMESTAMP '2026-12-01 00:00:00' AS audit_updated_tmstmp,
-           'loader' AS audit_created_by, 'loader' AS audit_updated_by, 'orders' AS audit_data_source
-    FROM (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.o_orderkey = t.o_orderkey)
-          UNION ALL SELECT * FROM feed)
-    """
-)
+VERSIONED_MERGE_SQL = f"""
+WITH {_FEED_SQL}
+SELECT *, '20261201_000000' AS partition_load_dt_tmstmp,
+       TIMESTAMP '2026-12-01 00:00:00' AS audit_created_tmstmp, TIMESTAMP '2026-12-01 00:00:00' AS audit_updated_tmstmp,
+       'loader' AS audit_created_by, 'loader' AS audit_updated_by, 'orders' AS audit_data_source
+FROM (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.o_orderkey = t.o_orderkey)
+      UNION ALL SELECT * FROM feed)
+"""
+
+
+@workload(VERSIONED_MERGE_SQL)
 def merge_replace(spark, sf_dir):
-    orders = _priced_orders(spark, sf_dir)
+    orders = priced_orders(spark, sf_dir)
     at = F.lit("2026-12-01 00:00:00").cast("timestamp_ntz")
     stored = add_audit(stamp_load(orders, "20261130_000000"), at, "earlier", "orders")
-    return merge.merge_replace(stored, _order_feed(orders), ["o_orderkey"], "20261201_000000", at, "loader", "orders")
+    return merge.merge_replace(stored, order_feed(orders), ["o_orderkey"], "20261201_000000", at, "loader", "orders")
 
 
 _LINES_SQL = """
@@ -176,8 +177,8 @@ def delete_matching(spark, sf_dir):
     """
 )
 def merge_upsert(spark, sf_dir):
-    orders = _priced_orders(spark, sf_dir)
-    return merge.merge_upsert(orders, _order_feed(orders).drop("o_orderpriority"), ["o_orderkey"])
+    orders = priced_orders(spark, sf_dir)
+    return merge.merge_upsert(orders, order_feed(orders).drop("o_orderpriority"), ["o_orderkey"])
 
 
 _HISTORY_SQL = """
