@@ -83,6 +83,11 @@ def run_checks(datasets: Mapping[str, DataFrame], rules: Sequence[Mapping]) -> D
     return reduce(DataFrame.unionByName, results)
 
 
+def store_results(results: DataFrame, path: str, run_stamp: str) -> None:
+    """Append results to the metrics repository, under the stamp of their run."""
+    results.withColumn("run_stamp", F.lit(run_stamp)).write.mode("append").partitionBy("run_stamp").parquet(path)
+
+
 def control_totals(triggers: DataFrame) -> DataFrame:
     """Sums of the declared record counts and checksums, which trigger files hold as text."""
     return triggers.agg(

@@ -148,7 +148,15 @@ def _values(flat: Flattened, outer: str, inner: str, aggregates: Sequence[Column
 
 
 def _attach(rows: DataFrame, link: str, side: DataFrame, load: Sequence[str]) -> DataFrame:
-    return rows.join(side.withColumnRenamed("id", link), [link, *load], "left")
+    """Left join on a link that is null where a message lacks the array.
+
+    Rows without a link are spread by a hash of their header instead of meeting in one task;
+    ``_linked`` keeps them from matching anything.
+    """
+    spread = F.xxhash64("participant_id", "extracted_at", "ssn").cast("string")
+    linked = rows.withColumns({"_id": F.coalesce(F.col(link), spread), "_linked": F.col(link).isNotNull()})
+    keyed = side.withColumnRenamed("id", "_id").withColumn("_linked", F.lit(True))
+    return linked.join(keyed, ["_id", "_linked", *load], "left").drop("_id", "_linked")
 
 
 def _top_fields(flat: Flattened, top: DataFrame, fields: dict[str, str]) -> list[Column]:

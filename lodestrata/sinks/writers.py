@@ -39,6 +39,15 @@ def append(df: DataFrame, path: str, file_format: str = "parquet", **options: st
     df.write.format(file_format).options(**options).mode("append").save(path)
 
 
+def overwrite_bucketed(df: DataFrame, path: str, table: str, keys: Sequence[str], buckets: int) -> None:
+    """A table distributed by key, so that merges and history loads on that key need not shuffle it.
+
+    Rows are distributed before the write, which gives one file per bucket.
+    """
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+
+
 def write_quoted_csv(df: DataFrame, path: str) -> None:
     """CSV with every field quoted and its text unchanged."""
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

@@ -36,12 +36,13 @@ def _write_batch(batch: DataFrame, batch_id: int, target: str, quarantine: str)
     """Good files to the target and files with a malformed record to quarantine.
 
     Each batch has its own folder, written over when the batch is retried, so no row is added
-    twice.
+    twice. The bad files are at most the files of one batch, a number the reader is given, so
+    they can be broadcast and a large file's rows stay where they are.
     """
-    bad_files = batch.filter(F.col(CORRUPT).isNotNull()).select("_file").distinct()
+    bad_files = F.broadcast(batch.filter(F.col(CORRUPT).isNotNull()).select("_file").distinct())
     good = batch.join(bad_files, "_file", "left_anti").drop("_file", CORRUPT)
     good.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-    bad = batch.join(bad_files, "_file", "left_semi").withColumnRenamed("_file", "file_path")
+    bad = batch.join(bad_files, "_file", "left_semi").withColumnsRenamed({"_file": "file_path", CORRUPT: "raw_record"})
     bad.write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
 
 

@@ -9,6 +9,8 @@ from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date
 from ..operators import merge
 from ..operators.columns import LOAD_COLUMN, add_audit, between_checkpoints, stamp_load
 from ..operators.latest import latest_per_key, latest_value_rows
+from ..session import scratch_path
+from ..sinks.writers import overwrite_bucketed
 from . import table, workload
 
 
@@ -208,7 +210,7 @@ _HISTORY_SQL = """
 """
 
 
-def _loaded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _history_and_stage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     people = table(spark, sf_dir, "customer").select(
         "c_custkey",
         "c_name",
@@ -224,6 +226,11 @@ def _loaded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = people.filter(F.col("c_mktsegment") == "MACHINERY").withColumn("c_custkey", -F.col("c_custkey") - 1)
     fresh = fresh.withColumn("hash_key", hash_key("c_name", "c_custkey"))
     stage = merge.open_history(restated.unionByName(fresh), _as_of(), open_end_date(), "loader")
+    return hist, stage
+
+
+def _loaded_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist, stage = _history_and_stage(spark, sf_dir)
     return merge.scd2_load(hist, stage, ["hash_key"], _as_of())
 
 
@@ -237,6 +244,16 @@ def scd2_current(spark, sf_dir):
     return merge.current_rows(_loaded_history(spark, sf_dir))
 
 
+@workload(f"WITH {_HISTORY_SQL} SELECT * FROM loaded")
+def scd2_load_bucketed(spark, sf_dir):
+    """The history is stored by hash key, so only the staged keys are shuffled."""
+    hist, stage = _history_and_stage(spark, sf_dir)
+    path = scratch_path(spark, "history")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    overwrite_bucketed(hist, path, name, ["hash_key"], 8)
+    return merge.scd2_load(spark.table(name), stage, ["hash_key"], _as_of())
+
+
 @workload(
     """
     SELECT event_id, user_id, event_type, strftime(ts, '%Y%m%d_%H%M%S') AS partition_load_dt_tmstmp FROM events

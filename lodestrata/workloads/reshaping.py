@@ -196,7 +196,7 @@ def contributions_report(spark, sf_dir):
     wide = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("part_ssn"),
         F.year("l_shipdate").alias("plan_year"),
-        *[decimal(F.expr(_amount_sql(a)), 20, 2).alias(c) for a, (_, c) in zip(_AMOUNTS, reports.CONTRIBUTIONS)],
+        *[decimal(F.expr(_amount_sql(a)), 18, 2).alias(c) for a, (_, c) in zip(_AMOUNTS, reports.CONTRIBUTIONS)],
     )
     mapping = spark.createDataFrame(_MAPPING, "Activity string, Employee string, Automatic string, Matching string")
     return reports.contributions_report(wide, mapping)
