@@ -8,6 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(keys: Sequence[str]) -> Column:
+    """A hash of the key, to group by beside the key on the right side of a join.
+
+    It changes no group, but stops Spark from joining in the stage that ends the aggregation.
+    The join then reads plain exchanges on both sides, which is what AQE needs to split a
+    partition that one key of the left side fills.
+    """
+    return F.xxhash64(*keys).alias("_spread")
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key once, combined in every task before the shuffle, as the right side of a join."""
+    return df.select(*keys, spread(keys)).distinct().select(*keys)
+
+
 def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A left outer join that stays splittable when one key holds much of the right side.
 
@@ -16,7 +31,7 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     """
     keys = list(keys)
     matched = left.join(right, keys, "inner")
-    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    alone = left.join(distinct_keys(right, keys), keys, "left_anti")
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
     return matched.unionByName(alone.select("*", *missing))
 

@@ -3,8 +3,8 @@
 All functions are DataFrame to DataFrame. Store the result as a new table version
 (``sinks.versions``), never over the files it was read from.
 
-Skew: the side that may hold many rows of one key is always the left side of a left, semi or
-anti join, the side AQE can split; the other side holds each key once.
+Skew: the side that may hold many rows of one key is always the left side of a left or anti
+join, the side AQE can split; the other side holds each key once (``joins.distinct_keys``).
 """
 
 from __future__ import annotations
@@ -15,10 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import add_audit, drop_stamps, stamp_load
-
-
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+from .joins import distinct_keys, spread
 
 
 def delete_matching(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,7 +71,7 @@ def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     gathering its rows.
     """
     others = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row"))
+    counted = df.groupBy(*keys, spread(keys)).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row"))
     message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
     once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     restored = [F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]

@@ -457,10 +457,11 @@ def participant_balances(
     message is not a person message, or who has no balances, keeps one row without positions.
     """
     load = [c for c in [LOAD_COLUMN] if c in people.columns and c in balances.columns]
-    keyed = people.withColumn("_person", F.when(F.col("subtopic") == PERSON_SUBTOPIC, F.col("participant_id")))
-    positions = left_join_many(keyed, balances.withColumnRenamed("participant_id", "_person"), ["_person", *load])
     known = events.select(F.col("person_id").alias("participant_id"), "global_participant_id", "event_at")
-    rows = positions.join(known, ["participant_id"], "left")
+    keyed = people.join(known, ["participant_id"], "left").withColumn(
+        "_person", F.when(F.col("subtopic") == PERSON_SUBTOPIC, F.col("participant_id"))
+    )
+    rows = left_join_many(keyed, balances.withColumnRenamed("participant_id", "_person"), ["_person", *load])
     rows = lookup(rows, prices, [(F.col("fundid"), "fund_id")], {"price": "_price"})
     rows = lookup(rows, account_groups, [(F.col("accountid"), civilian_account)], {group: "_civilian_group"})
     rows = lookup(rows, account_groups, [(F.col("accountid"), uniformed_account)], {group: "_uniformed_group"})

@@ -200,9 +200,9 @@ def _balance_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             'subtopic', CASE WHEN l_linestatus = 'F' THEN 'DCUnitsRORContributions' ELSE 'Other' END),
           'definedContributionBenefits', named_struct('definedContributionPlans', array(
             named_struct('planAccountFundTable', CASE WHEN l_returnflag <> 'N' THEN array(
-              named_struct('fundId', cast(l_linenumber AS string), 'subFundId', l_returnflag, 'accountId', cast(l_linenumber + 1 AS string),
+              named_struct('fundId', cast(l_linenumber * 5 AS string), 'subFundId', l_returnflag, 'accountId', cast(l_linenumber + 1 AS string),
                            'planAccountFundBalanceUnits', l_quantity),
-              named_struct('fundId', cast(l_linenumber + 4 AS string), 'subFundId', l_returnflag, 'accountId', cast(l_linenumber + 2 AS string),
+              named_struct('fundId', cast(l_linenumber * 5 + 4 AS string), 'subFundId', l_returnflag, 'accountId', cast(l_linenumber + 2 AS string),
                            'planAccountFundBalanceUnits', l_quantity)) END)))
         ) AS message
         """,
@@ -214,12 +214,12 @@ _BALANCES_SQL = f"""
     lines AS (SELECT CAST(o_custkey AS VARCHAR) AS person, l_linenumber, l_returnflag, CAST(l_quantity AS DECIMAL(22,7)) AS units
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'F'),
     positions AS (
-      SELECT person, CAST(l_linenumber AS VARCHAR) AS fundid, l_returnflag AS subfundid, CAST(l_linenumber + 1 AS VARCHAR) AS accountid, units
+      SELECT person, CAST(l_linenumber * 5 AS VARCHAR) AS fundid, l_returnflag AS subfundid, CAST(l_linenumber + 1 AS VARCHAR) AS accountid, units
       FROM lines WHERE l_returnflag <> 'N'
-      UNION ALL SELECT person, CAST(l_linenumber + 4 AS VARCHAR), l_returnflag, CAST(l_linenumber + 2 AS VARCHAR), units FROM lines WHERE l_returnflag <> 'N'
+      UNION ALL SELECT person, CAST(l_linenumber * 5 + 4 AS VARCHAR), l_returnflag, CAST(l_linenumber + 2 AS VARCHAR), units FROM lines WHERE l_returnflag <> 'N'
       UNION ALL SELECT person, NULL, NULL, NULL, NULL FROM lines WHERE l_returnflag = 'N'),
     origins AS (SELECT message_id, unnest(CASE WHEN o_orderstatus = 'P' THEN ['a' || participant_id, 'b' || participant_id] ELSE [NULL] END) AS origin FROM latest),
-    prices AS (SELECT CAST(n_nationkey AS VARCHAR) AS fund_id, CAST(n_nationkey * 1.5 AS DECIMAL(12,6)) AS price FROM nation WHERE n_nationkey < 8),
+    prices AS (SELECT CAST(n_nationkey AS VARCHAR) AS fund_id, CAST(n_nationkey * 1.5 AS DECIMAL(12,6)) AS price FROM nation),
     kinds AS (SELECT CAST(r_regionkey AS VARCHAR) AS civ, CAST(r_regionkey + 3 AS VARCHAR) AS uni, r_name FROM region)
     SELECT DISTINCT participant_id, CASE WHEN person_id IS NOT NULL THEN 'g' || participant_id END AS global_participant_id,
            DATE '2026-12-01' AS record_start_date, DATE '9999-09-09' AS record_end_date, CAST(1 AS BIGINT) AS current_indicator,
@@ -235,7 +235,7 @@ _BALANCES_SQL = f"""
 
 
 def _balance_lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    prices = table(spark, sf_dir, "nation").filter("n_nationkey < 8").selectExpr("n_nationkey AS fund_id", "n_nationkey * 1.5 AS price")
+    prices = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS fund_id", "n_nationkey * 1.5 AS price")
     groups = table(spark, sf_dir, "region").selectExpr(
         "r_regionkey AS accountid_civilian", "r_regionkey + 3 AS accountid_uniform", "r_name AS `group`"
     )

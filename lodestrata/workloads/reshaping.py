@@ -70,7 +70,7 @@ def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("trade_date"),
         status.alias("std_usage_code_2"),
         F.when(flag == "R", flag).alias("reversal_code"),
-        F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), flag).alias("fund_id"),
+        F.concat(F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0"), flag).alias("fund_id"),
         decimal("l_quantity", 18, 2).alias("val_2"),
     )
 
@@ -81,7 +81,7 @@ _ACTIVITY_SQL = """
            CASE WHEN l_returnflag = 'A' OR l_linestatus = 'F' THEN l_returnflag || l_linestatus END AS title,
            CAST(l_shipdate AS DATE) AS trade_date, l_linestatus AS std_usage_code_2,
            CASE WHEN l_returnflag = 'R' THEN 'R' END AS reversal_code,
-           lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || l_returnflag AS fund_id,
+           lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2, '0') || l_returnflag AS fund_id,
            CAST(l_quantity AS DECIMAL(18,2)) AS val_2
     FROM lineitem)
 """
@@ -107,10 +107,10 @@ def activity_header(spark, sf_dir):
 @workload(
     f"""
     WITH {_ACTIVITY_SQL},
-    funds AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS fund_pos_12, n_name AS fund_short_name FROM nation WHERE n_nationkey < 6),
-    source_groups AS (SELECT CASE r_regionkey WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS fund_pos_3,
+    funds AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS fund_pos_12, n_name AS fund_short_name FROM nation),
+    source_groups AS (SELECT substring('ANRST', CAST(r_regionkey AS INTEGER) + 1, 1) AS fund_pos_3,
                              CASE r_regionkey WHEN 0 THEN 'Employee' WHEN 1 THEN 'automatic' ELSE 'MATCH' END AS group_name
-                      FROM region WHERE r_regionkey < 3)
+                      FROM region)
     SELECT part_ssn, trade_date AS post_date, CAST(NULL AS DATE) AS pay_date, title AS activity,
            std_usage_code_2 AS ae, reversal_code AS rv, fund_short_name AS fund,
            CAST(sum(CASE WHEN upper(group_name) = 'EMPLOYEE' THEN val_2 END) AS DECIMAL(10,2)) AS employee,
@@ -126,19 +126,13 @@ def activity_header(spark, sf_dir):
     """
 )
 def activity_detail(spark, sf_dir):
-    funds = (
-        table(spark, sf_dir, "nation")
-        .filter("n_nationkey < 6")
-        .select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("fund_pos_12"), F.col("n_name").alias("fund_short_name"))
+    funds = table(spark, sf_dir, "nation").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("fund_pos_12"), F.col("n_name").alias("fund_short_name")
     )
     region = F.col("r_regionkey")
-    source_groups = (
-        table(spark, sf_dir, "region")
-        .filter("r_regionkey < 3")
-        .select(
-            F.when(region == 0, "A").when(region == 1, "N").otherwise("R").alias("fund_pos_3"),
-            F.when(region == 0, "Employee").when(region == 1, "automatic").otherwise("MATCH").alias("group_name"),
-        )
+    source_groups = table(spark, sf_dir, "region").select(
+        F.expr("substring('ANRST', r_regionkey + 1, 1)").alias("fund_pos_3"),
+        F.when(region == 0, "Employee").when(region == 1, "automatic").otherwise("MATCH").alias("group_name"),
     )
     return reports.activity_detail(_activity(spark, sf_dir), funds, source_groups)
 
@@ -206,7 +200,7 @@ def contributions_report(spark, sf_dir):
     """
     WITH balances AS (
       SELECT CAST(o_custkey AS VARCHAR) AS participant_id, 'g' || CAST(o_custkey AS VARCHAR) AS global_participant_id, c_name AS ssn,
-             CAST(l_linenumber AS VARCHAR) AS fund_id, CAST(l_quantity AS DECIMAL(22,7)) AS units, CAST(l_extendedprice AS DECIMAL(14,2)) AS price,
+             CAST(l_linenumber * 5 AS VARCHAR) AS fund_id, CAST(l_quantity AS DECIMAL(22,7)) AS units, CAST(l_extendedprice AS DECIMAL(14,2)) AS price,
              CASE l_returnflag WHEN 'A' THEN 'Employee' WHEN 'N' THEN 'Automatic' END AS civilian_group,
              CASE l_linestatus WHEN 'F' THEN 'Match' ELSE 'Employee' END AS uniformed_group
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
@@ -223,7 +217,7 @@ def contributions_report(spark, sf_dir):
                CAST(sum(amount) FILTER (WHERE grp = 'Match') AS DECIMAL(38,9)) AS match
         FROM branches GROUP BY ALL))
     SELECT participant_id, global_participant_id, ssn, employee, automatic, match, n_name AS fund_description
-    FROM pivoted LEFT JOIN nation ON fund_id = CAST(n_nationkey AS VARCHAR) AND n_nationkey < 6
+    FROM pivoted LEFT JOIN nation ON fund_id = CAST(n_nationkey AS VARCHAR)
     """
 )
 def summary_report(spark, sf_dir):
@@ -238,17 +232,15 @@ def summary_report(spark, sf_dir):
             F.col("o_custkey").cast("string").alias("participant_id"),
             F.concat(F.lit("g"), F.col("o_custkey").cast("string")).alias("global_participant_id"),
             F.col("c_name").alias("ssn"),
-            F.col("l_linenumber").cast("string").alias("fundid"),
+            (F.col("l_linenumber") * 5).cast("string").alias("fundid"),
             F.col("l_quantity").alias("fund_balance_units"),
             F.col("l_extendedprice").alias("price"),
             F.when(flag == "A", "Employee").when(flag == "N", "Automatic").alias("civilian_group"),
             F.when(F.col("l_linestatus") == "F", "Match").otherwise("Employee").alias("uniformed_group"),
         )
     )
-    descriptions = (
-        table(spark, sf_dir, "nation")
-        .filter("n_nationkey < 6")
-        .select(F.col("n_nationkey").alias("fund_id"), F.col("n_name").alias("fund_description"))
+    descriptions = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("fund_id"), F.col("n_name").alias("fund_description")
     )
     return reports.summary_report(balances, descriptions)
 

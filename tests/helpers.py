@@ -8,3 +8,10 @@ def rows(df):
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df) -> str:
+    """The physical plan after AQE has run it."""
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    return executed.toString().split("Initial Plan")[0]

@@ -5,7 +5,7 @@ from lodestrata.operators import merge
 from lodestrata.operators.columns import AUDIT_COLUMNS, LOAD_COLUMN, add_audit, stamp_load
 from lodestrata.operators.joins import left_join_many, lookup
 from lodestrata.sinks.writers import overwrite_bucketed
-from tests.helpers import plan, rows
+from tests.helpers import final_plan, plan, rows
 
 
 def frame(spark, values, ddl="k int, v string"):
@@ -115,3 +115,39 @@ def test_lookup_compares_as_text(spark):
     table = spark.createDataFrame([("1", "one"), ("3", "three")], "code string, name string")
     got = lookup(frame(spark, [(1, "a"), (2, "b"), (None, "c")]), table, [(F.col("k"), "code")], {"name": "label"})
     assert rows(got) == [(None, "c", None), (1, "a", "one"), (2, "b", None)]
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Thresholds at which test data counts as skewed, and no broadcasts."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_key_with_a_third_of_the_rows_is_split(spark, small_limits, hot):
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id")).cast("bigint")
+    target = spark.range(200_000).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(16)
+    stage = spark.range(100_000).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    hot_rows, staged, absent = 66_667, 66_666, 33_334
+    deleted = merge.delete_matching(target, stage, ["k"])
+    assert "skew=true" in final_plan(deleted)
+    assert deleted.count() == 200_000 - staged - (0 if hot is None else hot_rows)
+    upserted = merge.merge_upsert(target, stage, ["k"])
+    assert "skew=true" in final_plan(upserted)
+    assert upserted.count() == 200_000 + absent
+    if hot is not None:
+        many = left_join_many(stage, target.withColumnRenamed("v", "w"), ["k"])
+        assert "skew=true" in final_plan(many)
+        assert many.count() == staged + hot_rows + absent
