@@ -41,6 +41,7 @@ PERSON_VALUES = {
 }
 CIVILIAN_MARK, UNIFORMED_MARK = "C-PAYROLL-OFF-NUM", "U-PAYROLL-OFF-NUM"
 PERSON_SUBTOPIC, BALANCE_SUBTOPIC = "PersonWorker", "DCUnitsRORContributions"
+UPDATE_USER = "glue"
 
 # Message fields, by output column.
 HEADER_FIELDS = {
@@ -314,7 +315,7 @@ def _validity(as_of: Column, user_id: str) -> dict[str, Column]:
     }
 
 
-def participant_header(people: DataFrame, as_of: Column, user_id: str = "glue") -> DataFrame:
+def participant_header(people: DataFrame, as_of: Column, user_id: str = UPDATE_USER) -> DataFrame:
     """One row per person and header values, the greatest value of each attribute."""
     validity = _validity(as_of, user_id)
     person = ["participant_id", "global_participant_id", "ssn", "birth_date"]
@@ -348,7 +349,7 @@ def participant_history(
     created: DataFrame,
     updated: DataFrame,
     as_of: Column,
-    user_id: str = "glue",
+    user_id: str = UPDATE_USER,
     source_zone: str | None = None,
 ) -> DataFrame:
     """Current history rows of people whose latest event created or updated them.
@@ -449,7 +450,7 @@ def participant_balances(
     uniformed_account: str = "accountid_uniform",
     group: str = "group",
     fund_descriptions: DataFrame | None = None,
-    user_id: str = "glue",
+    user_id: str = UPDATE_USER,
 ) -> DataFrame:
     """Fund positions of every person with prices and account groups.
 

@@ -8,10 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.columns import LOAD_COLUMN
-from ..sources.readers import listed_files
+from ..sources.readers import listed_files, read_parquet_merged
 
 # Fixed values.
 TARGET_FILE_BYTES = 2_097_152
@@ -42,7 +41,8 @@ def append(df: DataFrame, path: str, file_format: str = "parquet", **options: st
 def overwrite_bucketed(df: DataFrame, path: str, table: str, keys: Sequence[str], buckets: int) -> None:
     """A table distributed by key, so that merges and history loads on that key need not shuffle it.
 
-    Rows are distributed before the write, which gives one file per bucket.
+    Rows are distributed before the write, which gives one file per bucket. A bucket is one task
+    and is not split, so choose keys that no large share of the rows has in common.
     """
     spread = df.repartition(buckets, *keys)
     spread.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
@@ -67,10 +67,17 @@ def sync_tables(
         overwrite(source, f"{path}/{name}", file_format)
 
 
-def register_external_table(spark: SparkSession, table: str, path: str, schema: T.StructType, partition: str) -> None:
-    """A table over files already written, partitioned by one text column, its partitions found."""
-    fields = [f for f in schema.fields if f.name != partition]
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+def register_external_table(spark: SparkSession, table: str, path: str, partition: str) -> None:
+    """A table over Parquet files already written, partitioned by one text column.
+
+    Its columns are the union of those in the files. A table whose columns have fallen behind is
+    declared anew; its files are not touched. Then the partitions on storage are found.
+    """
+    fields = [f for f in read_parquet_merged(spark, path).schema.fields if f.name != partition]
+    wanted = [(f.name, f.dataType.simpleString()) for f in fields]
+    if spark.catalog.tableExists(table) and [d for d in spark.table(table).dtypes if d[0] != partition] != wanted:
+        spark.sql(f"DROP TABLE {table}")
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in wanted)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` string) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {table}")
 

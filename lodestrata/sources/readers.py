@@ -191,10 +191,20 @@ def latest_partition(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) == F.lit(max(values)).cast(df.schema[column].dataType))
 
 
-def latest_file(spark: SparkSession, path: str, file_format: str, schema: T.StructType, **options: str | bool) -> DataFrame:
-    """The file with the greatest name below a path."""
-    reader = spark.read.format(file_format).options(**options).schema(schema)
-    return reader.load(max(reader.option("recursiveFileLookup", True).load(path).inputFiles()))
+def read_latest_file(
+    spark: SparkSession,
+    path: str,
+    file_format: str = "csv",
+    schema: T.StructType | str | None = None,
+    pattern: str = "*",
+    **options: str | bool,
+) -> DataFrame:
+    """The file with the greatest path below a folder; only names are read to find it."""
+    newest = listed_files(spark, path, pattern).agg(F.max("path")).first()[0]
+    if newest is None:
+        raise ValueError(f"no files {pattern} below {path}")
+    reader = spark.read.format(file_format).options(**options)
+    return (reader.option("inferSchema", True) if schema is None else reader.schema(_schema(schema))).load(newest)
 
 
 def read_by_extension(spark: SparkSession, path: str, schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:

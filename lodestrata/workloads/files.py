@@ -168,9 +168,9 @@ def scan_merge_schema(spark, sf_dir):
     return readers.read_parquet_merged(spark, path)
 
 
-@workload("SELECT r.* FROM region r")
+@workload("SELECT * FROM orders")
 def scan_by_extension_parquet(spark, sf_dir):
-    return readers.read_by_extension(spark, f"{sf_dir}/region.parquet")
+    return readers.read_by_extension(spark, f"{sf_dir}/orders.parquet")
 
 
 @workload(_CUSTOMER_SQL)
@@ -214,7 +214,7 @@ def external_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     writers.overwrite_partitions(orders, path, ["o_orderstatus"])
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    writers.register_external_table(spark, name, path, spark.read.parquet(path).schema, "o_orderstatus")
+    writers.register_external_table(spark, name, path, "o_orderstatus")
     return spark.table(name)
 
 

@@ -21,6 +21,16 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
     assert spark.table("dynamic_table").count() >= 1
 
 
+def test_external_table_follows_its_files(spark, tmp_path):
+    path = str(tmp_path / "e")
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{path}/p=x")
+    writers.register_external_table(spark, "external_files", path, "p")
+    assert rows(spark.table("external_files")) == [(1, "x")]
+    spark.createDataFrame([(2, "n")], "a int, b string").write.parquet(f"{path}/p=y")
+    writers.register_external_table(spark, "external_files", path, "p")
+    assert rows(spark.table("external_files")) == [(1, None, "x"), (2, "n", "y")]
+
+
 def test_versions_replace_whole_tables(spark, tmp_path):
     base = str(tmp_path / "v")
     assert writers.current_version(spark, base) is None

@@ -111,8 +111,10 @@ def test_latest_partition_prunes(spark, tmp_path):
 def test_latest_file(spark, tmp_path):
     for day in ("20260101", "20260102"):
         (tmp_path / f"{day}.csv").write_text(f"d\n{day}\n")
-    got = readers.latest_file(spark, str(tmp_path), "csv", T.StructType.fromDDL("d string"), header=True)
-    assert rows(got) == [("20260102",)]
+    assert rows(readers.read_latest_file(spark, str(tmp_path), header=True)) == [(20260102,)]
+    assert rows(readers.read_latest_file(spark, str(tmp_path), schema="d varchar(8)", header=True)) == [("20260102",)]
+    with pytest.raises(ValueError, match="no files"):
+        readers.read_latest_file(spark, str(tmp_path), pattern="*.dat")
 
 
 def test_by_extension(spark, tmp_path):
