@@ -35,10 +35,18 @@ def null_safe_total(*parts: Column) -> Column:
     return total
 
 
+def sums_by_value(on: Column, values: Mapping[str, str], amount: Column, prefix: str = "") -> list[Column]:
+    """One conditional sum per listed value; null where the value does not occur."""
+    return [F.sum(F.when(on == value, amount)).alias(f"{prefix}{out}") for value, out in values.items()]
+
+
 def pivot_sum(df: DataFrame, keys: Sequence[str], on: str, values: Mapping[str, str], amount: str) -> DataFrame:
-    """Sum of an amount per listed value, one column each; the list is fixed, so no extra pass."""
-    pivoted = df.groupBy(*keys).pivot(on, list(values)).agg(F.sum(amount))
-    return pivoted.withColumnsRenamed(dict(values))
+    """Sum of an amount per listed value, one column each.
+
+    The list is fixed, so conditional sums give the pivot in one shuffle; ``pivot`` would
+    aggregate by key and value first and shuffle twice.
+    """
+    return df.groupBy(*keys).agg(*sums_by_value(F.col(on), values, F.col(amount)))
 
 
 def stack_pairs(df: DataFrame, keep: Sequence[str], pairs: Sequence[tuple[str, str]], label: str, value: str) -> DataFrame:

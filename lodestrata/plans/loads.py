@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +34,19 @@ def load_flattened(
     keys: Sequence[str] = (),
     staging_path: str | None = None,
     table: str | None = None,
+    at_once: int = 4,
 ) -> list[str]:
-    """Flatten nested records and land every table as ``<path>_<name>``; the names are returned."""
+    """Flatten nested records and land every table as ``<path>_<name>``; the names are returned.
+
+    A few tables are written at once, so that small ones use the executors a large one leaves idle.
+    """
     flattened = relationalize(df, keys=keys, staging_path=staging_path)
-    for name, frame in flattened.items():
-        load_raw(frame, f"{path}_{name}", run_stamp, at, by, source, f"{table}_{name}" if table else None)
+
+    def land(name: str) -> None:
+        load_raw(flattened[name], f"{path}_{name}", run_stamp, at, by, source, f"{table}_{name}" if table else None)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(inheritable_thread_target(df.sparkSession)(land), flattened))
     return list(flattened)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import decimal
 from ..operators.columns import constant
 from ..operators.joins import lookup
-from ..operators.reshape import conditional_sums, null_safe_total, pivot_sum, stack_pairs
+from ..operators.reshape import conditional_sums, null_safe_total, stack_pairs, sums_by_value
 
 # Labels and source columns of the contribution kinds.
 CONTRIBUTIONS = [
@@ -119,18 +119,24 @@ def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def summary_report(balances: DataFrame, fund_descriptions: DataFrame) -> DataFrame:
-    """Balance (units times price) per person and fund, by source group of either account kind."""
-    keys = ["participant_id", "global_participant_id", "ssn", "fundid"]
-
-    def branch(group: str) -> DataFrame:
-        valued = balances.filter(F.col(group).isNotNull()).select(
-            *keys,
-            F.col(group).alias("_group"),
-            (decimal("fund_balance_units", 22, 7) * decimal("price", 14, 2)).alias("fund_balance"),
-        )
-        sums = pivot_sum(valued, keys, "_group", SUMMARY_GROUPS, "fund_balance")
-        return sums.select(*keys, *[decimal(c, 38, 9).alias(c) for c in SUMMARY_GROUPS.values()])
+    """Balance (units times price) per person and fund, by source group of either account kind.
 
-    both = branch("civilian_group").unionByName(branch("uniformed_group")).distinct()
-    described = lookup(both, fund_descriptions, [(F.col("fundid"), "fund_id")], {"fund_description": "fund_description"})
+    The report is the distinct union of a pivot by civilian group and one by uniformed group.
+    Rows of both pivots with the same person and fund come from the same group here, so one
+    aggregation gives both, and rows that agree are dropped within it.
+    """
+    keys = ["participant_id", "global_participant_id", "ssn", "fundid"]
+    kinds = ("civilian_group", "uniformed_group")
+    amount = decimal("fund_balance_units", 22, 7) * decimal("price", 14, 2)
+    aggregates = [c for kind in kinds for c in sums_by_value(F.col(kind), SUMMARY_GROUPS, F.col("_amount"), f"{kind}_")]
+    present = [F.count(kind).alias(f"{kind}_rows") for kind in kinds]
+    sums = balances.withColumn("_amount", amount).groupBy(*keys).agg(*aggregates, *present)
+
+    def pivoted(kind: str) -> Column:
+        cells = [decimal(f"{kind}_{out}", 38, 9).alias(out) for out in SUMMARY_GROUPS.values()]
+        return F.when(F.col(f"{kind}_rows") > 0, F.struct(*cells))
+
+    both = F.array_distinct(F.array_compact(F.array(*[pivoted(kind) for kind in kinds])))
+    rows = sums.select(*keys, F.explode(both).alias("_sums")).select(*keys, "_sums.*")
+    described = lookup(rows, fund_descriptions, [(F.col("fundid"), "fund_id")], {"fund_description": "fund_description"})
     return described.drop("fundid")
