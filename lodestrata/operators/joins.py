@@ -28,12 +28,22 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
     Spark cannot split the right side of an outer join. The inner part can be split on both
     sides; left rows without a match come from an anti join against the distinct keys.
+
+    Both parts join on a struct of the keys. A struct is never null, so Spark adds no null filter
+    to one part only, and the left side is computed and shuffled once for both. Right rows with
+    a null key are left out first, so that no such struct matches.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "inner")
-    alone = left.join(distinct_keys(right, keys), keys, "left_anti")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
-    return matched.unionByName(alone.select("*", *missing))
+    key = F.struct(*[F.col(k).cast(left.schema[k].dataType) for k in keys]).alias("_key")
+    values = [f for f in right.schema.fields if f.name not in keys]
+    many = right.dropna(subset=keys).select(key, *[F.col(f.name) for f in values])
+    keyed = left.select("*", key)
+    matched = keyed.join(many, "_key", "inner")
+    alone = keyed.join(distinct_keys(many, ["_key"]), "_key", "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in values]
+    both = matched.unionByName(alone.select("*", *missing))
+    others = [c for c in left.columns if c not in keys]
+    return both.select(*keys, *others, *[f.name for f in values])
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[tuple[Column, str]], take: dict[str, str]) -> DataFrame:
