@@ -60,20 +60,20 @@ def load_merged(
     by: str,
     audit_source: str,
     partition_keys: Sequence[str] = (),
-    table: str | None = None,
+    view: str | None = None,
 ) -> str:
     """Merge a batch into the current version of a table and store the result as the next one."""
     merged = merge.merge_replace(writers.current_version(spark, base), source, keys, run_stamp, at, by, audit_source)
-    return writers.write_version(merged, base, run_stamp, table, partition_keys)
+    return writers.write_version(merged, base, run_stamp, view, partition_keys)
 
 
 def load_history(
-    spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str, table: str | None = None
+    spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str, view: str | None = None
 ) -> str:
     """Close and add history rows in the current version, stored as the next one."""
     current = writers.current_version(spark, base)
     history = stage if current is None else merge.scd2_load(current, stage, keys, as_of)
-    return writers.write_version(history, base, run_stamp, table)
+    return writers.write_version(history, base, run_stamp, view)
 
 
 def transform_sql(spark: SparkSession, text: str, inputs: Mapping[str, DataFrame], **arguments: object) -> DataFrame:

@@ -359,25 +359,18 @@ def participant_history(
     """
     wanted = people.filter(F.col("participant_id").isNotNull() & (F.col("subtopic") == PERSON_SUBTOPIC))
 
-    def branch(events: DataFrame, kind: EventKind) -> DataFrame:
-        acted = events.filter(F.col("action") == kind.action).withColumnRenamed("person_id", "participant_id")
-        return wanted.join(acted, "participant_id")
-
+    acted = created.filter(F.col("action") == CREATED.action).unionByName(updated.filter(F.col("action") == UPDATED.action))
     keys = {
         "participant_id": F.col("participant_id"),
         "global_participant_id": F.col("global_participant_id"),
         "hash_key": hash_key("global_participant_id", "participant_id", "ssn"),
         "age": age_in_years(F.col("birth_date").try_cast("date"), as_of),
     }
-    rows = (
-        branch(created, CREATED)
-        .unionByName(branch(updated, UPDATED))
-        .withColumns(
-            {
-                "sourcesystemextractiontimestamp": parse_offset_timestamp("extracted_at", source_zone),
-                "messageTimestamp": parse_offset_timestamp("event_at", source_zone),
-            }
-        )
+    rows = wanted.join(acted.withColumnRenamed("person_id", "participant_id"), "participant_id").withColumns(
+        {
+            "sourcesystemextractiontimestamp": parse_offset_timestamp("extracted_at", source_zone),
+            "messageTimestamp": parse_offset_timestamp("event_at", source_zone),
+        }
     )
     collapsed = rows.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(*[F.max(c).alias(c) for c in HISTORY_MAXIMA])
     return collapsed.withColumns(_validity(as_of, user_id))

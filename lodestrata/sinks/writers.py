@@ -85,22 +85,19 @@ def register_external_table(spark: SparkSession, table: str, path: str, partitio
 # --- versions -------------------------------------------------------------------------------
 
 
-def write_version(df: DataFrame, base: str, version: str, table: str | None = None, keys: Sequence[str] = ()) -> str:
+def write_version(df: DataFrame, base: str, version: str, view: str | None = None, keys: Sequence[str] = ()) -> str:
     """Write a whole table as a new version beside the old ones, then make it current.
 
     A merge reads the current version while it writes the next, so nothing is written over its
-    own input. The version log is only appended to, after the data is complete.
+    own input. The version log is only appended to, after the data is complete; a view, when
+    named, is then switched to the new version.
     """
     path = f"{base}/version={version}"
     df.write.mode("errorifexists").partitionBy(*keys).parquet(path)
     spark = df.sparkSession
     spark.createDataFrame([(version, path)], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
-    if table:
-        if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
-        else:
-            spark.catalog.createTable(table, path, "parquet")
+    if view:
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +86,11 @@ def _framed(batches: Iterator[pa.RecordBatch], first: list[str], between: str, l
     """Lines of one file: leading lines, the rows with a separator before all but the first, closing lines."""
     started = False
     for batch in batches:
-        lines = [between + line if started or i else line for i, line in enumerate(batch.column(0).to_pylist())]
-        yield pa.RecordBatch.from_pydict({"value": ([] if started else first) + lines})
-        started = True
+        lines = pc.binary_join_element_wise(pa.scalar(between), batch.column(0), "")
+        if not started and len(batch):
+            yield pa.RecordBatch.from_pydict({"value": [*first, batch.column(0)[0].as_py()]})
+            started, lines = True, lines.slice(1)
+        yield pa.RecordBatch.from_pydict({"value": lines})
     if started and last:
         yield pa.RecordBatch.from_pydict({"value": last})
 
@@ -101,7 +104,7 @@ def scan_skip_first(spark, sf_dir):
     path = scratch_path(spark, "skip")
     lines = table(spark, sf_dir, "customer").select(F.concat_ws(";", "c_custkey", "c_name", "c_mktsegment").alias("value"))
     lead = ["extract of the day", "c_custkey;c_name;c_mktsegment"]
-    lines.repartition(4, "value").mapInArrow(lambda b: _framed(b, lead, "", []), "value string").write.text(path)
+    lines.repartition("value").mapInArrow(lambda b: _framed(b, lead, "", []), "value string").write.text(path)
     return readers.read_after_first_line(spark, path, sep=";")
 
 

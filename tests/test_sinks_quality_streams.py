@@ -37,11 +37,11 @@ def test_versions_replace_whole_tables(spark, tmp_path):
     at = F.lit("2026-12-01").cast("timestamp")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     second = spark.createDataFrame([(2, "x"), (3, "y")], "k int, v string")
-    loads.load_merged(spark, first, base, ["k"], "20260101_000000", at, "me", "s", table="versioned_table")
-    loads.load_merged(spark, second, base, ["k"], "20260102_000000", at, "me", "s", table="versioned_table")
+    loads.load_merged(spark, first, base, ["k"], "20260101_000000", at, "me", "s", ["v"], view="versioned_view")
+    loads.load_merged(spark, second, base, ["k"], "20260102_000000", at, "me", "s", ["v"], view="versioned_view")
     expected = [(1, "a", "20260102_000000"), (2, "x", "20260102_000000"), (3, "y", "20260102_000000")]
     assert rows(writers.current_version(spark, base).select("k", "v", LOAD_COLUMN)) == expected
-    assert rows(spark.table("versioned_table").select("k", "v", LOAD_COLUMN)) == expected
+    assert rows(spark.table("versioned_view").select("k", "v", LOAD_COLUMN)) == expected
 
 
 def test_history_load_starts_empty(spark, tmp_path):
