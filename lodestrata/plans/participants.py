@@ -8,7 +8,7 @@ and needs none of the shuffles that rejoining the linked tables costs; both give
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date, parse_offset_timestamp
 from ..operators.columns import LOAD_COLUMN, constant
 from ..operators.joins import left_join_many, lookup
-from ..operators.latest import latest_per_key, latest_value_rows
+from ..operators.latest import latest_per_key
 from ..operators.nested import find_table
 from ..operators.reshape import attribute_columns
 
@@ -132,6 +132,16 @@ class Flattened:
         """The load column, when tables of several loads lie together."""
         return [LOAD_COLUMN] if LOAD_COLUMN in self.top().columns else []
 
+    def last_load(self, stamp: str | None = None) -> Flattened:
+        """Only the root's latest load, in every table, so that no table scans older partitions.
+
+        Pass the stamp when it is known, for example from ``latest_partition_value``; otherwise
+        the root is asked for its greatest. With one load left, tables are linked by id alone.
+        """
+        newest = F.lit(stamp) if stamp else self.top().agg(F.max(LOAD_COLUMN)).scalar()
+        only = {name: df.filter(F.col(LOAD_COLUMN) == newest).drop(LOAD_COLUMN) for name, df in self.tables.items()}
+        return replace(self, tables=only)
+
 
 # --- people, from linked tables -------------------------------------------------------------
 
@@ -172,13 +182,10 @@ def _employment_columns(category: Column, value: Column, begin: Column) -> list[
     ]
 
 
-def latest_top(flat: Flattened, last_load_only: bool, tie_break: Sequence[str]) -> DataFrame:
+def latest_top(flat: Flattened, tie_break: Sequence[str]) -> DataFrame:
     """The latest message of each person among the root rows."""
-    top = flat.top()
-    if last_load_only and flat.load():
-        top = latest_value_rows(top, LOAD_COLUMN)
     at = parse_offset_timestamp(flat.name(HEADER_FIELDS["extracted_at"]))
-    return latest_per_key(top, [flat.name(HEADER_FIELDS["participant_id"])], at, [F.col(c) for c in tie_break])
+    return latest_per_key(flat.top(), [flat.name(HEADER_FIELDS["participant_id"])], at, [F.col(c) for c in tie_break])
 
 
 def people_from_tables(flat: Flattened, top: DataFrame | None = None) -> DataFrame:
@@ -228,12 +235,8 @@ def _greatest(rows: Column, name: str, value: str, wanted: dict[str, list[str]])
     return [F.array_max(among(codes)).alias(out) for out, codes in wanted.items()]
 
 
-def latest_messages(
-    messages: DataFrame, tie_break: Sequence[str], message: str = "message", last_load_only: bool = False
-) -> DataFrame:
+def latest_messages(messages: DataFrame, tie_break: Sequence[str], message: str = "message") -> DataFrame:
     """The latest message of each person."""
-    if last_load_only and LOAD_COLUMN in messages.columns:
-        messages = latest_value_rows(messages, LOAD_COLUMN)
     at = parse_offset_timestamp(f"{message}.{HEADER_FIELDS['extracted_at']}")
     person = messages.withColumn("_person", F.col(f"{message}.{HEADER_FIELDS['participant_id']}"))
     return latest_per_key(person, ["_person"], at, [F.col(c) for c in tie_break]).drop("_person")
@@ -387,7 +390,7 @@ def balance_people_from_tables(flat: Flattened, tie_break: Sequence[str]) -> Dat
         [F.max(name == CIVILIAN_MARK).alias("civilian"), F.max(name == UNIFORMED_MARK).alias("uniformed")],
     )
     origins = flat.child(ACCOUNTS).select("id", *load, F.col(flat.name(f"{ACCOUNTS}.val.{ORIGINATING}")).alias("originatingpersoninternalid"))
-    top = latest_top(flat, False, tie_break)
+    top = latest_top(flat, tie_break)
     rows = top.select(*load, flat.name(ATTRIBUTES), flat.name(ACCOUNTS), *_top_fields(flat, top, HEADER_FIELDS))
     rows = _attach(rows, flat.name(ATTRIBUTES), marks, load)
     rows = _attach(rows, flat.name(ACCOUNTS), origins.distinct(), load)

@@ -179,16 +179,20 @@ def read_parquet_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def latest_partition_value(df: DataFrame, column: str) -> str:
+    """The greatest value of a partition column, from the file names the scan has listed already."""
+    values = [part.split("=", 1)[1] for file in df.inputFiles() for part in file.split("/") if part.startswith(f"{column}=")]
+    if not values:
+        raise ValueError(f"no files partitioned by {column}")
+    return max(values)
+
+
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
     """Rows of the greatest value of a partition column.
 
-    The value comes from the file names the scan has listed already, so no data is read to find
-    it, and the filter on it prunes all other partitions.
+    No data is read to find the value, and the filter on it prunes all other partitions.
     """
-    values = [part.split("=", 1)[1] for file in df.inputFiles() for part in file.split("/") if part.startswith(f"{column}=")]
-    if not values:
-        raise ValueError(f"no files partitioned by {column}")
-    return df.filter(F.col(column) == F.lit(max(values)).cast(df.schema[column].dataType))
+    return df.filter(F.col(column) == F.lit(latest_partition_value(df, column)).cast(df.schema[column].dataType))
 
 
 def read_latest_file(

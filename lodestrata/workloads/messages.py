@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.columns import LOAD_COLUMN
 from ..operators.nested import relationalize
 from ..plans import participants as marts
+from ..plans.loads import load_flattened
+from ..session import scratch_path
+from ..sources.readers import latest_partition_value
 from . import table, workload
 
 
@@ -145,6 +149,23 @@ def participant_header_nested(spark, sf_dir):
     return marts.participant_header(marts.people_from_messages(_person_messages(spark, sf_dir)), _as_of())
 
 
+@workload(_HEADER_SQL)
+def participant_header_from_loads(spark, sf_dir):
+    """Two loads of flattened tables land beside each other; the header is built from the later one."""
+    path = f"{scratch_path(spark, 'loads')}/people"
+    messages = _person_messages(spark, sf_dir)
+    at = F.lit("2026-12-01 00:00:00").cast("timestamp_ntz")
+    names: list[str] = []
+    for stamp, rows in (
+        ("20261130_000000", messages.filter(F.col("message.person.maritalStatus") == "F")),
+        ("20261201_000000", messages),
+    ):
+        names = load_flattened(rows, path, stamp, at, "loader", "orders", keys=["message_id"])
+    landed = marts.Flattened({name: spark.read.parquet(f"{path}_{name}") for name in names})
+    flat = landed.last_load(latest_partition_value(landed.top(), LOAD_COLUMN))
+    return marts.participant_header(marts.people_from_tables(flat), _as_of())
+
+
 _HISTORY_SQL = f"""
     WITH {_MESSAGES_SQL}, {_EVENTS_SQL},
     acted AS (
@@ -174,7 +195,7 @@ _HISTORY_SQL = f"""
 @workload(_HISTORY_SQL)
 def participant_history(spark, sf_dir):
     flat, events = _flattened(_person_messages(spark, sf_dir)), _flattened(_event_messages(spark, sf_dir))
-    people = marts.people_from_tables(flat, marts.latest_top(flat, True, [flat.name(marts.PREFERENCES)]))
+    people = marts.people_from_tables(flat, marts.latest_top(flat, [flat.name(marts.PREFERENCES)]))
     created, updated = (marts.latest_events_from_tables(events, kind) for kind in (marts.CREATED, marts.UPDATED))
     return _plain_timestamps(marts.participant_history(people, created, updated, _as_of()))
 

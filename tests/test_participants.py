@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators.columns import LOAD_COLUMN
+from lodestrata.operators.latest import latest_value_rows
 from lodestrata.operators.nested import relationalize
 from lodestrata.plans import participants as marts
 from lodestrata.plans import reports
@@ -96,12 +97,12 @@ def test_header(people):
 
 def history(people, events, from_tables, **options):
     if from_tables:
-        flat, acted = flattened(people), flattened(events)
-        top = marts.latest_top(flat, True, [flat.name(marts.WORK)])
+        flat, acted = flattened(people).last_load(), flattened(events)
+        top = marts.latest_top(flat, [flat.name(marts.WORK)])
         latest = marts.people_from_tables(flat, top)
         created, updated = (marts.latest_events_from_tables(acted, k) for k in (marts.CREATED, marts.UPDATED))
     else:
-        latest = marts.people_from_messages(marts.latest_messages(people, ["message_id"], last_load_only=True))
+        latest = marts.people_from_messages(marts.latest_messages(latest_value_rows(people, LOAD_COLUMN), ["message_id"]))
         created, updated = (marts.latest_events_from_messages(events, "message_id", k) for k in (marts.CREATED, marts.UPDATED))
     return marts.participant_history(latest, created, updated, as_of(), **options)
 
