@@ -113,21 +113,25 @@ def scd2_load(
     """Close the current target rows whose key is staged, and add the stage rows.
 
     Closing sets ``current_indicator`` to 0 and ``record_end_date`` to ``as_of``. Rows closed
-    earlier keep their end date unless ``close_all`` is set.
+    earlier keep their end date unless ``close_all`` is set; they are passed on without a
+    shuffle, so the load costs what the current rows cost, not the whole history. Store the
+    history partitioned by ``current_indicator`` and each file is still read only once.
     """
     staged = distinct_keys(stage, keys).withColumn("_staged", F.lit(True))
-    closing = F.col("_staged").isNotNull()
-    if not close_all:
-        closing = closing & (F.col("current_indicator") == 1)
     closed = {"current_indicator": F.lit(0), "record_end_date": as_of}
-    kept = target.join(staged, list(keys), "left").select(
-        *[
-            F.when(closing, closed[c]).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
-            if c in closed
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
+
+    def close(rows: DataFrame) -> DataFrame:
+        return rows.join(staged, list(keys), "left").select(
+            *[
+                F.when(F.col("_staged"), closed[c]).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+                if c in closed
+                else F.col(c)
+                for c in target.columns
+            ]
+        )
+
+    current = F.col("current_indicator").eqNullSafe(1)
+    kept = close(target) if close_all else close(target.filter(current)).unionByName(target.filter(~current))
     return kept.unionByName(stage.select(*target.columns))
 
 

@@ -70,10 +70,13 @@ def load_merged(
 def load_history(
     spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str, view: str | None = None
 ) -> str:
-    """Close and add history rows in the current version, stored as the next one."""
+    """Close and add history rows in the current version, stored as the next one.
+
+    Versions are partitioned by the current indicator, so that closed rows lie apart.
+    """
     current = writers.current_version(spark, base)
     history = stage if current is None else merge.scd2_load(current, stage, keys, as_of)
-    return writers.write_version(history, base, run_stamp, view)
+    return writers.write_version(history, base, run_stamp, view, ["current_indicator"])
 
 
 def transform_sql(spark: SparkSession, text: str, inputs: Mapping[str, DataFrame], **arguments: object) -> DataFrame:

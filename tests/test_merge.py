@@ -81,6 +81,13 @@ def test_scd2_leaves_one_current_row_per_key(spark):
     assert current.filter("count > 1").isEmpty()
 
 
+def test_scd2_keeps_rows_without_an_indicator(spark):
+    target = history(spark, [(1, "n", None, None), (1, "z", "2020-01-01", 0)])
+    stage = history(spark, [(1, "c", "9999-09-09", 1)])
+    loaded = merge.scd2_load(target, stage, ["k"], F.to_date(F.lit("2026-12-01")))
+    assert rows(loaded.select("v", "current_indicator")) == [("c", 1), ("n", None), ("z", 0)]
+
+
 def test_scd2_close_all_moves_earlier_end_dates(spark):
     target = history(spark, [(1, "z", "2020-01-01", 0)])
     stage = history(spark, [(1, "c", "9999-09-09", 1)])
