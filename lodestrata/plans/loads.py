@@ -67,6 +67,49 @@ def load_merged(
     return writers.write_version(merged, base, run_stamp, view, partition_keys)
 
 
+def load_merged_partitions(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    base: str,
+    keys: Sequence[str],
+    partition: str,
+    run_stamp: str,
+    at: Column,
+    by: str,
+    audit_source: str,
+) -> list[str]:
+    """As :func:`load_merged`, for a catalog table partitioned by a text column of its key.
+
+    Rows with one key then share a partition, so only the partitions the batch touches are read
+    and written: anew, below the version's folder, where the table's partitions are pointed once
+    all are complete. The touched partition values, never rows, pass through the driver.
+    """
+    if partition not in keys:
+        raise ValueError(f"{partition} must be part of the key, or a row could move between partitions")
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"{partition} must not be null")
+    exists = spark.catalog.tableExists(table)
+    current = spark.table(table).filter(F.col(partition).isin(touched)) if exists else None
+    merged = merge.merge_replace(current, source, keys, run_stamp, at, by, audit_source)
+    path = f"{base}/version={run_stamp}"
+    merged.write.mode("errorifexists").partitionBy(partition).parquet(path)
+    if not exists:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{base}/unused'")
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_extract(decoded, "^(.*)/[^/]*$", 1)
+    written = spark.read.schema(merged.schema).parquet(path).select(F.col(partition).alias("value"), folder.alias("folder")).distinct()
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for value, location in written.collect():
+        name = location.rsplit("/", 1)[-1]
+        action = "PARTITION {} SET LOCATION '{}'" if name in known else "ADD PARTITION {} LOCATION '{}'"
+        spark.sql(f"ALTER TABLE {table} " + action.format(f"(`{partition}` = '{value}')", location))
+    spark.catalog.refreshTable(table)
+    return touched
+
+
 def load_history(
     spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str, view: str | None = None
 ) -> str:

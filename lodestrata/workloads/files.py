@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import strip_line_breaks
 from ..operators.columns import LOAD_COLUMN, stamp_load
+from ..operators.latest import latest_value_rows
 from ..operators.merge import full_reload as reload
 from ..plans import loads
 from ..session import scratch_path
@@ -322,6 +323,32 @@ def versioned_merge(spark, sf_dir):
     return writers.current_version(spark, base)
 
 
+@workload(
+    """
+    WITH target AS (SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, strftime(o_orderdate, '%Y') AS order_year FROM orders),
+    feed AS (SELECT o_orderkey, 'F' AS o_orderstatus, CAST(o_totalprice + 10 AS DECIMAL(18,2)) AS o_totalprice, order_year FROM target
+             WHERE o_orderstatus = 'O' AND order_year = (SELECT max(order_year) FROM target)
+             UNION ALL SELECT -o_orderkey - 1, o_orderstatus, o_totalprice, order_year FROM target
+             WHERE o_orderstatus = 'P' AND order_year = (SELECT max(order_year) FROM target))
+    SELECT *, CASE WHEN order_year = (SELECT max(order_year) FROM target) THEN '20261201_000000' ELSE '20261130_000000' END AS partition_load_dt_tmstmp
+    FROM (SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.o_orderkey = t.o_orderkey AND f.order_year = t.order_year)
+          UNION ALL SELECT * FROM feed)
+    """
+)
+def partition_merge(spark, sf_dir):
+    """The batch is from the last year of orders, so only that year's partition is rewritten."""
+    base = scratch_path(spark, "yearly")
+    name = base.rsplit("/", 1)[-1].replace("-", "_")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy").alias("order_year")]
+    orders = history.priced_orders(spark, sf_dir)
+    target = orders.select(*columns)
+    feed = latest_value_rows(history.order_feed(orders).select(*columns), "order_year")
+    at = F.lit("2026-12-01 00:00:00").cast("timestamp_ntz")
+    for stamp, batch in (("20261130_000000", target), ("20261201_000000", feed)):
+        loads.load_merged_partitions(spark, batch, name, base, ["o_orderkey", "order_year"], "order_year", stamp, at, "loader", "orders")
+    return spark.table(name).select("o_orderkey", "o_orderstatus", "o_totalprice", "order_year", LOAD_COLUMN)
+
+
 @workload(
     """
     SELECT c_mktsegment, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS balance

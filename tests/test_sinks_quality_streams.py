@@ -44,6 +44,29 @@ def test_versions_replace_whole_tables(spark, tmp_path):
     assert rows(spark.table("versioned_view").select("k", "v", LOAD_COLUMN)) == expected
 
 
+def test_partition_merge_rewrites_only_what_it_touches(spark, tmp_path):
+    base, at = str(tmp_path / "pm"), F.lit("2026-12-01").cast("timestamp")
+
+    def load(values, stamp):
+        batch = spark.createDataFrame(values, "k int, v string, p string")
+        return loads.load_merged_partitions(spark, batch, "partition_merged", base, ["k", "p"], "p", stamp, at, "me", "s")
+
+    load([(1, "a", "x"), (2, "b", "x"), (3, "c", "y: 1/2")], "20260101_000000")
+    assert sorted(load([(2, "B", "x"), (4, "D", "z")], "20260102_000000")) == ["x", "z"]
+    got = rows(spark.table("partition_merged").select("k", "v", "p", LOAD_COLUMN))
+    assert got == [
+        (1, "a", "x", "20260102_000000"),
+        (2, "B", "x", "20260102_000000"),
+        (3, "c", "y: 1/2", "20260101_000000"),
+        (4, "D", "z", "20260102_000000"),
+    ]
+    load([(3, "C", "y: 1/2")], "20260103_000000")
+    assert rows(spark.table("partition_merged").select("k", "v").filter("k = 3")) == [(3, "C")]
+    assert sorted(os.listdir(tmp_path / "pm" / "version=20260102_000000"))[-2:] == ["p=x", "p=z"]
+    with pytest.raises(ValueError, match="part of the key"):
+        loads.load_merged_partitions(spark, spark.range(1), "t", base, ["id"], "p", "x", at, "me", "s")
+
+
 def test_history_load_starts_empty(spark, tmp_path):
     base = str(tmp_path / "h")
     stage = spark.sql("SELECT 1 AS k, 'a' AS v, date'9999-09-09' AS record_end_date, 1L AS current_indicator")
