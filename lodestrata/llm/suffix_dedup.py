@@ -331,7 +331,7 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length(body)).alias("n")).first()["n"] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(2 * partitions, -(-total // group_bytes))
-    buckets = max(partitions, groups // 4)
+    buckets = max(32, -(-total // (2 * group_bytes)))
     spread = F.xxhash64(*[F.col(c).cast("string") for c in carried], F.substring(body, 1, 64), F.length(body))
     rows = docs.select(*[F.col(c).alias(i) for c, i in zip(carried, inner)], body.alias("text"), F.pmod(spread, F.lit(groups)).alias("owner"))
     sampled = rows.groupBy("owner").applyInArrow(_sample_step(length, buckets), _REQUEST)
