@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import suffix_dedup
+from . import decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,65 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer_file(name: str) -> bytes:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+@query()
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_pages(spark, _table(spark, sf_dir, "pages"))
+    return warc.read_pages(archives, with_payload=False).drop("url")
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_codec.encode_texts(docs, _tokenizer_file("piece_bpe_32k.model"))
+
+
+@query()
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), model).drop("url")
+
+
+@query()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query()
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query()
+def op6_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "class_rows")
+
+
+@query()
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return token_files.count_documents(spark, docs, _tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, separator=50256)
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(spark, _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("lang")
+
+
+@query()
+def op10_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_texts(spark, _table(spark, sf_dir, "documents"))
