@@ -177,14 +177,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(first, "u").join(second, "v").select("u", "v", "text_u", "text_v").mapInArrow(_similar(threshold), "u long, v long")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """Every row of ``docs`` with its class: ``class_id``, the least ``key`` in it, and ``class_rows``.
+def linked_texts(spark: SparkSession, docs: DataFrame, text: str = "text", threshold: float = 0.8) -> DataFrame:
+    """(node, root) for every text that is similar to another one; a node is the text's 64-bit hash.
 
-    Two texts belong together if they are equal or a chain of texts with a weighted Jaccard
-    similarity of ``threshold`` or more links them. Null texts are empty; texts without words are
-    like equal texts only, and those of one to four words have one shingle. Keys may be null or
-    repeated: null is never the least unless the class has no other. An empty table gives no rows;
-    other columns pass unchanged.
+    Texts that agree in a band and are similar end up with one root, whichever of them were compared.
     """
 
     def stored(df: DataFrame, label: str) -> DataFrame:
@@ -217,7 +213,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     more = stored(_verified(stored(guessed.join(tried, ["u", "v"], "left_anti"), "guessed"), texts, threshold), "links")
     joined = components(spark, links.union(more))
 
-    rows = docs.withColumn("_node", F.xxhash64(body)).join(joined.select(F.col("node").alias("_node"), F.col("root").alias("_root")), "_node", "left")
-    rows = rows.withColumn("_class", F.coalesce("_root", "_node")).drop("_node", "_root")
-    classes = rows.groupBy("_class").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
-    return rows.join(classes, "_class")
+    return joined.select("node", "root")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
+    """(``key``, class_id, class_rows, node, class_node) for every row of ``docs``.
+
+    Two texts belong together if they are equal or a chain of texts with a weighted Jaccard
+    similarity of ``threshold`` or more links them. ``class_id`` is the least key of the class,
+    ``class_rows`` its rows, ``node`` a hash of the text and ``class_node`` one of the class. Null
+    texts are empty; texts without words are like equal texts only, and those of one to four words
+    have one shingle. Keys may be null or repeated: null is never the least unless the class has no
+    other. An empty table gives no rows.
+    """
+    linked = linked_texts(spark, docs, text, threshold)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"))
+    placed = rows.join(linked, "node", "left").select("key", "node", F.coalesce("root", "node").alias("class_node"))
+    classes = placed.groupBy("class_node").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_rows"))
+    return placed.join(classes, "class_node").select(F.col("key").alias(key), "class_id", "class_rows", "node", "class_node")
+
+
+def survivors(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
+    """One row of each class with all its columns: the least key, of ties the least hash of the text."""
+    placed = near_duplicates(spark, docs, key, text, threshold)
+    least = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("key"), F.col("node").alias("node")))
+    kept = placed.groupBy("class_node").agg(least.alias("k")).select(F.col("k.key").alias("_key"), F.col("k.node").alias("_node"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("node"))
+    chosen = rows.join(kept, (F.col("node") == F.col("_node")) & F.col("key").eqNullSafe(F.col("_key")), "left_semi")
+    return chosen.dropDuplicates(["node", "key"]).select("row.*")

@@ -7,14 +7,11 @@ of the divergence to base 2, from 0 to 1).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.session import scratch_path
-
 SPACE = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
@@ -80,38 +77,34 @@ def repeated_words(words: Column) -> Column:
 
 
 def _word_counts(words: Column, lang: Column) -> Column:
-    """How often each common word of the language occurs, and all other words; none if the language has no list."""
+    """How often each common word of the language occurs as it stands, and all other words; none if the language has no list."""
     lists = F.create_map(*[x for k, v in COMMON_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, v.split())))])
 
     def counts(common: Column) -> Column:
-        hits = F.filter(F.transform(words, F.lower), lambda w: F.array_contains(common, w))
-        each = let(hits, lambda h: F.transform(common, lambda c: F.size(F.filter(h, lambda w: w == c)).cast("long")))
-        return let(each, lambda e: F.concat(e, F.array(F.size(words) - F.aggregate(e, F.lit(0).cast("long"), lambda a, b: a + b))))
+        each = F.transform(common, lambda c: (F.size(words) - F.size(F.array_remove(words, c))).cast("double"))
+        return let(each, lambda e: F.concat(e, F.array(F.size(words) - F.aggregate(e, F.lit(0.0), lambda a, b: a + b))))
 
     return F.when(lang.isin(*COMMON_WORDS), let(F.element_at(lists, lang), counts))
 
 
-def features(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The input's columns beside ``text`` in ``row``, and the counts of each document in ``f``."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def _class_counts(text: Column, words: Column) -> Column:
+    """Counts of the named character classes, then of blanks, then of all other characters."""
+    body = F.coalesce(text, F.lit(""))
 
-    def counts(words: Column) -> Column:
-        return F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            repeated_words(words).alias("n_repeat_words"),
-            _word_counts(words, F.col(lang)).alias("common"),
-        )
+    def complete(counts: Column) -> Column:
+        named = F.aggregate(counts, F.lit(0), lambda a, b: a + b)
+        return let(F.length(F.array_join(words, "")), lambda inside: F.concat(counts, F.array(F.length(body) - inside, inside - named)))
 
-    classes = [F.regexp_count(body, F.lit(p)).cast("long").alias(k) for k, p in CLASSES.items()]
-    return docs.select(
-        F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("row"),
-        F.col(lang).alias("lang"),
-        let(words_of(F.col(text)), counts).alias("f"),
-        F.struct(*classes).alias("c"),
-        F.length(body).cast("long").alias("n_chars"),
-        repeated_lines(F.col(text)).alias("n_dup_lines"),
-    )
+    return F.transform(let(F.array(*[F.regexp_count(body, F.lit(p)) for p in CLASSES.values()]), complete), lambda x: x.cast("double"))
+
+
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(language, classes_all, common_all): both histograms added up over all documents of a language."""
+    both = let(words_of(F.col(text)), lambda w: F.struct(_class_counts(F.col(text), w).alias("classes"), _word_counts(w, F.col(lang)).alias("common")))
+    found = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("language"), both.alias("h"))
+    places = {"classes": len(CLASSES) + 2, "common": 1 + max(len(v.split()) for v in COMMON_WORDS.values())}
+    sums = [F.coalesce(F.sum(F.get(F.col(f"h.{k}"), F.lit(i))), F.lit(0.0)).alias(f"{k}{i}") for k, n in places.items() for i in range(n)]
+    return found.groupBy("language").agg(*sums).select("language", *[F.array(*[f"{k}{i}" for i in range(n)]).alias(f"{k}_all") for k, n in places.items()])
 
 
 def _divergence(p: Column, q: Column) -> Column:
@@ -131,66 +124,60 @@ def _divergence(p: Column, q: Column) -> Column:
         return let(total(x), lambda n: F.when(n > 0, F.transform(x, lambda v: v / n)))
 
     terms = lambda a, b: let(share(a), lambda s: let(share(b), lambda t: F.zip_with(s, t, term)))
-    return F.sqrt(F.greatest(F.aggregate(terms(p, q), F.lit(0.0), lambda a, b: a + b) / 2, F.lit(0.0)))
+    return F.sqrt(F.greatest(let(p, lambda a: let(q, lambda b: total(terms(a, b)))) / 2, F.lit(0.0)))
+
+
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
 def judge(
-    spark: SparkSession,
     docs: DataFrame,
     text: str = "text",
     lang: str = "lang",
-    max_class_distance: float = 0.25,
-    max_word_distance: float = 0.6,
-    min_chars: int = 200,
-    min_words: int = 50,
+    max_class_distance: float = 0.28,
+    max_word_distance: float = 0.26,
+    min_chars: int = 400,
+    min_words: int = 100,
 ) -> DataFrame:
-    """Every row of ``docs`` with its counts, distances and verdict; the text is left out.
-
-    The references are the histograms of all documents of a language, added up. The distance of
-    character classes counts from ``min_chars`` characters on, that of common words from
-    ``min_words`` words on and for languages with a list; below that, and for a null language, the
-    method keeps. Null and empty texts have no words and fail the base rule. Repeated rows are
-    judged each, an empty table gives no rows, and other columns pass under their own names.
+    """Every row of ``docs`` with its counts, distances and verdict.
+
+    The references are those of all documents of a language. The distance of character classes
+    counts from ``min_chars`` characters on, that of common words from ``min_words`` words on and
+    for languages with a list; below that, and for a null language, the method keeps. Null and
+    empty texts have no words and fail the base rule. Repeated rows are judged each, an empty table
+    gives no rows, columns called like the results are replaced and others pass unchanged. At the
+    default thresholds ordinary prose of a hundred words or more stays well below both distances.
     """
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
-    carried = [c for c in docs.columns if c != text and c not in own]
-    path = scratch_path(spark, f"quality-{uuid.uuid4().hex}")
-    features(docs.select(*carried, text), text, lang).write.parquet(path)
-    found = spark.read.parquet(path)
-    blank = F.col("n_chars") - F.col("f.word_chars")
-    named = [F.col(f"c.{k}") for k in CLASSES]
-    rest = F.col("n_chars") - blank - named[0] - named[1] - named[2] - named[3]
-    found = found.withColumn("classes", F.transform(F.array(*named, blank, rest), lambda x: x.cast("double"))).withColumn(
-        "common", F.transform("f.common", lambda x: x.cast("double"))
-    )
-    bins, places = len(CLASSES) + 2, 1 + max(len(v.split()) for v in COMMON_WORDS.values())
-    references = (
-        found.where(F.col("lang").isNotNull())
-        .groupBy("lang")
-        .agg(
-            *[F.sum(F.get("classes", F.lit(i))).alias(f"k{i}") for i in range(bins)],
-            *[F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(places)],
+    carried = [c for c in docs.columns if c not in RESULTS]
+    rows = docs.select(F.struct(*[F.col(c) for c in carried]).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    joined = rows.join(references(docs, text, lang), F.col("lang") == F.col("language"), "left")
+
+    def measured(words: Column) -> Column:
+        long_text, long_words = F.length("text") >= min_chars, F.size(words) >= min_words
+        return let(
+            _class_counts(F.col("text"), words),
+            lambda classes: F.struct(
+                F.size(words).cast("long").alias("n_words"),
+                F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+                F.get(classes, F.lit(list(CLASSES).index("symbol"))).cast("long").alias("n_symbols"),
+                repeated_words(words).alias("n_repeat_words"),
+                F.when(long_text, _divergence(classes, F.col("classes_all"))).alias("class_distance"),
+                F.when(long_words, _divergence(_word_counts(words, F.col("lang")), F.col("common_all"))).alias("word_distance"),
+            ),
         )
-        .select(
-            "lang",
-            F.array(*[f"k{i}" for i in range(bins)]).alias("classes_all"),
-            F.array(*[F.coalesce(f"w{i}", F.lit(0.0)) for i in range(places)]).alias("common_all"),
-        )
-    )
-    judged = found.join(references, "lang", "left")
-    failed = (F.col("f.n_words") < 20) | (100 * F.col("f.n_repeat_words") > 30 * F.col("f.n_words"))
-    class_distance = F.when(F.col("n_chars") >= min_chars, _divergence(F.col("classes"), F.col("classes_all")))
-    word_distance = F.when(F.col("f.n_words") >= min_words, _divergence(F.col("common"), F.col("common_all")))
-    strange = F.coalesce(class_distance > max_class_distance, F.lit(False)) | F.coalesce(word_distance > max_word_distance, F.lit(False))
-    return judged.select(
+
+    found = joined.select("row", let(words_of(F.col("text")), measured).alias("m"), repeated_lines(F.col("text")).alias("n_dup_lines"))
+    failed = (F.col("m.n_words") < 20) | (100 * F.col("m.n_repeat_words") > 30 * F.col("m.n_words"))
+    strange = F.coalesce(F.col("m.class_distance") > max_class_distance, F.lit(False)) | F.coalesce(F.col("m.word_distance") > max_word_distance, F.lit(False))
+    return found.select(
         *[F.col("row")[c].alias(c) for c in carried],
-        F.col("f.n_words"),
-        F.col("f.word_chars"),
-        F.col("c.symbol").alias("n_symbols"),
-        F.col("n_dup_lines"),
-        F.col("f.n_repeat_words"),
+        "m.n_words",
+        "m.word_chars",
+        "m.n_symbols",
+        "n_dup_lines",
+        "m.n_repeat_words",
         failed.alias("base_failed"),
         (~failed & ~strange).alias("kept"),
-        class_distance.alias("class_distance"),
-        word_distance.alias("word_distance"),
+        "m.class_distance",
+        "m.word_distance",
     )

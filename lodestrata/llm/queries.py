@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,9 +86,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(spark, _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("lang")
+    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select("doc_id", *quality.RESULTS)
 
 
 @query()
 def op10_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_texts(spark, _table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -294,10 +294,10 @@ def _removal_step(length: int, buckets: int, columns: list[str]):
             mask = np.ones(n, bool) if group.copies[i] and n >= length else removed[a : a + n]
             spans = _spans(mask)
             kept = texts.data[a : a + n][~mask].tobytes() if spans.size else texts.data[a : a + n].tobytes()
-            found.append((int(n), int(mask.sum()), len(spans), hashlib.sha256(kept).hexdigest(), spans.ravel().tolist(), kept))
+            found.append((int(n), int(mask.sum()), len(spans), hashlib.sha256(kept).hexdigest(), spans.ravel().tolist(), kept, kept.decode("utf-8", "ignore")))
         made = pa.Table.from_arrays(
-            [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()))],
-            names=["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"],
+            [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary(), pa.string()))],
+            names=list(_KINDS),
         )
         for c in reversed(made.column_names):
             if c not in columns:
@@ -309,7 +309,7 @@ def _removal_step(length: int, buckets: int, columns: list[str]):
     return step
 
 
-_KINDS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "spans": "array<long>", "kept": "binary"}
+_KINDS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "spans": "array<long>", "kept": "binary", "kept_text": "string"}
 
 
 def remove_repeats(
@@ -322,7 +322,8 @@ def remove_repeats(
     are empty, repeated rows count as occurrences of each other, and an empty table gives no rows.
     ``keep`` names columns to carry along (all but the text by default); ``returns`` the results:
     ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``spans`` (begin and end bytes,
-    flat) and ``kept`` (the remaining bytes). ``group_bytes`` bounds the text one task holds.
+    flat), ``kept`` (the remaining bytes) and ``kept_text`` (those as text, without characters that
+    were cut in two). ``group_bytes`` bounds the text one task holds.
     """
     carried = [c for c in docs.columns if c != text] if keep is None else keep
     wanted = list(returns or ["n_bytes", "n_removed", "n_spans", "kept_sha256"])
