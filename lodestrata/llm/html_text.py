@@ -40,6 +40,7 @@ CLOSES_P = frozenset(
     """address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header
     hgroup hr main menu nav ol p pre section table ul""".split()
 )
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd td th tr tbody thead tfoot table blockquote pre figure figcaption".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
@@ -233,7 +234,7 @@ def main_text(page: str) -> str:
     if not content:
         return ""
     region = _region(content)
-    if region.name == "p" and region.parent:
+    while region.name in PARTS:
         region = region.parent
     links = lambda b: 2 * b.linked > len(b.text) and "li" in b.path
     return "\n\n".join(b.text for b in blocks if not b.element.other and not links(b) and _inside(b.element, region))

@@ -124,7 +124,7 @@ def _divergence(p: Column, q: Column) -> Column:
         return let(total(x), lambda n: F.when(n > 0, F.transform(x, lambda v: v / n)))
 
     terms = lambda a, b: let(share(a), lambda s: let(share(b), lambda t: F.zip_with(s, t, term)))
-    return F.sqrt(F.greatest(let(p, lambda a: let(q, lambda b: total(terms(a, b)))) / 2, F.lit(0.0)))
+    return F.sqrt(let(let(p, lambda a: let(q, lambda b: total(terms(a, b)))), lambda d: F.when(d < 0, F.lit(0.0)).otherwise(d / 2)))
 
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")

@@ -22,33 +22,28 @@ MOST_LABELLED = 2000
 #: the rules of the registered query: verdict, host and path
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
-#: a small labelled table: hosts of unwanted and of ordinary sites, each with a path
-UNWANTED = """
-casino-royal.test/play lucky-casino.test/slots casinowin.test/bonus online-casino-games.test/en/ bets-today.test/odds freebets.test/offers
-sports-bets.test/live poker-bets.test/rooms cheap-pills.test/order pills-shop.test/buy cheap-meds.test/viagra pillstore.test/sale
-spam-links.test/go spamfarm.test/page link-farm.test/seo seo-farm.test/links adult-video.test/watch adult-cams.test/x xxx-adult.test/free
-adultx.test/hot ads-server.test/click adtrack.test/pixel track-ads.test/banner click-track.test/ad tracker-ads.test/t free-win.test/prize
-win-big.test/jackpot bonus-win.test/casino slots-win.test/free cheap-loans.test/apply payday-loans.test/cash replica-cheap.test/watches
-hot-cams.test/adult porn-free.test/xxx escort-adult.test/city jackpot-casino.test/de/ cheap-replica.test/shop spam-mail.test/list
-free-pills.test/trial betwin.test/sports casino-bets.test/bonus xxx-cams.test/live adserver-track.test/imp popup-ads.test/show
-"""
-ORDINARY = """
-news.city-paper.test/en/ library.state.test/books www.school.test/lessons blog.garden.test/2024/roses museum.test/visit history-club.test/articles
-www.weather.test/today m.recipes.test/soup physics.uni.test/papers forum.linux.test/kernel docs.tools.test/en/guide m.travel.test/fr/paris
-www.bakery.test/about blog.cooking.test/es/pan church.test/events council.test/minutes hospital.test/contact www.nation.test/en/story
-opera.test/season station.test/timetable river.test/de/fluss blog.mountain.test/hikes photos.family.test/album music.test/notes theory.test/en/
-www.thought.test/en/essay action.test/en/help station-house.test/en/ mention.test/fr/ mothers.test/en/ father.test/de/ another.test/es/
-www.other.test/en/index together.test/en/ blog.nothing.test/fr/ weathering.test/en/ m.reading.test/en/12 farm-life.test/en/cows
-www.thesis.test/en/1200 blog.online-course.test/en/unit library-track.test/books m.running-track.test/club address-book.test/en/ window.test/en/
-freedom.test/en/ charity.test/give better-homes.test/en/ alphabet.test/kids bookstore.test/en/new sciences.test/fr/ thread.test/es/ tension.test/de/
-nation-wide.test/en/7645 blog.motion.test/en/31492.html m.portion.test/en/page=2 caution.test/en/5126 www.potion.test/es/ blog.lotion.test/en/853/
-"""
+# Words of the built-in labelled table's hosts.
+UNWANTED = "casino slots poker bets betting jackpot lottery pills pharma meds viagra replica loans payday spam ads adserver popup clicks adult xxx porn cams escort bingo"
+ORDINARY = (
+    "news library school weather recipes physics kernel travel bakery council hospital opera station river mountain photos music theory thought action mothers "
+    "father another together nothing reading course address window freedom charity alphabet sciences thread tension nation motion portion caution potion garden museum"
+)
+PARTNERS = "win royal online live free cheap shop best play farm server links track store world club today home"
+PLACES = ("/", "/en/1", "/de/17.html", "/fr/853/", "/es/31492?ref=x", "/en/7645#top", "/about", "/page/2")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table: (url, label), 1 for unwanted."""
-    rows = [("https://" + u, label) for text, label in ((UNWANTED, 1), (ORDINARY, 0)) for u in text.split()]
-    return spark.sql("SELECT inline(from_json('" + json.dumps([{"url": u, "label": v} for u, v in rows]) + "', 'array<struct<url:string,label:int>>'))")
+    """The built-in labelled table: (url, label), 1 for unwanted.
+
+    Each word makes hosts alone, and before and after words that sites of both kinds have.
+    """
+    partners, fronts, ends, rows = PARTNERS.split(), ("", "www.", "m.", "blog."), ("com", "org", "net", "test"), []
+    for label, words in ((1, UNWANTED.split()), (0, ORDINARY.split())):
+        for i, word in enumerate(words):
+            others = [partners[(5 * i + 7 * k) % len(partners)] for k in range(4)]
+            names = [word, word, *(f"{word}-{p}" for p in others[:2]), *(f"{p}-{word}" for p in others[2:]), f"{word}{others[0]}", f"{others[1]}{word}"]
+            rows += [{"url": f"https://{fronts[(i + k) % 4]}{n}.{ends[(i + k // 4) % 4]}{PLACES[(i + 3 * k) % 8]}", "label": label} for k, n in enumerate(names)]
+    return spark.sql(f"SELECT inline(from_json('{json.dumps(rows)}', 'array<struct<url:string,label:int>>'))")
 
 
 def host_of(url: Column) -> Column:
