@@ -49,14 +49,16 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[tuple[Column, str]], take: dict[str, str]) -> DataFrame:
     """Left join to a lookup table on computed keys, taking renamed columns.
 
-    The cast to text goes on both sides so that differing key types compare alike. Spark
-    broadcasts the lookup only when its size is below the session's threshold.
+    The lookup's keys are cast to the types of the expressions, so differing key types compare
+    alike and ``df`` keeps its layout; a key that does not fit matches nothing. Spark broadcasts
+    the lookup only when its size is below the session's threshold.
     """
+    kinds = [f.dataType for f in df.select(*[e.alias(f"_k{i}") for i, (e, _) in enumerate(on)]).schema.fields]
     side = table.select(
-        *[F.col(column).cast("string").alias(f"_k{i}") for i, (_, column) in enumerate(on)],
+        *[F.col(column).try_cast(kinds[i]).alias(f"_k{i}") for i, (_, column) in enumerate(on)],
         *[F.col(column).alias(out) for column, out in take.items()],
     )
     condition = F.lit(True)
     for i, (expression, _) in enumerate(on):
-        condition = condition & (expression.cast("string") == side[f"_k{i}"])
+        condition = condition & (expression == side[f"_k{i}"])
     return df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(on))])

@@ -78,6 +78,14 @@ def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.filter(once).select(*restored)
 
 
+def checked_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key without nulls once, failing the job when one occurs twice. Only keys are shuffled."""
+    counted = df.filter(_has_key(keys)).groupBy(*keys, spread(keys)).agg(F.count(F.lit(1)).alias("_n"))
+    message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
+    once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(once).select(*keys)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows take the source's non-key columns, unmatched source rows are added.
 
@@ -115,9 +123,10 @@ def scd2_load(
     Closing sets ``current_indicator`` to 0 and ``record_end_date`` to ``as_of``. Rows closed
     earlier keep their end date unless ``close_all`` is set; they are passed on without a
     shuffle, so the load costs what the current rows cost, not the whole history. Store the
-    history partitioned by ``current_indicator`` and each file is still read only once.
+    history partitioned by ``current_indicator`` and each file is still read only once. Two stage
+    rows with one key are an error, as both would be current.
     """
-    staged = distinct_keys(stage, keys).withColumn("_staged", F.lit(True))
+    staged = checked_keys(stage, keys).withColumn("_staged", F.lit(True))
     closed = {"current_indicator": F.lit(0), "record_end_date": as_of}
 
     def close(rows: DataFrame) -> DataFrame:

@@ -89,29 +89,40 @@ def store_results(results: DataFrame, path: str, run_stamp: str) -> None:
 
 
 def control_totals(triggers: DataFrame) -> DataFrame:
-    """Sums of the declared record counts and checksums, which trigger files hold as text."""
+    """Sums of the declared record counts and checksums, which trigger files hold as text.
+
+    ``unreadable`` counts the declarations without a readable count, or with an unreadable checksum.
+    """
+    count, checksum = F.col("record_count").try_cast("bigint"), F.col("record_checksum").try_cast("decimal(38,2)")
     return triggers.agg(
+        F.count_if(count.isNull() | (checksum.isNull() & F.col("record_checksum").isNotNull())).alias("unreadable"),
         F.sum(F.col("record_count").try_cast("bigint")).alias("declared_rows"),
         F.sum(F.col("record_checksum").try_cast("decimal(38,2)")).cast("decimal(38,2)").alias("declared_checksum"),
     )
 
 
 def reconcile(triggers: DataFrame, loaded: DataFrame, run_column: str, run_id: str, checksum: str | None = None) -> DataFrame:
-    """Declared totals against the rows, and the sum of one column, loaded by this run."""
+    """Declared totals against the rows, and the sum of one column, loaded by this run.
+
+    A declaration that cannot be read keeps the gate shut.
+    """
     run = loaded.filter(F.col(run_column) == run_id)
     summed = F.sum(checksum) if checksum else F.sum(F.lit(None).cast("decimal(38,2)"))
     actual = run.agg(F.count(F.lit(1)).alias("loaded_rows"), summed.cast("decimal(38,2)").alias("loaded_checksum"))
     sides = control_totals(triggers).unionByName(actual, allowMissingColumns=True)
     totals = sides.agg(*[F.max(c).alias(c) for c in sides.columns])
-    same = F.col("declared_rows") == F.col("loaded_rows")
+    same = (F.col("declared_rows") == F.col("loaded_rows")) & (F.col("unreadable") == 0)
     if checksum:
         same = same & (F.col("declared_checksum") == F.col("loaded_checksum"))
     return totals.withColumn("reconciled", F.coalesce(same, F.lit(False)))
 
 
-def promote(staged: DataFrame, verdict: DataFrame, path: str) -> bool:
-    """Append staged rows to the main table only when their reconciliation holds."""
+def promote(staged: DataFrame, verdict: DataFrame, path: str, run_id: str) -> bool:
+    """Add staged rows to the main table only when their reconciliation holds.
+
+    A run has a folder of its own, written over when the run is retried, so no row is added twice.
+    """
     if not verdict.first()["reconciled"]:
         return False
-    staged.write.mode("append").parquet(path)
+    staged.write.mode("overwrite").parquet(f"{path}/run={run_id}")
     return True

@@ -59,10 +59,11 @@ def month_dim(span: DataFrame) -> DataFrame:
 def business_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:
     """The date dimension with business-day flags, the next two business days and its month.
 
-    ``holidays`` has ``date`` and ``holiday_description``.
+    ``holidays`` has ``date`` and ``holiday_description``; of a date listed more than once the
+    least description counts.
     """
     marked = date_dim(span).drop("is_business_day", "is_federal_holiday", "holiday_description")
-    holiday = holidays.select(F.col("date"), "holiday_description", F.lit(True).alias("_holiday"))
+    holiday = holidays.groupBy("date").agg(F.min("holiday_description").alias("holiday_description"), F.lit(True).alias("_holiday"))
     flagged = marked.join(holiday, "date", "left").withColumns(
         {
             "is_federal_holiday": F.when(F.col("_holiday"), "Y").otherwise("N"),
@@ -88,7 +89,13 @@ def business_calendar(span: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
+def split_holidays(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Holiday rows with their text dates parsed, and those whose date cannot be read, as they were."""
+    readable = dirty_cast("date", "date").isNotNull()
+    return rows.filter(readable).withColumn("date", dirty_cast("date", "date")), rows.filter(~readable)
+
+
 def parse_holidays(rows: DataFrame) -> DataFrame:
-    """Holiday rows with text dates; unreadable dates are left out."""
-    parsed = rows.withColumn("date", dirty_cast("date", "date"))
-    return parsed.filter(F.col("date").isNotNull())
+    """Holiday rows with text dates; a date that cannot be read fails the job."""
+    message = F.concat(F.lit("unreadable holiday "), F.coalesce(F.col("date"), F.lit("null")))
+    return rows.withColumn("date", F.coalesce(dirty_cast("date", "date"), F.raise_error(message).cast("date")))

@@ -67,6 +67,32 @@ def load_merged(
     return writers.write_version(merged, base, run_stamp, view, partition_keys)
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def _unused_version(spark: SparkSession, path: str) -> str:
+    """A folder for a version. A run lost before all partitions pointed to its folder leaves it
+    unfinished and partly in use, so a retry with the same stamp takes another one."""
+    found, attempt = path, 0
+    while _exists(spark, found):
+        if _exists(spark, f"{found}/_finished"):
+            raise ValueError(f"{found} is complete already")
+        attempt += 1
+        found = f"{path}-{attempt}"
+    return found
+
+
 def load_merged_partitions(
     spark: SparkSession,
     source: DataFrame,
@@ -93,7 +119,7 @@ def load_merged_partitions(
     exists = spark.catalog.tableExists(table)
     current = spark.table(table).filter(F.col(partition).isin(touched)) if exists else None
     merged = merge.merge_replace(current, source, keys, run_stamp, at, by, audit_source)
-    path = f"{base}/version={run_stamp}"
+    path = _unused_version(spark, f"{base}/version={run_stamp}")
     merged.write.mode("errorifexists").partitionBy(partition).parquet(path)
     if not exists:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
@@ -105,7 +131,8 @@ def load_merged_partitions(
     for value, location in written.collect():
         name = location.rsplit("/", 1)[-1]
         action = "PARTITION {} SET LOCATION '{}'" if name in known else "ADD PARTITION {} LOCATION '{}'"
-        spark.sql(f"ALTER TABLE {table} " + action.format(f"(`{partition}` = '{value}')", location))
+        spark.sql(f"ALTER TABLE {table} " + action.format(f"(`{partition}` = {_quoted(value)})", location.replace("'", "\\'")))
+    spark.createDataFrame([(run_stamp,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_finished")
     spark.catalog.refreshTable(table)
     return touched
 
@@ -143,16 +170,26 @@ def read_checkpoint(spark: SparkSession, path: str) -> str:
     return log.agg(F.max("checkpoint_value")).first()[0] or FIRST_CHECKPOINT
 
 
+def write_range(base: str) -> Callable[[DataFrame, str], None]:
+    """A writer for :func:`load_incremental`: the rows after a checkpoint have a folder, written over by a retry."""
+    return lambda rows, after: writers.overwrite(rows, f"{base}/after={after}")
+
+
 def load_incremental(
     spark: SparkSession,
     df: DataFrame,
     checkpoint_path: str,
     until: str,
-    write: Callable[[DataFrame], object],
+    write: Callable[[DataFrame, str], object],
     column: str = LOAD_COLUMN,
 ) -> str:
-    """Hand the rows since the last checkpoint to ``write``; advance only when it succeeds."""
-    write(between_checkpoints(df, column, read_checkpoint(spark, checkpoint_path), until))
+    """Hand the rows since the last checkpoint, and that checkpoint, to ``write``; advance only when it succeeds.
+
+    When a run is lost in between, the next one starts at the same checkpoint. A writer that keeps
+    one folder for each, as :func:`write_range` does, then adds no row twice.
+    """
+    after = read_checkpoint(spark, checkpoint_path)
+    write(between_checkpoints(df, column, after, until), after)
     reached = spark.createDataFrame([(until,)], CHECKPOINT_SCHEMA)
     reached.coalesce(1).write.mode("append").json(checkpoint_path)
     return until

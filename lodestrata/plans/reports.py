@@ -93,7 +93,8 @@ def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
     Only which kinds are marked matters, and the result is distinct, so the mapping shrinks to
     at most eight rows for each known label. That bound is what makes its broadcast safe; a
     shuffle on the few labels would put much of the data into one task. The amounts take part
-    in the sort so that the rows of one person, year and activity can spread over tasks.
+    in the sort so that the rows of one person, year and activity can spread over tasks. One
+    exchange by ranges of all columns serves the distinct and the sort.
     """
     long = stack_pairs(wide, ["part_ssn", "plan_year"], CONTRIBUTIONS, "activity", "value")
     kinds = {"Employee": "employee_contribution", "Automatic": "agency_automatic", "Matching": "matching_dollar_contribution"}
@@ -105,6 +106,7 @@ def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
         )
         .distinct()
     )
+    columns = ["part_ssn", "plan_year", "activity", *kinds.values()]
     placed = long.join(F.broadcast(marks), long.activity == marks["_activity"])
     return (
         placed.select(
@@ -113,8 +115,9 @@ def contributions_report(wide: DataFrame, mapping: DataFrame) -> DataFrame:
             F.col("activity").cast("string").alias("activity"),
             *[F.when(F.col(f"_{kind}"), F.col("value")).cast("decimal(10,2)").alias(out) for kind, out in kinds.items()],
         )
+        .repartitionByRange(*columns)
         .distinct()
-        .orderBy("part_ssn", "plan_year", "activity", *kinds.values())
+        .orderBy(*columns)
     )
 
 

@@ -7,11 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "lodestrata", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench. On a cluster, pass your own session instead."""
+    """A local session for tests and the bench, with a folder of its own for written tables.
+
+    On a cluster, pass your own session instead.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -23,25 +26,22 @@ def build_session(app_name: str = "lodestrata", cores: int | str = "*", shuffle_
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lodestrata-"))
         .getOrCreate()
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Name the shared folder of an application whose settings do not."""
+    _FOLDERS[spark.conf.get("spark.app.id", "")] = path
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder; elsewhere a missing setting is an error.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``; without one it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _FOLDERS.get(spark.conf.get("spark.app.id", ""))
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="lodestrata-")
-    return _LOCAL_FOLDERS[app]
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

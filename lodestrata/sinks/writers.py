@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.columns import LOAD_COLUMN
 from ..sources.readers import listed_files, read_parquet_merged
 
 # Fixed values.
-TARGET_FILE_BYTES = 2_097_152
 SAMPLE_FRACTION = 0.01
+SAMPLE_ROWS = 100_000
 PROCESSED_SCHEMA = "file_name string, rows_processed bigint"
-VERSION_SCHEMA = "version string, path string"
+VERSION_SCHEMA = "version string, path string, schema string"
 
 
 def overwrite_partitions(
@@ -89,13 +93,14 @@ def write_version(df: DataFrame, base: str, version: str, view: str | None = Non
     """Write a whole table as a new version beside the old ones, then make it current.
 
     A merge reads the current version while it writes the next, so nothing is written over its
-    own input. The version log is only appended to, after the data is complete; a view, when
-    named, is then switched to the new version.
+    own input. The version log is only appended to, after the data is complete, and keeps the
+    schema, so that partition keys come back in their own types; a view, when named, is then
+    switched to the new version.
     """
     path = f"{base}/version={version}"
     df.write.mode("errorifexists").partitionBy(*keys).parquet(path)
     spark = df.sparkSession
-    spark.createDataFrame([(version, path)], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
+    spark.createDataFrame([(version, path, df.schema.json())], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
     if view:
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
@@ -109,8 +114,11 @@ def current_version(spark: SparkSession, base: str) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    newest = log.agg(F.max_by("path", "version").alias("path")).first()
-    return spark.read.parquet(newest.path) if newest and newest.path else None
+    newest = log.agg(F.max_by(F.struct("path", "schema"), "version").alias("n")).first()["n"]
+    if newest is None:
+        return None
+    reader = spark.read.schema(StructType.fromJson(json.loads(newest.schema))) if newest.schema else spark.read
+    return reader.parquet(newest.path)
 
 
 # --- counts and manifests -------------------------------------------------------------------
@@ -123,21 +131,24 @@ def write_counted(df: DataFrame, path: str, file_format: str = "parquet", mode:
     return seen.get["rows"]
 
 
-def record_processed(spark: SparkSession, checkpoint: str, file_name: str, rows: int) -> None:
-    entry = spark.createDataFrame([(file_name, rows)], PROCESSED_SCHEMA)
-    entry.coalesce(1).write.mode("append").json(checkpoint)
+def record_processed(done: DataFrame, checkpoint: str) -> None:
+    """Add files and their row counts, as in ``PROCESSED_SCHEMA``, to the log of processed files."""
+    done.select("file_name", "rows_processed").write.mode("append").json(checkpoint)
 
 
 def records_per_file(
-    df: DataFrame, scratch: str, target_bytes: int = TARGET_FILE_BYTES, fraction: float = SAMPLE_FRACTION, seed: int = 7
+    df: DataFrame, scratch: str, target_bytes: int, fraction: float = SAMPLE_FRACTION, sample_rows: int = SAMPLE_ROWS, seed: int = 7
 ) -> int:
     """How many records make a file of the target size, from one written sample.
 
-    Size and count come from the same sample. An empty sample gives the whole table's count.
+    Size and count come from the same sample, at most ``sample_rows`` written by one task, so that
+    the answer does not depend on how many tasks hold the data. A sample without rows is followed
+    by the first rows; an empty table gives 0.
     """
-    rows = write_counted(df.sample(fraction, seed), scratch)
+    rows = write_counted(df.sample(fraction, seed).limit(sample_rows).coalesce(1), scratch, mode="overwrite")
+    rows = rows or write_counted(df.limit(sample_rows).coalesce(1), scratch, mode="overwrite")
     if rows == 0:
-        return df.count()
+        return 0
     size = listed_files(df.sparkSession, scratch, "*.parquet").agg(F.sum("length")).first()[0]
     return max(1, math.floor(rows * target_bytes / size))
 
@@ -164,9 +175,10 @@ def manifest(
         .select(F.col("_metadata.file_path").alias("_path"), F.md5("content").alias("MD5HashKey"), F.col("length").alias("DataFileSize"))
     )
     joined = files.join(counts, "_path", "left")
-    name = F.element_at(F.split("_path", "/"), -1)
+    # Tasks give their files one name in every partition, so the partition folders are part of it.
+    name = F.regexp_extract("_path", "((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
     return joined.select(
-        F.concat(name, F.lit(".trg.json")).alias("TriggerFileName"),
+        F.concat(F.replace(name, F.lit("/"), F.lit(".")), F.lit(".trg.json")).alias("TriggerFileName"),
         name.alias("DataFileName"),
         F.coalesce("NumberOfRows", F.lit(0)).alias("NumberOfRows"),
         F.lit(len(data.columns)).alias("NumberOfColumns"),
@@ -180,10 +192,25 @@ def manifest(
     )
 
 
+def _write_named(folder: str):
+    """Write each row's text to a file of its own name; a retried task writes the same files again."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+        system.create_dir(path, recursive=True)
+        for batch in batches:
+            for name, text in zip(batch["name"].to_pylist(), batch["text"].to_pylist()):
+                with system.open_output_stream(f"{path}/{name}", compression=None) as out:
+                    out.write(text.encode())
+            yield batch.select(["name"])
+
+    return step
+
+
 def write_manifest(manifest_rows: DataFrame, trigger_path: str, index_path: str) -> None:
-    """The manifest as JSON, one folder per trigger file, and the list of data files as text."""
-    shown = manifest_rows.withColumn("_trigger", F.col("TriggerFileName"))
-    shown.write.mode("overwrite").partitionBy("_trigger").json(trigger_path)
+    """A trigger file under its own name for each data file, as JSON, and the list of data files as text."""
+    texts = manifest_rows.select(F.col("TriggerFileName").alias("name"), F.to_json(F.struct("*")).alias("text"))
+    texts.mapInArrow(_write_named(trigger_path), "name string").write.format("noop").mode("overwrite").save()
     manifest_rows.select("DataFileName").write.mode("overwrite").text(index_path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -64,8 +65,8 @@ def typed(value: Column, to: T.DataType, date_format: str | None = None, timesta
     """Text to a type, null where it does not fit."""
     if isinstance(to, T.DateType) and date_format:
         return F.try_to_timestamp(value, F.lit(date_format)).cast("date")
-    if isinstance(to, T.TimestampType) and timestamp_format:
-        return F.try_to_timestamp(value, F.lit(timestamp_format))
+    if isinstance(to, (T.TimestampType, T.TimestampNTZType)) and timestamp_format:
+        return F.try_to_timestamp(value, F.lit(timestamp_format)).cast(to)
     return value if isinstance(to, T.StringType) else value.try_cast(to)
 
 
@@ -92,22 +93,35 @@ def read_typed_text(
     )
 
 
-def _without_first_lines(batches: Iterator[pa.RecordBatch], lines: int) -> Iterator[pa.RecordBatch]:
-    """Drop the first lines of each file. Only the split that starts a file has block start 0."""
-    split, seen = None, 0
+def _without_first_lines(batches: Iterator[pa.RecordBatch], skip: int, sep: str, header: list[str] | None) -> Iterator[pa.RecordBatch]:
+    """Drop the lines up to the header of each file. Only the split that starts a file has block start 0.
+
+    Fails when those lines go on into the next split, and when a header differs from ``header``.
+    """
+    split, seen, more = None, 0, False
+
+    def ended() -> None:
+        if split and split[1] == 0 and seen <= skip and more:
+            raise ValueError(f"the first lines of {split[0]} do not end in its first split; raise spark.sql.files.maxPartitionBytes")
+
     for batch in batches:
-        starts = batch.column(2).to_numpy()
-        if not len(starts) or (starts > 0).all():
-            yield batch.select([0])
-            continue
+        starts, sizes, lengths = (batch.column(i).to_numpy() for i in (2, 3, 4))
         files = batch.column(1).to_numpy(zero_copy_only=False)
         edges = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
         for begin, end in zip([0, *edges], [*edges, len(starts)]):
+            if begin == end:
+                continue
             if (files[begin], starts[begin]) != split:
-                split, seen = (files[begin], starts[begin]), 0
-            drop = 0 if starts[begin] else min(max(lines - seen, 0), end - begin)
+                ended()
+                split, seen, more = (files[begin], starts[begin]), 0, starts[begin] + lengths[begin] < sizes[begin]
+            drop = 0 if starts[begin] else min(max(skip + 1 - seen, 0), end - begin)
+            if header is not None and drop and seen + drop == skip + 1:
+                found = next(csv.reader([batch.column(0)[int(begin + drop - 1)].as_py()], delimiter=sep))
+                if [n.strip() for n in found] != header:
+                    raise ValueError(f"{split[0]} has the header {found}, another file {header}")
             seen += end - begin
             yield batch.slice(begin + drop, end - begin - drop).select([0])
+    ended()
 
 
 def read_after_first_line(
@@ -115,19 +129,21 @@ def read_after_first_line(
 ) -> DataFrame:
     """Delimited files with ``skip`` lines before the header, dropped from every file.
 
-    Files stay splittable: lines are counted only at the start of each file. Without a schema
-    the columns are text, named by the header of the first file. Leading lines and header must
-    fit into the first split of a file (``spark.sql.files.maxPartitionBytes``).
+    Files stay splittable: lines are counted only at the start of each file, and the read fails
+    when they do not end in its first split. Without a schema the columns are text, named by the
+    header, which must be the same in all files.
     """
     text = spark.read.text(path)
+    names = None
     if schema is None:
-        first = min(text.inputFiles())
-        names = [r.value for r in spark.read.text(first).head(skip + 1)][-1].split(sep)
-        target = T.StructType([T.StructField(n.strip().strip('"'), T.StringType()) for n in names])
+        first = listed_files(spark, path).agg(F.min("path")).first()[0]
+        line = [r.value for r in spark.read.text(first).head(skip + 1)][-1]
+        names = [n.strip() for n in next(csv.reader([line], delimiter=sep))]
+        target = T.StructType([T.StructField(n, T.StringType()) for n in names])
     else:
         target = _schema(schema)
-    located = text.select("value", "_metadata.file_path", "_metadata.file_block_start")
-    body = located.mapInArrow(lambda batches: _without_first_lines(batches, skip + 1), "value string")
+    located = text.select("value", *[f"_metadata.{c}" for c in ("file_path", "file_block_start", "file_size", "file_block_length")])
+    body = located.mapInArrow(lambda batches: _without_first_lines(batches, skip, sep, names), "value string")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target.fields)
     parsed = body.filter(F.col("value") != "").select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
     return parsed.select("r.*")
@@ -179,19 +195,19 @@ def read_parquet_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def latest_partition_value(df: DataFrame, column: str) -> str:
-    """The greatest value of a partition column, from the file names the scan has listed already."""
-    values = [part.split("=", 1)[1] for file in df.inputFiles() for part in file.split("/") if part.startswith(f"{column}=")]
-    if not values:
+def latest_partition_value(df: DataFrame, column: str) -> object:
+    """The greatest value of a partition column, in its own type; null partitions do not count.
+
+    Partition values come with the file listing, so no column is read from the files.
+    """
+    value = df.agg(F.max(column)).first()[0]
+    if value is None:
         raise ValueError(f"no files partitioned by {column}")
-    return max(values)
+    return value
 
 
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
-    """Rows of the greatest value of a partition column.
-
-    No data is read to find the value, and the filter on it prunes all other partitions.
-    """
+    """Rows of the greatest value of a partition column; the filter on it prunes all other partitions."""
     return df.filter(F.col(column) == F.lit(latest_partition_value(df, column)).cast(df.schema[column].dataType))
 
 
@@ -252,19 +268,27 @@ def read_jdbc(spark: SparkSession, connection: Mapping[str, str], **request) ->
     return spark.read.format("jdbc").options(**jdbc_options(connection, **request)).load()
 
 
-def parse_arrivals(messages: DataFrame, column: str = "message", max_bytes: int | None = 1_048_576) -> DataFrame:
-    """Bucket, key and size of arrived files, from messages whose body is JSON inside JSON."""
+def split_arrivals(messages: DataFrame, column: str = "message", max_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Arrived files and rejected records, from messages whose body is JSON inside JSON.
+
+    A message may hold many records. Arrivals have bucket, key, size and receipt; rejected ones
+    have the message, the record's body and a reason: ``unreadable``, or ``too large`` when
+    ``max_bytes`` is given.
+    """
     envelope = "Records array<struct<body: string, receiptHandle: string>>"
     body = "detail struct<bucket: struct<name: string>, object: struct<key: string, size: bigint>>"
-    first = messages.select(F.get(F.from_json(column, envelope)["Records"], F.lit(0)).alias("_record"))
-    found = first.select(F.col("_record.receiptHandle").alias("receipt"), F.from_json("_record.body", body)["detail"].alias("_detail"))
-    arrivals = found.select(
-        F.col("_detail.bucket.name").alias("bucket"),
-        F.col("_detail.object.key").alias("key"),
-        F.col("_detail.object.size").alias("size"),
-        "receipt",
-    )
-    return arrivals if max_bytes is None else arrivals.filter(F.col("size") <= max_bytes)
+    records = messages.select(F.col(column).alias("message"), F.explode_outer(F.from_json(column, envelope)["Records"]).alias("_record"))
+    found = records.select("message", "_record.body", F.col("_record.receiptHandle").alias("receipt"), F.from_json("_record.body", body)["detail"].alias("_detail"))
+    key, size = F.col("_detail.object.key"), F.col("_detail.object.size")
+    large = F.lit(False) if max_bytes is None else F.coalesce(size > max_bytes, F.lit(False))
+    judged = found.withColumn("reason", F.when(key.isNull(), "unreadable").when(large, "too large"))
+    arrivals = judged.filter("reason IS NULL").select(F.col("_detail.bucket.name").alias("bucket"), key.alias("key"), size.alias("size"), "receipt")
+    return arrivals, judged.filter("reason IS NOT NULL").select("message", "body", "reason")
+
+
+def parse_arrivals(messages: DataFrame, column: str = "message", max_bytes: int | None = None) -> DataFrame:
+    """The arrivals of :func:`split_arrivals`."""
+    return split_arrivals(messages, column, max_bytes)[0]
 
 
 def listed_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.readers import CORRUPT
 
+MOST_FILES = 10_000
+
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1000) -> DataFrame:
-    """Lines of JSON, parsed and projected. Other sources give the same ``value`` column."""
+    """Lines of JSON, parsed, with the raw text of unreadable ones. Other sources give the same ``value`` column."""
     return parse_json(spark.readStream.option("maxFilesPerTrigger", max_files).text(path), schema)
 
 
 def parse_json(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
-    return lines.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    """The fields of each record; one that cannot be read has nulls, and its text in ``_corrupt_record``."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return lines.select(F.from_json(F.col("value").cast("string"), wide, options).alias("data")).select("data.*")
 
 
 def enrich(stream: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,24 +32,56 @@ def enrich(stream: DataFrame, dimension: DataFrame, keys: Sequence[str]) -> Data
     return stream.join(dimension, list(keys))
 
 
+def _run_folder(spark: SparkSession, checkpoint: str) -> str:
+    """A folder name for the batches of one checkpoint, which a new or lost checkpoint does not share.
+
+    Batches are numbered from 0 by each checkpoint; its metadata holds the identity of its query.
+    """
+    return "run=" + spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, file_format: str = "parquet", **options: str) -> StreamingQuery:
     """Write all data available now, once, and stop."""
     writer = df.writeStream.format(file_format).options(**options).outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
 
 
-def _write_batch(batch: DataFrame, batch_id: int, target: str, quarantine: str) -> None:
+def append_readable(
+    records: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, quarantine: str, checkpoint: str
+) -> StreamingQuery:
+    """Write the transformed readable records, and the text of unreadable ones apart, then stop.
+
+    Each batch has its own folder, written over when the batch is retried.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{_run_folder(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
+        good = transform(batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+        good.write.mode("overwrite").parquet(f"{path}/{folder}")
+        bad = batch.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+        bad.write.mode("overwrite").text(f"{quarantine}/{folder}")
+
+    return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _write_batch(batch: DataFrame, batch_id: int, target: str, quarantine: str, checkpoint: str) -> None:
     """Good files to the target and files with a malformed record to quarantine.
 
-    Each batch has its own folder, written over when the batch is retried, so no row is added
-    twice. The bad files are at most the files of one batch, a number the reader is given, so
-    they can be broadcast and a large file's rows stay where they are.
+    The batch is parsed once, into a folder that the next batch writes over. Each batch has its own
+    target folder, written over when the batch is retried, so no row is added twice. The bad files
+    are at most the files of one batch, a number the reader is given, so they can be broadcast and
+    a large file's rows stay where they are.
     """
-    bad_files = F.broadcast(batch.filter(F.col(CORRUPT).isNotNull()).select("_file").distinct())
-    good = batch.join(bad_files, "_file", "left_anti").drop("_file", CORRUPT)
-    good.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-    bad = batch.join(bad_files, "_file", "left_semi").withColumnsRenamed({"_file": "file_path", CORRUPT: "raw_record"})
-    bad.write.mode("overwrite").json(f"{quarantine}/batch_id={batch_id}")
+    spark = batch.sparkSession
+    run = _run_folder(spark, checkpoint)
+    staged = f"{quarantine}/_staged/{run}"
+    batch.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(batch.schema).parquet(staged)
+    bad_files = F.broadcast(rows.filter(F.col(CORRUPT).isNotNull()).select("_file").distinct())
+    good = rows.join(bad_files, "_file", "left_anti").drop("_file", CORRUPT)
+    good.write.mode("overwrite").parquet(f"{target}/{run}/batch_id={batch_id}")
+    bad = rows.join(bad_files, "_file", "left_semi").withColumnsRenamed({"_file": "file_path", CORRUPT: "raw_record"})
+    bad.write.mode("overwrite").json(f"{quarantine}/{run}/batch_id={batch_id}")
 
 
 def ingest_files(
@@ -54,27 +92,33 @@ def ingest_files(
     checkpoint: str,
     schema: T.StructType,
     archive: str | None = None,
-    sep: str = ",",
-    header: bool = True,
+    file_format: str = "csv",
     max_files: int = 1000,
+    **options: str | bool,
 ) -> StreamingQuery:
-    """Load delimited files that have not been loaded yet, then stop.
+    """Load files that have not been loaded yet, then stop.
 
-    A file with a malformed record is quarantined whole, with the raw text of its bad records.
-    The checkpoint remembers files. Files of a finished batch move to ``archive`` when a later
-    batch runs.
+    ``file_format`` is ``csv``, ``json`` or ``parquet``; ``options`` are the reader's, such as
+    ``sep``, ``header`` (true unless given), ``quote``, ``nullValue``, ``dateFormat`` or
+    ``timestampFormat``. A file with a malformed record is quarantined whole, with the raw text of
+    its bad records. The checkpoint remembers files. Files of a finished batch move to ``archive``
+    when a later batch runs. ``max_files`` a batch, 10,000 at most, bound what is broadcast.
     """
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = (
-        spark.readStream.schema(wide)
-        .options(sep=sep, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .option("maxFilesPerTrigger", max_files)
-    )
+    if not 0 < max_files <= MOST_FILES:
+        raise ValueError(f"max_files must be from 1 to {MOST_FILES}")
+    text = file_format != "parquet"
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if text else schema
+    reader = spark.readStream.format(file_format).schema(wide).option("maxFilesPerTrigger", max_files)
+    if text:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    if file_format == "csv":
+        reader = reader.option("header", True)
     if archive:
         reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
-    rows = reader.csv(landing).withColumn("_file", F.col("_metadata.file_path"))
+    rows = reader.options(**options).load(landing).withColumn("_file", F.col("_metadata.file_path"))
+    rows = rows if text else rows.withColumn(CORRUPT, F.lit(None).cast("string"))
     return (
-        rows.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, batch_id, target, quarantine))
+        rows.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, batch_id, target, quarantine, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

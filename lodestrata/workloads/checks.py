@@ -51,7 +51,7 @@ def failed_rows(spark, sf_dir):
 _TOTALS_SQL = """
     SELECT count(*) AS declared_rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS declared_checksum,
            count(*) AS loaded_rows, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS loaded_checksum,
-           true AS reconciled FROM lineitem
+           CAST(0 AS BIGINT) AS unreadable, true AS reconciled FROM lineitem
 """
 
 
@@ -69,7 +69,7 @@ def reconcile_counts(spark, sf_dir):
     triggers = readers.read_delimited(spark, f"{base}/triggers", ddl, sep="|", header=False)
     staged = spark.read.parquet(f"{base}/staged")
     verdict = quality.reconcile(triggers, staged, "etl_process_id", "run-1", "quantity")
-    quality.promote(staged, verdict, f"{base}/main")
+    quality.promote(staged, verdict, f"{base}/main", "run-1")
     promoted = spark.read.parquet(f"{base}/main").agg(F.count(F.lit(1)).alias("loaded_rows"))
     return verdict.join(promoted.withColumn("promoted_rows", F.col("loaded_rows")), "loaded_rows")
 
@@ -84,7 +84,8 @@ def new_files_only(spark, sf_dir):
     checkpoint = scratch_path(spark, "processed")
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     files = documents.select("doc_id", F.concat("source", F.lit("/"), "doc_id", F.lit(".txt")).alias("file_name"), F.col("n_chars").alias("length"))
-    files.join(labels.select("doc_id"), "doc_id", "left_semi").select("file_name", F.lit(1).alias("rows_processed")).write.json(checkpoint)
+    done = files.join(labels.select("doc_id"), "doc_id", "left_semi").select("file_name", F.lit(1).cast("bigint").alias("rows_processed"))
+    writers.record_processed(done, checkpoint)
     processed = spark.read.schema(writers.PROCESSED_SCHEMA).json(checkpoint)
     return readers.unprocessed(files.drop("doc_id"), processed)
 
@@ -101,9 +102,12 @@ def stream_enrich(spark, sf_dir):
     table(spark, sf_dir, "events").select(F.to_json(record).alias("value")).write.text(f"{base}/in")
     records = streams.json_stream(spark, f"{base}/in", "event_id bigint, c_custkey bigint, props struct<k: int>")
     dimension = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    joined = streams.enrich(records, dimension, ["c_custkey"]).select("event_id", "c_custkey", "c_name", "c_mktsegment", "props.k")
-    streams.append_stream(joined, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+
+    def joined(rows):
+        return streams.enrich(rows, dimension, ["c_custkey"]).select("event_id", "c_custkey", "c_name", "c_mktsegment", "props.k")
+
+    streams.append_readable(records, joined, f"{base}/out", f"{base}/bad", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("run", "batch_id")
 
 
 @workload(
@@ -136,3 +140,18 @@ def stream_file_ingest(spark, sf_dir):
     loaded = spark.read.parquet(f"{base}/loaded").select("o_orderkey", F.lit("loaded").alias("outcome"))
     bad = spark.read.json(f"{base}/bad").select("o_orderkey", F.lit("quarantined").alias("outcome"))
     return loaded.unionByName(bad)
+
+
+@workload("SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type <> 'view' THEN value END AS value FROM events")
+def stream_typed_ingest(spark, sf_dir):
+    """Semicolon-separated files with single quotes, a spelling of null and a date format."""
+    base = scratch_path(spark, "ingest")
+    events = table(spark, sf_dir, "events")
+    quoted = F.concat(F.lit("'"), "event_type", F.lit("'"))
+    value = F.when(F.col("event_type") == "view", "none").otherwise(F.col("value").cast("string"))
+    line = F.concat_ws(";", "event_id", quoted, F.date_format("ts", "dd.MM.yyyy"), value)
+    events.select(line.alias("value")).write.text(f"{base}/landing")
+    schema = T.StructType.fromDDL("event_id bigint, event_type string, day date, value double")
+    options = {"sep": ";", "quote": "'", "nullValue": "none", "dateFormat": "dd.MM.yyyy", "header": False}
+    streams.ingest_files(spark, f"{base}/landing", f"{base}/loaded", f"{base}/bad", f"{base}/checkpoint", schema, **options).awaitTermination()
+    return spark.read.parquet(f"{base}/loaded").select("event_id", "event_type", F.col("day").cast("string").alias("day"), "value")

@@ -186,16 +186,16 @@ def scan_by_extension_tsv(spark, sf_dir):
 
 @workload(
     """
-    SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m') AS load_month FROM orders
-    WHERE strftime(o_orderdate, '%Y%m') = (SELECT max(strftime(o_orderdate, '%Y%m')) FROM orders)
+    SELECT o_orderkey, o_totalprice, CAST(month(o_orderdate) AS INTEGER) AS load_month FROM orders
+    WHERE month(o_orderdate) = (SELECT max(month(o_orderdate)) FROM orders)
     """
 )
 def latest_partition_scan(spark, sf_dir):
+    """Months are numbers without leading zeros, so their order as text would be another one."""
     path = scratch_path(spark, "months")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyyMM").alias("load_month"))
-    writers.overwrite_partitions(orders.repartition("load_month"), path, ["load_month"])
-    latest = readers.latest_partition(spark.read.parquet(path), "load_month")
-    return latest.withColumn("load_month", F.col("load_month").cast("string"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.month("o_orderdate").alias("load_month"))
+    writers.overwrite_partitions(orders.repartition("load_month", F.pmod(F.xxhash64("o_orderkey"), F.lit(4))), path, ["load_month"])
+    return readers.latest_partition(spark.read.parquet(path), "load_month")
 
 
 @workload(
@@ -250,7 +250,8 @@ def quarantine_split(spark, sf_dir):
 
 @workload(
     """
-    SELECT count(*) AS total_rows, CAST(3 AS INTEGER) AS total_columns, true AS all_hashed, true AS all_sized FROM lineitem
+    SELECT 'l_returnflag=' || l_returnflag AS folder, count(*) AS total_rows, CAST(3 AS INTEGER) AS total_columns, true AS named_apart,
+           true AS all_hashed, true AS all_sized FROM lineitem GROUP BY l_returnflag
     """
 )
 def file_manifest(spark, sf_dir):
@@ -259,9 +260,10 @@ def file_manifest(spark, sf_dir):
     writers.overwrite_partitions(lines, f"{path}/data", ["l_returnflag"])
     rows = writers.manifest(spark, f"{path}/data", F.lit("2026-12-01T00:00:00"), "lines", "run-1")
     writers.write_manifest(rows, f"{path}/triggers", f"{path}/lines.index")
-    written = spark.read.json(f"{path}/triggers")
-    return written.agg(
+    written = spark.read.option("pathGlobFilter", "*.trg.json").json(f"{path}/triggers")
+    return written.groupBy(F.substring_index("DataFileName", "/", 1).alias("folder")).agg(
         F.sum("NumberOfRows").alias("total_rows"),
+        (F.count_distinct("TriggerFileName") == F.count(F.lit(1))).alias("named_apart"),
         F.max("NumberOfColumns").cast("int").alias("total_columns"),
         F.every(F.length("MD5HashKey") == 32).alias("all_hashed"),
         F.every(F.col("DataFileSize") > 0).alias("all_sized"),
@@ -308,8 +310,8 @@ def incremental_load(spark, sf_dir):
     base = scratch_path(spark, "incremental")
     events = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyyMMdd_HHmmss").alias(LOAD_COLUMN))
     for until in ("20240110_000000", "20240125_000000"):
-        loads.load_incremental(spark, events, f"{base}/checkpoint", until, lambda rows: writers.append(rows, f"{base}/data"))
-    return spark.read.parquet(f"{base}/data")
+        loads.load_incremental(spark, events, f"{base}/checkpoint", until, loads.write_range(f"{base}/data"))
+    return spark.read.parquet(f"{base}/data").drop("after")
 
 
 @workload(history.VERSIONED_MERGE_SQL)

@@ -246,7 +246,7 @@ def versioned_history(spark, sf_dir):
     base = scratch_path(spark, "history")
     for stamp, batch in zip(("20261130_000000", "20261201_000000"), _history_and_stage(spark, sf_dir)):
         load_history(spark, batch, base, ["hash_key"], _as_of(), stamp)
-    return current_version(spark, base).withColumn("current_indicator", F.col("current_indicator").cast("bigint"))
+    return current_version(spark, base)
 
 
 @workload(f"WITH {_HISTORY_SQL} SELECT * FROM loaded WHERE current_indicator = 1")

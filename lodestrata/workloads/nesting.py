@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,18 +102,20 @@ def json_props(spark, sf_dir):
 @workload(
     """
     SELECT source AS bucket, lang || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS key, n_chars * 200 AS size, 'r' || CAST(doc_id AS VARCHAR) AS receipt
-    FROM documents WHERE n_chars * 200 <= 1048576
+    FROM documents
+    UNION ALL SELECT source, lang || '/' || CAST(doc_id AS VARCHAR) || '.json', n_chars, 'r' || CAST(doc_id AS VARCHAR) FROM documents
     """
 )
 def message_events(spark, sf_dir):
-    detail = F.struct(
-        F.struct(F.col("source").alias("name")).alias("bucket"),
-        F.struct(F.concat("lang", F.lit("/"), "doc_id", F.lit(".txt")).alias("key"), (F.col("n_chars") * 200).alias("size")).alias("object"),
-    )
-    body = F.to_json(F.struct(detail.alias("detail")))
-    record = F.struct(body.alias("body"), F.concat(F.lit("r"), "doc_id").alias("receiptHandle"))
-    messages = table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("message"))
-    return parse_arrivals(messages)
+    """Each message announces two files."""
+
+    def record(ending, size):
+        key = F.concat("lang", F.lit("/"), "doc_id", F.lit(ending))
+        detail = F.struct(F.struct(F.col("source").alias("name")).alias("bucket"), F.struct(key.alias("key"), size.alias("size")).alias("object"))
+        return F.struct(F.to_json(F.struct(detail.alias("detail"))).alias("body"), F.concat(F.lit("r"), "doc_id").alias("receiptHandle"))
+
+    records = F.array(record(".txt", F.col("n_chars") * 200), record(".json", F.col("n_chars")))
+    return parse_arrivals(table(spark, sf_dir, "documents").select(F.to_json(F.struct(records.alias("Records"))).alias("message")))
 
 
 @workload(
@@ -166,8 +170,12 @@ def array_difference(spark, sf_dir):
     return vectors.join(following, "vec_id").select("vec_id", difference("embedding", "next").alias("difference"))
 
 
-@workload("SELECT page_id, url, length(html) - length(replace(html, '<a ', '  ')) AS links FROM pages")
+def _without_accents(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+
+
+@workload("SELECT doc_id, strip_accents(text) AS plain FROM documents")
 def map_in_batches(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    counted = add_column_in_batches(pages, "links", T.LongType(), lambda batch: batch["html"].str.count("<a "))
-    return counted.select("page_id", "url", "links")
+    """Unicode decomposition, for which there is no built-in expression."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return add_column_in_batches(docs, "plain", T.StringType(), lambda batch: batch["text"].map(_without_accents)).drop("text")

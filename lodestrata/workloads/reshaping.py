@@ -153,7 +153,7 @@ _AMOUNTS = [
 _MAPPING = [
     (label, "Y" if i % 3 == 0 else "", "Y" if i % 3 == 1 else None, "Y" if i % 4 == 2 else "")
     for i, (label, _) in enumerate(reports.CONTRIBUTIONS)
-][:-1]
+]
 _D = "CAST({} AS DECIMAL(18,2))"
 
 

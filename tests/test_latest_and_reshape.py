@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.functions import scalar
@@ -91,9 +92,12 @@ def test_column_operators(spark):
 
 def test_calendar(spark):
     span = spark.sql("SELECT date'2025-12-24' AS first, date'2026-01-06' AS last")
-    holidays = calendar.parse_holidays(
-        spark.createDataFrame([("2025-12-25", "Christmas"), ("2026-01-01", "New Year"), ("soon", "x")], "date string, holiday_description string")
-    )
+    listed = [("2025-12-25", "Christmas"), ("2026-01-01", "New Year"), ("2026-01-01", "Year"), ("soon", "x")]
+    holidays, unreadable = calendar.split_holidays(spark.createDataFrame(listed, "date string, holiday_description string"))
+    assert rows(unreadable) == [("soon", "x")]
+    with pytest.raises(Exception, match="unreadable holiday soon"):
+        calendar.parse_holidays(spark.createDataFrame(listed, "date string, holiday_description string")).collect()
+    assert calendar.business_calendar(span, holidays).count() == 14
     by_day = {str(r.date): r for r in calendar.business_calendar(span, holidays).collect()}
     eve = by_day["2025-12-24"]
     assert (str(eve.next_business_date), str(eve.day_after_business_date)) == ("2025-12-26", "2025-12-29")

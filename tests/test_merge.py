@@ -88,6 +88,12 @@ def test_scd2_keeps_rows_without_an_indicator(spark):
     assert rows(loaded.select("v", "current_indicator")) == [("c", 1), ("n", None), ("z", 0)]
 
 
+def test_scd2_refuses_repeated_stage_keys(spark):
+    target, stage = history(spark, [(1, "n", "9999-09-09", 1)]), history(spark, [(2, "a", "9999-09-09", 1), (2, "b", "9999-09-09", 1)])
+    with pytest.raises(Exception, match="several source rows"):
+        merge.scd2_load(target, stage, ["k"], F.to_date(F.lit("2026-12-01"))).collect()
+
+
 def test_scd2_close_all_moves_earlier_end_dates(spark):
     target = history(spark, [(1, "z", "2020-01-01", 0)])
     stage = history(spark, [(1, "c", "9999-09-09", 1)])

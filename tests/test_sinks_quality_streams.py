@@ -81,7 +81,7 @@ def test_checkpoint_advances_only_after_the_write(spark, tmp_path):
     df = spark.createDataFrame([(f"2026010{i}_000000",) for i in range(1, 6)], f"{LOAD_COLUMN} string")
     assert loads.read_checkpoint(spark, path) == "20000101_000000"
 
-    def fail(_):
+    def fail(*_):
         raise RuntimeError("no")
 
     with pytest.raises(RuntimeError):
@@ -89,8 +89,8 @@ def test_checkpoint_advances_only_after_the_write(spark, tmp_path):
     assert loads.read_checkpoint(spark, path) == "20000101_000000"
     seen = []
     for until in ("20260102_000000", "20260104_000000"):
-        loads.load_incremental(spark, df, path, until, lambda part: seen.append(part.count()))
-    assert seen == [2, 2] and loads.read_checkpoint(spark, path) == "20260104_000000"
+        loads.load_incremental(spark, df, path, until, lambda part, after: seen.append((part.count(), after)))
+    assert seen == [(2, "20000101_000000"), (2, "20260102_000000")] and loads.read_checkpoint(spark, path) == "20260104_000000"
 
 
 def test_flattened_load_writes_every_table(spark, tmp_path):
@@ -119,6 +119,49 @@ def test_manifest_has_one_row_per_file(spark, tmp_path):
     assert {r.NumberOfColumns for r in got} == {2} and all(len(r.MD5HashKey) == 32 for r in got)
     writers.write_manifest(manifest, str(tmp_path / "trg"), str(tmp_path / "index"))
     assert spark.read.text(str(tmp_path / "index")).count() == 3
+    assert {f.name for f in (tmp_path / "trg").iterdir()} == {r.DataFileName + ".trg.json" for r in got}
+
+
+def test_manifest_names_differ_between_partitions(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, p string").coalesce(1).write.partitionBy("p").parquet(path)
+    got = writers.manifest(spark, path, F.lit("now"), "spec", "run").collect()
+    assert len({r.TriggerFileName for r in got}) == 3 and {r.DataFileName.split("/")[0] for r in got} == {"p=a", "p=b", "p=c"}
+
+
+def test_versions_keep_types(spark, tmp_path):
+    base, at = str(tmp_path / "typed"), F.lit("2026-12-01").cast("timestamp")
+    for stamp, code in (("1", "007"), ("2", "008"), ("3", "0100")):
+        batch = spark.createDataFrame([(int(stamp), code)], "k int, code string")
+        loads.load_merged(spark, batch, base, ["k"], stamp, at, "me", "s", ["code"])
+    assert rows(writers.current_version(spark, base).select("k", "code")) == [(1, "007"), (2, "008"), (3, "0100")]
+
+
+def test_incremental_retry_adds_nothing_twice(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"2026010{i}_000000") for i in range(1, 6)], f"id int, {LOAD_COLUMN} string")
+    write = loads.write_range(str(tmp_path / "data"))
+    write(df.limit(2), loads.read_checkpoint(spark, str(tmp_path / "c")))  # a run lost before its checkpoint
+    for until in ("20260103_000000", "20260105_000000"):
+        loads.load_incremental(spark, df, str(tmp_path / "c"), until, write)
+    assert rows(spark.read.parquet(str(tmp_path / "data")).select("id")) == [(1,), (2,), (3,), (4,), (5,)]
+
+
+def test_partition_merge_completes_after_a_lost_run(spark, tmp_path, monkeypatch):
+    base, at = str(tmp_path / "lost"), F.lit("2026-12-01").cast("timestamp")
+
+    def load(values, stamp):
+        batch = spark.createDataFrame(values, "k int, p string")
+        return loads.load_merged_partitions(spark, batch, "lost_run", base, ["k", "p"], "p", stamp, at, "me", "s")
+
+    load([(1, "O'B"), (2, "b\\c")], "1")
+    monkeypatch.setattr(loads, "_quoted", lambda value: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load([(3, "O'B"), (4, "d")], "2")
+    monkeypatch.undo()
+    load([(3, "O'B"), (4, "d")], "2")
+    assert rows(spark.table("lost_run").select("k", "p")) == [(1, "O'B"), (2, "b\\c"), (3, "O'B"), (4, "d")]
+    with pytest.raises(ValueError, match="complete"):
+        load([(5, "d")], "2")
 
 
 def test_file_sizing(spark, tmp_path):
@@ -127,7 +170,10 @@ def test_file_sizing(spark, tmp_path):
     writers.write_sized(df, str(tmp_path / "o"), limit)
     sizes = [f.stat().st_size for f in (tmp_path / "o").glob("*.parquet")]
     assert max(sizes) < 200_000 and len(sizes) > 5
-    assert writers.records_per_file(spark.range(0), str(tmp_path / "e")) == 0
+    many = writers.records_per_file(df.repartition(200), str(tmp_path / "m"), target_bytes=100_000, fraction=0.1)
+    assert abs(many - limit) < 0.1 * limit
+    assert writers.records_per_file(spark.range(0), str(tmp_path / "e"), 1000) == 0
+    assert writers.records_per_file(df, str(tmp_path / "n"), 100_000, fraction=0.0) > 100
 
 
 def test_quoted_csv_keeps_text(spark, tmp_path):
@@ -139,8 +185,8 @@ def test_quoted_csv_keeps_text(spark, tmp_path):
 
 def test_processed_files_table(spark, tmp_path):
     path = str(tmp_path / "p")
-    writers.record_processed(spark, path, "a.csv", 3)
-    writers.record_processed(spark, path, "b.csv", 4)
+    for done in (("a.csv", 3), ("b.csv", 4)):
+        writers.record_processed(spark.createDataFrame([done], writers.PROCESSED_SCHEMA), path)
     assert rows(spark.read.schema(writers.PROCESSED_SCHEMA).json(path)) == [("a.csv", 3), ("b.csv", 4)]
 
 
@@ -173,8 +219,11 @@ def test_reconciliation_gates_promotion(spark, tmp_path):
     bad = quality.reconcile(wrong, loaded, "run", "r1", "amount")
     assert good.first().reconciled and not bad.first().reconciled
     assert quality.reconcile(wrong, loaded, "run", "r1").first().reconciled
-    assert not quality.promote(loaded, bad, main) and not os.path.exists(main)
-    assert quality.promote(loaded, good, main) and spark.read.parquet(main).count() == 3
+    assert not quality.promote(loaded, bad, main, "r1") and not os.path.exists(main)
+    for _ in range(2):
+        assert quality.promote(loaded, good, main, "r1") and spark.read.parquet(main).count() == 3
+    unreadable = spark.createDataFrame([("a", "t", "2", "11"), ("b", "t", "oops", None)], columns)
+    assert not quality.reconcile(unreadable, loaded, "run", "r1", "amount").first().reconciled
 
 
 def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
@@ -182,15 +231,18 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, tmp_path):
     (tmp_path / "in" / "a.txt").write_text('{"id":1,"value":"x"}\n{"id":9,"value":"y"}\nnot json\n')
     dimension = spark.createDataFrame([(1, "A"), (2, "B")], "id int, name string")
 
-    def run():
+    def run(checkpoint="cp"):
         stream = streams.json_stream(spark, str(tmp_path / "in"), "id int, value string")
-        streams.append_stream(streams.enrich(stream, dimension, ["id"]), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-        return rows(spark.read.parquet(str(tmp_path / "out")))
+        enriched = lambda records: streams.enrich(records, dimension, ["id"])
+        streams.append_readable(stream, enriched, str(tmp_path / "out"), str(tmp_path / "bad"), str(tmp_path / checkpoint)).awaitTermination()
+        return rows(spark.read.parquet(str(tmp_path / "out")).select("id", "value", "name"))
 
     assert run() == [(1, "x", "A")]
     assert run() == [(1, "x", "A")]
+    assert rows(spark.read.text(str(tmp_path / "bad")).select("value")) == [("not json",)]
     (tmp_path / "in" / "b.txt").write_text('{"id":2,"value":"z"}\n')
     assert run() == [(1, "x", "A"), (2, "z", "B")]
+    assert run("other") == [(1, "x", "A"), (1, "x", "A"), (2, "z", "B"), (2, "z", "B")]
 
 
 def test_file_ingest_quarantines_whole_files_and_archives(spark, tmp_path):
@@ -214,6 +266,13 @@ def test_file_ingest_quarantines_whole_files_and_archives(spark, tmp_path):
     run()
     assert spark.read.parquet(paths[1]).count() == 3
     assert list((tmp_path / "archive").rglob("good.csv"))
+    other = tmp_path / "second"
+    other.mkdir()
+    (other / "more.csv").write_text("id,v\n6,f\n")
+    streams.ingest_files(spark, str(other), *paths[1:3], str(tmp_path / "cp2"), schema).awaitTermination()
+    assert spark.read.parquet(paths[1]).count() == 4
+    with pytest.raises(ValueError, match="max_files"):
+        streams.ingest_files(spark, str(other), *paths[1:], schema, max_files=10**6)
 
 
 def test_split_malformed(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.session import scratch_path, shared_folder
+from lodestrata.session import scratch_path, shared_folder, use_folder
 from lodestrata.sources import readers, schemas
 from tests.helpers import plan, rows
 
@@ -108,6 +108,37 @@ def test_latest_partition_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p" in plan(got)
 
 
+def test_latest_partition_by_value(spark, tmp_path):
+    numbers = spark.range(1, 13).select("id", F.col("id").cast("int").alias("m"))
+    numbers.write.partitionBy("m").parquet(str(tmp_path / "n"))
+    assert rows(readers.latest_partition(spark.read.parquet(str(tmp_path / "n")), "m").select("id")) == [(12,)]
+    times = spark.sql("SELECT id, IF(id = 0, NULL, concat('2026-01-0', id, ' 00:00:00')) AS p FROM range(3)")
+    times.write.partitionBy("p").parquet(str(tmp_path / "t"))
+    assert rows(readers.latest_partition(spark.read.parquet(str(tmp_path / "t")), "p").select("id")) == [(2,)]
+    with pytest.raises(ValueError, match="partitioned"):
+        readers.latest_partition(spark.read.parquet(str(tmp_path / "n")).limit(0), "m")
+
+
+def test_first_lines_beyond_the_first_split(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 3000 + "\na;b\n1;2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        with pytest.raises(Exception, match="first split"):
+            readers.read_after_first_line(spark, str(tmp_path), sep=";").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows(readers.read_after_first_line(spark, str(tmp_path), sep=";")) == [("1", "2")]
+
+
+def test_headers_are_parsed_and_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('lead\n"a;x";b\n"1;1";2\n')
+    got = readers.read_after_first_line(spark, str(tmp_path), sep=";")
+    assert got.columns == ["a;x", "b"] and rows(got) == [("1;1", "2")]
+    (tmp_path / "b.csv").write_text("lead\na;b\n1;2\n")
+    with pytest.raises(Exception, match="has the header"):
+        readers.read_after_first_line(spark, str(tmp_path), sep=";").collect()
+
+
 def test_latest_file(spark, tmp_path):
     for day in ("20260101", "20260102"):
         (tmp_path / f"{day}.csv").write_text(f"d\n{day}\n")
@@ -140,7 +171,11 @@ def test_arrivals_and_unprocessed(spark, tmp_path):
         return (json.dumps({"Records": [{"body": body, "receiptHandle": "r"}]}),)
 
     sent = spark.createDataFrame([message("small", 10), message("limit", 1_048_576), message("big", 1_048_577), ("junk",)], "message string")
-    arrived = readers.parse_arrivals(sent)
+    both = json.loads(message("small", 10)[0])["Records"] + json.loads(message("second", None)[0])["Records"]
+    assert rows(readers.parse_arrivals(sent).select("key")) == [("big",), ("limit",), ("small",)]
+    assert rows(readers.parse_arrivals(spark.createDataFrame([(json.dumps({"Records": both}),)], "message string")).select("key")) == [("second",), ("small",)]
+    arrived, rejected = readers.split_arrivals(sent, max_bytes=1_048_576)
+    assert rows(rejected.select("reason")) == [("too large",), ("unreadable",)]
     assert rows(arrived.select("key")) == [("limit",), ("small",)]
     done = spark.createDataFrame([("small", 1)], "file_name string, rows_processed bigint")
     assert rows(readers.unprocessed(arrived.withColumnRenamed("key", "file_name"), done).select("file_name")) == [("limit",)]
@@ -156,4 +191,8 @@ def test_shared_folder_follows_the_session(spark, tmp_path):
     assert scratch_path(named, "x").startswith(f"{tmp_path}/lodestrata/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session(**{"spark.master": "yarn"}))
-    assert shared_folder(spark) == shared_folder(spark)
+    local = session(**{"spark.master": "local[2]", "spark.app.id": "some-app"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(local)
+    use_folder(local, str(tmp_path))
+    assert shared_folder(local) == str(tmp_path)
