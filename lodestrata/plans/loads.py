@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -137,16 +138,27 @@ def load_merged_partitions(
     return touched
 
 
-def load_history(
-    spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str, view: str | None = None
-) -> str:
-    """Close and add history rows in the current version, stored as the next one.
+def load_history(spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str) -> str:
+    """Close and add history rows; what was closed by earlier loads is neither read nor written again.
 
-    Versions are partitioned by the current indicator, so that closed rows lie apart.
+    A version holds the rows that are current after its load, and those it closed, apart.
+    :func:`history_rows` puts the whole history together.
     """
-    current = writers.current_version(spark, base)
-    history = stage if current is None else merge.scd2_load(current, stage, keys, as_of)
-    return writers.write_version(history, base, run_stamp, view, ["current_indicator"])
+    newest = writers.current_version(spark, base)
+    history = stage if newest is None else merge.scd2_load(newest.filter(_CURRENT), stage, keys, as_of)
+    return writers.write_version(history, base, run_stamp, keys=["current_indicator"])
+
+
+_CURRENT = "current_indicator <=> 1"
+
+
+def history_rows(spark: SparkSession, base: str) -> DataFrame | None:
+    """The current rows of the newest version, and the rows each version closed; ``None`` before the first load."""
+    versions = writers.all_versions(spark, base)
+    if not versions:
+        return None
+    parts = [versions[-1], *(v.filter(f"NOT ({_CURRENT})") for v in versions[:-1])]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def transform_sql(spark: SparkSession, text: str, inputs: Mapping[str, DataFrame], **arguments: object) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -97,28 +97,43 @@ def write_version(df: DataFrame, base: str, version: str, view: str | None = Non
     schema, so that partition keys come back in their own types; a view, when named, is then
     switched to the new version.
     """
-    path = f"{base}/version={version}"
-    df.write.mode("errorifexists").partitionBy(*keys).parquet(path)
-    spark = df.sparkSession
+    path, spark = f"{base}/version={version}", df.sparkSession
+    log = _version_log(spark, base)
+    if log is not None and not log.filter(F.col("version") == version).isEmpty():
+        raise ValueError(f"{path} is complete already")
+    # A folder that is not in the log is what a lost run left.
+    df.write.mode("overwrite").partitionBy(*keys).parquet(path)
     spark.createDataFrame([(version, path, df.schema.json())], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
     if view:
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
 
 
-def current_version(spark: SparkSession, base: str) -> DataFrame | None:
-    """The table as its greatest logged version, or ``None`` before the first."""
+def _version_log(spark: SparkSession, base: str) -> DataFrame | None:
     try:
-        log = spark.read.schema(VERSION_SCHEMA).json(f"{base}/_versions")
+        return spark.read.schema(VERSION_SCHEMA).json(f"{base}/_versions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    newest = log.agg(F.max_by(F.struct("path", "schema"), "version").alias("n")).first()["n"]
-    if newest is None:
-        return None
-    reader = spark.read.schema(StructType.fromJson(json.loads(newest.schema))) if newest.schema else spark.read
-    return reader.parquet(newest.path)
+
+
+def _read_version(spark: SparkSession, entry: Row) -> DataFrame:
+    reader = spark.read.schema(StructType.fromJson(json.loads(entry.schema))) if entry.schema else spark.read
+    return reader.parquet(entry.path)
+
+
+def current_version(spark: SparkSession, base: str) -> DataFrame | None:
+    """The table as its greatest logged version, or ``None`` before the first."""
+    log = _version_log(spark, base)
+    newest = log.agg(F.max_by(F.struct("path", "schema"), "version").alias("n")).first()["n"] if log else None
+    return _read_version(spark, newest) if newest else None
+
+
+def all_versions(spark: SparkSession, base: str) -> list[DataFrame]:
+    """Every logged version, oldest first; there is one for each load."""
+    log = _version_log(spark, base)
+    return [_read_version(spark, entry) for entry in log.orderBy("version").collect()] if log else []
 
 
 # --- counts and manifests -------------------------------------------------------------------

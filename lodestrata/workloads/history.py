@@ -9,9 +9,9 @@ from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date
 from ..operators import merge
 from ..operators.columns import LOAD_COLUMN, add_audit, between_checkpoints, stamp_load
 from ..operators.latest import latest_per_key, latest_value_rows
-from ..plans.loads import load_history
+from ..plans.loads import history_rows, load_history
 from ..session import scratch_path
-from ..sinks.writers import current_version, overwrite_bucketed
+from ..sinks.writers import overwrite_bucketed
 from . import table, workload
 
 
@@ -246,7 +246,7 @@ def versioned_history(spark, sf_dir):
     base = scratch_path(spark, "history")
     for stamp, batch in zip(("20261130_000000", "20261201_000000"), _history_and_stage(spark, sf_dir)):
         load_history(spark, batch, base, ["hash_key"], _as_of(), stamp)
-    return current_version(spark, base)
+    return history_rows(spark, base)
 
 
 @workload(f"WITH {_HISTORY_SQL} SELECT * FROM loaded WHERE current_indicator = 1")

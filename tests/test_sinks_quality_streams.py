@@ -71,9 +71,14 @@ def test_history_load_starts_empty(spark, tmp_path):
     base = str(tmp_path / "h")
     stage = spark.sql("SELECT 1 AS k, 'a' AS v, date'9999-09-09' AS record_end_date, 1L AS current_indicator")
     as_of = F.to_date(F.lit("2026-12-01"))
-    for stamp in ("20260101_000000", "20260102_000000"):
+    assert loads.history_rows(spark, base) is None
+    for stamp in ("20260101_000000", "20260102_000000", "20260103_000000"):
+        spark.range(1).write.parquet(f"{base}/version={stamp}")  # what a lost run left
         loads.load_history(spark, stage, base, ["k"], as_of, stamp)
-    assert rows(writers.current_version(spark, base).select("current_indicator")) == [(0,), (1,)]
+    assert rows(loads.history_rows(spark, base).select("current_indicator")) == [(0,), (0,), (1,)]
+    assert spark.read.parquet(f"{base}/version=20260103_000000").count() == 2  # closed rows are written once
+    with pytest.raises(ValueError, match="complete"):
+        loads.load_history(spark, stage, base, ["k"], as_of, "20260103_000000")
 
 
 def test_checkpoint_advances_only_after_the_write(spark, tmp_path):
