@@ -10,9 +10,10 @@ open go on to a further one. The work per text is its shingles plus about ``m ln
 whatever the weights.
 
 Texts that agree in a band meet in a bucket. In each bucket all are compared with the least one,
-exactly, which joins groups of copies with as many comparisons as rows. Where a bucket still holds
-more than one component, its signatures are compared in blocks inside tasks, and pairs whose
-estimate is within five standard deviations of the threshold are compared exactly.
+exactly, which joins groups of copies with as many comparisons as rows. A bucket that still holds
+more than one component is cut into blocks, and each pair of blocks is a task's work: texts of
+different components are compared exactly, unless the share of equal registers is more than five
+standard deviations below the threshold. No pairs leave the task but the links that join components.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ from .wordhash import mix, shingle_hashes, slices, weighted_jaccard
 BANDS, ROWS = 32, 6
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-53
-_BLOCK = 1024
+#: rows and bytes of text in a block of a bucket, about
+_BLOCK_ROWS, _BLOCK_BYTES = 512, 2 << 20
 #: texts of about equal size go together, by their number of shingles
 _CLASSES = (1, 8, 32, 128, 512, 2048, 1 << 62)
 
@@ -121,8 +124,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     part["node"].take(pa.array(full)),
                     pa.array(list(bands[full].view(np.int64)), pa.list_(pa.int64())),
                     pa.array([x.tobytes() for x in short], pa.binary()),
+                    pc.binary_length(part["text"].take(pa.array(full))).cast(pa.int64()),
                 ],
-                names=["node", "bands", "signature"],
+                names=["node", "bands", "signature", "size"],
             )
 
 
@@ -142,36 +146,74 @@ def _similar(threshold: float):
     return step
 
 
-def _estimated(least: float):
-    """Pairs of different components in one bucket whose signatures agree in a share of ``least`` registers."""
+class _Bags:
+    """The shingle bags of a block, for the similarity of one to many."""
 
-    def pairs(nodes: np.ndarray, roots: np.ndarray, marks: np.ndarray, other: np.ndarray) -> Iterator[tuple[int, int]]:
-        for i in range(nodes.size):
-            far = np.flatnonzero(other[i] & (roots != roots[i]))
+    def __init__(self, shingles: np.ndarray, bounds: np.ndarray):
+        owner = np.repeat(np.arange(bounds.size - 1), np.diff(bounds))
+        head = np.r_[True, (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])] if shingles.size else np.empty(0, bool)
+        at = np.flatnonzero(head)
+        self.ids = np.unique(shingles[at], return_inverse=True)[1]
+        self.counts = np.diff(np.r_[at, shingles.size])
+        self.starts = np.searchsorted(at, bounds)
+        self.weights = np.zeros(self.ids.max(initial=-1) + 1, np.int64)
+        self.sizes = np.diff(bounds)
+
+    def similarities(self, one: int, many: np.ndarray) -> np.ndarray:
+        a, b = self.starts[one], self.starts[one + 1]
+        self.weights[self.ids[a:b]] = self.counts[a:b]
+        lengths = self.starts[many + 1] - self.starts[many]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(self.starts[many] - (ends - lengths), lengths)
+        shared = np.add.reduceat(np.minimum(self.counts[at], self.weights[self.ids[at]]), ends - lengths)
+        self.weights[self.ids[a:b]] = 0
+        return shared / (self.sizes[one] + self.sizes[many] - shared)
+
+
+def _joined(threshold: float):
+    """Links that join different components within a block.
+
+    A text is compared with all texts of other components whose signatures do not rule it out, the
+    components as they stand after the links found before. So a block gives fewer links than rows.
+    """
+    least = threshold - 5 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+
+    def block(roots: np.ndarray, marks: np.ndarray, bags: _Bags, pairs: np.ndarray) -> Iterator[tuple[int, int]]:
+        labels = np.unique(roots, return_inverse=True)[1]
+        for i in range(roots.size):
+            far = np.flatnonzero(pairs[i] & (labels != labels[i]) & (np.minimum(bags.sizes, bags.sizes[i]) >= threshold * np.maximum(bags.sizes, bags.sizes[i])))
+            far = far[(marks[far] == marks[i]).mean(axis=1) >= least] if far.size else far
             if far.size:
-                hit = far[(marks[far] == marks[i]).mean(axis=1) >= least]
-                yield from ((int(nodes[i]), int(nodes[j])) for j in hit)
+                for j in far[bags.similarities(i, far) >= threshold]:
+                    if labels[j] != labels[i]:
+                        labels[labels == labels[j]] = labels[i]
+                        yield i, j
 
     def step(table: pa.Table) -> pa.Table:
         table = table.sort_by([("band", "ascending"), ("c1", "ascending"), ("c2", "ascending")])
         band, c1, c2, chunk, nodes, roots = (table[c].to_numpy() for c in ("band", "c1", "c2", "chunk", "node", "root"))
-        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(nodes), -1)
         edges = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1]), True])
         found = set()
         for a, b in zip(edges[:-1], edges[1:]):
-            own = chunk[a:b]
-            later = nodes[a:b][:, None] < nodes[a:b][None, :]
-            other = later if c1[a] == c2[a] else own[:, None] < own[None, :]
-            found.update((max(p), min(p)) for p in pairs(nodes[a:b], roots[a:b], marks[a:b], other))
+            own, part = chunk[a:b], table.slice(a, b - a)
+            pairs = np.triu(np.ones((b - a, b - a), bool), 1) if c1[a] == c2[a] else own[:, None] < own[None, :]
+            marks = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint16).reshape(b - a, -1)
+            links = block(roots[a:b], marks, _Bags(*shingle_hashes(part["text"])), pairs)
+            found.update((max(p), min(p)) for p in ((int(nodes[a + i]), int(nodes[a + j])) for i, j in links))
         return pa.table({"u": pa.array([p[0] for p in found], pa.int64()), "v": pa.array([p[1] for p in found], pa.int64())})
 
     return step
 
 
+def _one_of_each(texts: DataFrame) -> DataFrame:
+    """Each text once. Grouped by a second key, copies are combined before the shuffle instead of meeting in one task."""
+    return texts.groupBy("node", F.xxhash64("node").alias("_spread")).agg(F.first("text").alias("text")).drop("_spread")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (u, v) of similar texts."""
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    bodies = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    bodies = _one_of_each(texts.join(wanted, "node", "left_semi"))
     first = bodies.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     second = bodies.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     return pairs.join(first, "u").join(second, "v").select("u", "v", "text_u", "text_v").mapInArrow(_similar(threshold), "u long, v long")
@@ -190,7 +232,7 @@ def linked_texts(spark: SparkSession, docs: DataFrame, text: str = "text", thres
 
     body = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.xxhash64(body).alias("node"), body.alias("text"))
-    signed = stored(texts.mapInArrow(_signatures, "node long, bands array<long>, signature binary").dropDuplicates(["node"]), "signatures")
+    signed = stored(texts.mapInArrow(_signatures, "node long, bands array<long>, signature binary, size long").dropDuplicates(["node"]), "signatures")
     entries = signed.select("node", F.explode("bands").alias("band"))
     buckets = stored(entries.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("band", "least"), "buckets")
     met = stored(entries.join(buckets, "band"), "met")
@@ -198,19 +240,20 @@ def linked_texts(spark: SparkSession, docs: DataFrame, text: str = "text", thres
     links = stored(_verified(stars, texts, threshold), "links")
     joined = components(spark, links)
 
-    placed = met.select("node", "band").join(joined, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
-    open_buckets = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
-    chunks = F.ceil(F.col("n") / _BLOCK).cast("int")
-    left = placed.join(open_buckets, "band").select("band", "node", "root", chunks.alias("chunks"), F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"))
-    cells = left.select("band", "node", "root", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with")).select(
-        "band", "node", "root", "chunk", F.least("chunk", "with").alias("c1"), F.greatest("chunk", "with").alias("c2")
+    sizes = signed.select("node", "size")
+    placed = met.select("node", "band").join(joined, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root")).join(sizes, "node")
+    open_buckets = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).where("low < high")
+    chunks = F.ceil(F.greatest(F.col("n") / _BLOCK_ROWS, F.col("bytes") / _BLOCK_BYTES)).cast("int")
+    left = placed.join(open_buckets, "band").select("band", "node", "root", "size", chunks.alias("chunks"), F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"))
+    cells = left.select("band", "node", "root", "size", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with")).select(
+        "band", "node", "root", "size", "chunk", F.least("chunk", "with").alias("c1"), F.greatest("chunk", "with").alias("c2")
     )
-    cells = stored(cells.join(signed.select("node", "signature"), "node"), "cells")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells.count() // 5000))
-    least = threshold - 5 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
-    guessed = cells.groupBy(F.pmod(F.xxhash64("band", "c1", "c2"), F.lit(tasks)).alias("task")).applyInArrow(_estimated(least), "u long, v long").distinct()
-    tried = stars.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    more = stored(_verified(stored(guessed.join(tried, ["u", "v"], "left_anti"), "guessed"), texts, threshold), "links")
+    cells = stored(cells, "cells")
+    total = cells.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    tasks = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _BLOCK_BYTES))
+    bodies = _one_of_each(texts.join(cells.select("node").distinct(), "node", "left_semi")).join(signed.select("node", "signature"), "node")
+    dealt = cells.join(bodies, "node").withColumn("task", F.pmod(F.xxhash64("band", "c1", "c2"), F.lit(tasks)))
+    more = stored(dealt.groupBy("task").applyInArrow(_joined(threshold), "u long, v long").distinct(), "links")
     joined = components(spark, links.union(more))
 
     return joined.select("node", "root")
