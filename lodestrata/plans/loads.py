@@ -8,21 +8,39 @@ from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..operators.columns import FIRST_CHECKPOINT, LOAD_COLUMN, add_audit, between_checkpoints, stamp_load
 from ..operators.nested import relationalize
 from ..sinks import writers
+from . import calendar
 
 CHECKPOINT_SCHEMA = "checkpoint_value string"
 
 
-def load_raw(df: DataFrame, path: str, run_stamp: str, at: Column, by: str, source: str, table: str | None = None) -> None:
-    """Stamp, audit and land a batch in its own load partition."""
-    landed = add_audit(stamp_load(df, run_stamp), at, by, source)
+def load_raw(
+    df: DataFrame,
+    path: str,
+    run_stamp: str,
+    at: Column,
+    by: str,
+    source: str,
+    table: str | None = None,
+    files: Sequence[str] = (),
+    archive: str | None = None,
+) -> int:
+    """Stamp, audit and land a batch in its own load partition, and count its rows on the way.
+
+    The batch's ``files``, when named, move to ``archive`` once it has landed.
+    """
+    seen = Observation()
+    landed = add_audit(stamp_load(df, run_stamp), at, by, source).observe(seen, F.count(F.lit(1)).alias("rows"))
     writers.overwrite_partitions(landed, path, [LOAD_COLUMN], table=table)
+    if archive:
+        writers.archive_files(df.sparkSession, files, archive)
+    return seen.get.get("rows", 0)
 
 
 def load_flattened(
@@ -94,6 +112,33 @@ def _unused_version(spark: SparkSession, path: str) -> str:
     return found
 
 
+def load_delete_insert(
+    spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], run_stamp: str, partition_keys: Sequence[str] = (), view: str | None = None
+) -> str:
+    """Replace the rows of the current version whose key is in the batch, and store the result as the next one."""
+    current = writers.current_version(spark, base)
+    rows = source if current is None else merge.delete_insert(current, source, keys)
+    return writers.write_version(rows, base, run_stamp, view, partition_keys)
+
+
+def load_upserted(
+    spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], run_stamp: str, partition_keys: Sequence[str] = (), view: str | None = None
+) -> str:
+    """Update and add rows by key in the current version, and store the result as the next one."""
+    current = writers.current_version(spark, base)
+    rows = source if current is None else merge.merge_upsert(current, source, keys)
+    return writers.write_version(rows, base, run_stamp, view, partition_keys)
+
+
+def load_calendar(span: DataFrame, holidays: DataFrame, base: str, run_stamp: str) -> tuple[str, str]:
+    """Build and store the date and the month dimension; their paths are returned.
+
+    ``holidays`` has text dates, which may repeat; one that cannot be read fails the load.
+    """
+    dates = calendar.business_calendar(span, calendar.parse_holidays(holidays))
+    return writers.write_version(dates, f"{base}/dates", run_stamp), writers.write_version(calendar.month_dim(span), f"{base}/months", run_stamp)
+
+
 def load_merged_partitions(
     spark: SparkSession,
     source: DataFrame,

@@ -20,7 +20,7 @@ from ..sources.readers import listed_files, read_parquet_merged
 SAMPLE_FRACTION = 0.01
 SAMPLE_ROWS = 100_000
 PROCESSED_SCHEMA = "file_name string, rows_processed bigint"
-VERSION_SCHEMA = "version string, path string, schema string"
+VERSION_SCHEMA = "version string, path string, schema string, rows bigint"
 
 
 def overwrite_partitions(
@@ -93,17 +93,18 @@ def write_version(df: DataFrame, base: str, version: str, view: str | None = Non
     """Write a whole table as a new version beside the old ones, then make it current.
 
     A merge reads the current version while it writes the next, so nothing is written over its
-    own input. The version log is only appended to, after the data is complete, and keeps the
-    schema, so that partition keys come back in their own types; a view, when named, is then
-    switched to the new version.
+    own input. The version log is only appended to, after the data is complete. It keeps the
+    schema, so that partition keys come back in their own types, and the number of rows. A view,
+    when named, is then switched to the new version.
     """
     path, spark = f"{base}/version={version}", df.sparkSession
     log = _version_log(spark, base)
     if log is not None and not log.filter(F.col("version") == version).isEmpty():
         raise ValueError(f"{path} is complete already")
     # A folder that is not in the log is what a lost run left.
-    df.write.mode("overwrite").partitionBy(*keys).parquet(path)
-    spark.createDataFrame([(version, path, df.schema.json())], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    spark.createDataFrame([(version, path, df.schema.json(), seen.get.get("rows", 0))], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
     if view:
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return path
@@ -139,6 +140,18 @@ def all_versions(spark: SparkSession, base: str) -> list[DataFrame]:
 # --- counts and manifests -------------------------------------------------------------------
 
 
+def archive_files(spark: SparkSession, files: Sequence[str], folder: str) -> None:
+    """Move the files of a finished batch to a folder; files moved already, by a run that was lost, are passed over."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(folder)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for file in files:
+        source = hadoop.Path(file)
+        if system.exists(source) and not system.rename(source, hadoop.Path(target, source.getName())):
+            raise OSError(f"{file} cannot be moved to {folder}")
+
+
 def write_counted(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "append", **options: str | bool) -> int:
     """Write and count the rows in the same pass."""
     seen = Observation()

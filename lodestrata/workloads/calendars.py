@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import decimal
-from ..plans import calendar
+from ..plans import calendar, loads
+from ..session import scratch_path
+from ..sinks import writers
 from . import table, workload
 
 # Month and day of the holidays used here.
@@ -85,6 +87,24 @@ _CALENDAR_SQL = f"""
 """
 
 
+@workload(
+    f"""
+    WITH {_CALENDAR_SQL}
+    SELECT c.*, coalesce(n, 0) AS orders FROM calendar c LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1) ON d = date
+    """
+)
+def calendar_load(spark, sf_dir):
+    """Two loads of the dimensions, the second with repeated holidays; read back beside the orders of each day."""
+    base, orders = scratch_path(spark, "calendar"), _orders(spark, sf_dir)
+    span = _span(orders)
+    holidays = _holidays(span).withColumn("date", F.col("date").cast("string"))
+    for stamp, listed in (("20261130_000000", holidays.limit(1)), ("20261201_000000", holidays.unionAll(holidays))):
+        loads.load_calendar(span, listed, base, stamp)
+    counts = orders.groupBy("date").agg(F.count(F.lit(1)).alias("orders"))
+    stored = writers.current_version(spark, f"{base}/dates")
+    return stored.join(counts, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+
+
 @workload(
     f"""
     WITH {_CALENDAR_SQL}

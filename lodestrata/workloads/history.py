@@ -9,9 +9,9 @@ from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date
 from ..operators import merge
 from ..operators.columns import LOAD_COLUMN, add_audit, between_checkpoints, stamp_load
 from ..operators.latest import latest_per_key, latest_value_rows
-from ..plans.loads import history_rows, load_history
+from ..plans.loads import history_rows, load_delete_insert, load_history, load_upserted
 from ..session import scratch_path
-from ..sinks.writers import overwrite_bucketed
+from ..sinks.writers import current_version, overwrite_bucketed
 from . import table, workload
 
 
@@ -142,19 +142,29 @@ def _lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return target, stage
 
 
-@workload(
-    f"""
+_DELETE_INSERT_SQL = f"""
     WITH {_LINES_SQL}
     SELECT * FROM target t WHERE NOT EXISTS (
       SELECT 1 FROM stage s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)
     UNION ALL SELECT * FROM stage
-    """
-)
+"""
+
+
+@workload(_DELETE_INSERT_SQL)
 def delete_insert(spark, sf_dir):
     target, stage = _lines(spark, sf_dir)
     return merge.delete_insert(target, stage, ["l_orderkey", "l_linenumber"])
 
 
+@workload(_DELETE_INSERT_SQL)
+def delete_insert_load(spark, sf_dir):
+    """Two loads; the second replaces keys of the version the first stored."""
+    base = scratch_path(spark, "replaced")
+    for stamp, batch in zip(("20261130_000000", "20261201_000000"), _lines(spark, sf_dir)):
+        load_delete_insert(spark, batch, base, ["l_orderkey", "l_linenumber"], stamp)
+    return current_version(spark, base)
+
+
 @workload(
     f"""
     WITH {_LINES_SQL}
@@ -167,8 +177,7 @@ def delete_matching(spark, sf_dir):
     return merge.delete_matching(target, stage, ["l_orderkey", "l_linenumber"])
 
 
-@workload(
-    f"""
+_UPSERT_SQL = f"""
     WITH {_FEED_SQL}
     SELECT coalesce(f.o_orderkey, t.o_orderkey) AS o_orderkey,
            CASE WHEN f.o_orderkey IS NOT NULL THEN f.o_custkey ELSE t.o_custkey END AS o_custkey,
@@ -177,13 +186,24 @@ def delete_matching(spark, sf_dir):
            CASE WHEN f.o_orderkey IS NOT NULL THEN f.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
            t.o_orderpriority AS o_orderpriority
     FROM target t FULL OUTER JOIN feed f ON t.o_orderkey = f.o_orderkey
-    """
-)
+"""
+
+
+@workload(_UPSERT_SQL)
 def merge_upsert(spark, sf_dir):
     orders = priced_orders(spark, sf_dir)
     return merge.merge_upsert(orders, order_feed(orders).drop("o_orderpriority"), ["o_orderkey"])
 
 
+@workload(_UPSERT_SQL)
+def upsert_load(spark, sf_dir):
+    """Two loads; the second updates and adds to the version the first stored."""
+    base, orders = scratch_path(spark, "upserted"), priced_orders(spark, sf_dir)
+    for stamp, batch in (("20261130_000000", orders), ("20261201_000000", order_feed(orders).drop("o_orderpriority"))):
+        load_upserted(spark, batch, base, ["o_orderkey"], stamp)
+    return current_version(spark, base)
+
+
 _HISTORY_SQL = """
   people AS (SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal,
                     sha256(c_name || CAST(c_custkey AS VARCHAR)) AS hash_key FROM customer),

@@ -108,7 +108,11 @@ def test_flattened_load_writes_every_table(spark, tmp_path):
 
 def test_raw_load_and_sql_text(spark, tmp_path):
     at = F.lit("2026-12-01").cast("timestamp")
-    loads.load_raw(spark.range(3), str(tmp_path / "raw"), "20260101_000000", at, "me", "s")
+    (tmp_path / "in.csv").write_text("1\n2\n3\n")
+    batch = spark.read.csv(str(tmp_path / "in.csv"))
+    assert loads.load_raw(batch, str(tmp_path / "raw"), "20260101_000000", at, "me", "s", files=batch.inputFiles(), archive=str(tmp_path / "done")) == 3
+    assert (tmp_path / "done" / "in.csv").exists() and not (tmp_path / "in.csv").exists()
+    writers.archive_files(spark, [f"file://{tmp_path}/in.csv"], str(tmp_path / "done"))
     assert os.path.isdir(tmp_path / "raw" / f"{LOAD_COLUMN}=20260101_000000")
     (tmp_path / "q.sql").write_text("SELECT count(*) AS n\nFROM {t} WHERE id > :floor")
     text = loads.read_sql_text(spark, str(tmp_path / "q.sql"))
