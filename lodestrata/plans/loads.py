@@ -37,7 +37,7 @@ def load_raw(
     """
     seen = Observation()
     landed = add_audit(stamp_load(df, run_stamp), at, by, source).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writers.overwrite_partitions(landed, path, [LOAD_COLUMN], table=table)
+    writers.overwrite_partitions(landed, path, [LOAD_COLUMN], table=table, rebalance=False)
     if archive:
         writers.archive_files(df.sparkSession, files, archive)
     return seen.get.get("rows", 0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.columns import LOAD_COLUMN
-from ..sources.readers import listed_files, read_parquet_merged
+from ..sources.readers import listed_files, read_jdbc, read_parquet_merged
 
 # Fixed values.
 SAMPLE_FRACTION = 0.01
@@ -24,10 +24,15 @@ VERSION_SCHEMA = "version string, path string, schema string, rows bigint"
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, keys: Sequence[str] = (LOAD_COLUMN,), file_format: str = "parquet", table: str | None = None
+    df: DataFrame, path: str, keys: Sequence[str] = (LOAD_COLUMN,), file_format: str = "parquet", table: str | None = None, rebalance: bool = True
 ) -> None:
-    """Replace only the partitions present in the data, as a named table when one is given."""
-    writer = df.write.format(file_format).mode("overwrite").partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
+    """Replace only the partitions present in the data, as a named table when one is given.
+
+    ``rebalance`` brings the rows of a partition together first, in as many tasks as their size
+    asks for, so that there are no small files; leave it out when all rows share one partition.
+    """
+    rows = df.hint("rebalance", *keys) if rebalance else df
+    writer = rows.write.format(file_format).mode("overwrite").partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     if table:
         writer.option("path", path).saveAsTable(table)
     else:
@@ -63,12 +68,20 @@ def write_jdbc(df: DataFrame, connection: Mapping[str, str], table: str, mode: s
 
 
 def sync_tables(
-    spark: SparkSession, connection: Mapping[str, str], tables: Sequence[str], path: str, file_format: str = "parquet"
+    spark: SparkSession,
+    connection: Mapping[str, str],
+    tables: Sequence[str],
+    path: str,
+    file_format: str = "parquet",
+    ranges: Mapping[str, Mapping[str, object]] | None = None,
 ) -> None:
-    """Copy each named database table to files below ``path``."""
+    """Copy each named database table to files below ``path``.
+
+    ``ranges`` gives tables a ``partition_column``, ``bounds`` and ``partitions``, to be read in as
+    many tasks; a table without them is one task.
+    """
     for name in tables:
-        source = spark.read.format("jdbc").options(**connection).option("dbtable", name).load()
-        overwrite(source, f"{path}/{name}", file_format)
+        overwrite(read_jdbc(spark, connection, table=name, **(ranges or {}).get(name, {})), f"{path}/{name}", file_format)
 
 
 def register_external_table(spark: SparkSession, table: str, path: str, partition: str) -> None:

@@ -113,6 +113,7 @@ def stream_enrich(spark, sf_dir):
 @workload(
     """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'quarantined' ELSE 'loaded' END AS outcome FROM orders
+    UNION ALL SELECT o_orderkey, 'archived' FROM orders WHERE o_orderstatus <> 'P'
     """
 )
 def stream_file_ingest(spark, sf_dir):
@@ -139,7 +140,9 @@ def stream_file_ingest(spark, sf_dir):
     ingest()
     loaded = spark.read.parquet(f"{base}/loaded").select("o_orderkey", F.lit("loaded").alias("outcome"))
     bad = spark.read.json(f"{base}/bad").select("o_orderkey", F.lit("quarantined").alias("outcome"))
-    return loaded.unionByName(bad)
+    ddl = "o_orderkey bigint, o_totalprice string, o_orderstatus string"
+    archived = spark.read.option("recursiveFileLookup", True).option("header", True).schema(ddl).csv(f"{base}/archive")
+    return loaded.unionByName(bad).unionByName(archived.select("o_orderkey", F.lit("archived").alias("outcome")))
 
 
 @workload("SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type <> 'view' THEN value END AS value FROM events")
