@@ -32,6 +32,8 @@ from .components import components
 from .wordhash import mix, shingle_hashes, slices, weighted_jaccard
 
 BANDS, ROWS = 32, 6
+#: nodes whose texts are found by a broadcast of the nodes, of 16 bytes each and as much for the table
+MOST_BROADCAST = 1_000_000
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-53
 #: rows and bytes of text in a block of a bucket, about
@@ -205,15 +207,27 @@ def _joined(threshold: float):
     return step
 
 
-def _one_of_each(texts: DataFrame) -> DataFrame:
-    """Each text once. Grouped by a second key, copies are combined before the shuffle instead of meeting in one task."""
-    return texts.groupBy("node", F.xxhash64("node").alias("_spread")).agg(F.first("text").alias("text")).drop("_spread")
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _one_of_each(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each text of the given nodes, once.
+
+    The nodes are broadcast if they are at most ``MOST_BROADCAST``, about 32 MB; beyond that texts
+    are shuffled. Grouped by a second key, copies are combined before the shuffle instead of
+    meeting in one task.
+    """
+    nodes = _stored(nodes.distinct(), "nodes")
+    chosen = texts.join(F.broadcast(nodes) if nodes.count() <= MOST_BROADCAST else nodes, "node", "left_semi")
+    return chosen.groupBy("node", F.xxhash64("node").alias("_spread")).agg(F.first("text").alias("text")).drop("_spread")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (u, v) of similar texts."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    bodies = _one_of_each(texts.join(wanted, "node", "left_semi"))
+    bodies = _one_of_each(texts, pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))))
     first = bodies.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     second = bodies.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     return pairs.join(first, "u").join(second, "v").select("u", "v", "text_u", "text_v").mapInArrow(_similar(threshold), "u long, v long")
@@ -225,19 +239,14 @@ def linked_texts(spark: SparkSession, docs: DataFrame, text: str = "text", thres
     Texts that agree in a band and are similar end up with one root, whichever of them were compared.
     """
 
-    def stored(df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
     body = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.xxhash64(body).alias("node"), body.alias("text"))
-    signed = stored(texts.mapInArrow(_signatures, "node long, bands array<long>, signature binary, size long").dropDuplicates(["node"]), "signatures")
+    signed = _stored(texts.mapInArrow(_signatures, "node long, bands array<long>, signature binary, size long").dropDuplicates(["node"]), "signatures")
     entries = signed.select("node", F.explode("bands").alias("band"))
-    buckets = stored(entries.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("band", "least"), "buckets")
-    met = stored(entries.join(buckets, "band"), "met")
-    stars = stored(met.where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct(), "stars")
-    links = stored(_verified(stars, texts, threshold), "links")
+    buckets = _stored(entries.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("band", "least"), "buckets")
+    met = _stored(entries.join(buckets, "band"), "met")
+    stars = _stored(met.where("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct(), "stars")
+    links = _stored(_verified(stars, texts, threshold), "links")
     joined = components(spark, links)
 
     sizes = signed.select("node", "size")
@@ -248,12 +257,12 @@ def linked_texts(spark: SparkSession, docs: DataFrame, text: str = "text", thres
     cells = left.select("band", "node", "root", "size", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with")).select(
         "band", "node", "root", "size", "chunk", F.least("chunk", "with").alias("c1"), F.greatest("chunk", "with").alias("c2")
     )
-    cells = stored(cells, "cells")
+    cells = _stored(cells, "cells")
     total = cells.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     tasks = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _BLOCK_BYTES))
-    bodies = _one_of_each(texts.join(cells.select("node").distinct(), "node", "left_semi")).join(signed.select("node", "signature"), "node")
+    bodies = _one_of_each(texts, cells.select("node")).join(signed.select("node", "signature"), "node")
     dealt = cells.join(bodies, "node").withColumn("task", F.pmod(F.xxhash64("band", "c1", "c2"), F.lit(tasks)))
-    more = stored(dealt.groupBy("task").applyInArrow(_joined(threshold), "u long, v long").distinct(), "links")
+    more = _stored(dealt.groupBy("task").applyInArrow(_joined(threshold), "u long, v long").distinct(), "links")
     joined = components(spark, links.union(more))
 
     return joined.select("node", "root")
