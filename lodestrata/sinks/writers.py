@@ -87,13 +87,18 @@ def sync_tables(
 def register_external_table(spark: SparkSession, table: str, path: str, partition: str) -> None:
     """A table over Parquet files already written, partitioned by one text column.
 
-    Its columns are the union of those in the files. A table whose columns have fallen behind is
-    declared anew; its files are not touched. Then the partitions on storage are found.
+    Its columns are the union of those in the files. Columns the table lacks are added to it; only
+    one whose own columns are gone or have other types is declared anew. Files are not touched.
+    Then the partitions on storage are found.
     """
     fields = [f for f in read_parquet_merged(spark, path).schema.fields if f.name != partition]
     wanted = [(f.name, f.dataType.simpleString()) for f in fields]
-    if spark.catalog.tableExists(table) and [d for d in spark.table(table).dtypes if d[0] != partition] != wanted:
+    known = [d for d in spark.table(table).dtypes if d[0] != partition] if spark.catalog.tableExists(table) else wanted
+    fresh = ", ".join(f"`{name}` {kind}" for name, kind in wanted if (name, kind) not in known)
+    if not set(known) <= set(wanted):
         spark.sql(f"DROP TABLE {table}")
+    elif fresh:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({fresh})")
     columns = ", ".join(f"`{name}` {kind}" for name, kind in wanted)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{partition}` string) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE {table}")
