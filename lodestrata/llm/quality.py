@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.session import scratch_path
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
@@ -150,7 +152,10 @@ def judge(
     """
     carried = [c for c in docs.columns if c not in RESULTS]
     rows = docs.select(F.struct(*[F.col(c) for c in carried]).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    joined = rows.join(references(docs, text, lang), F.col("lang") == F.col("language"), "left")
+    # Written first, the references have a size Spark knows: below its threshold no text is shuffled.
+    path = scratch_path(docs.sparkSession, "references")
+    references(docs, text, lang).coalesce(1).write.parquet(path)
+    joined = rows.join(docs.sparkSession.read.parquet(path), F.col("lang") == F.col("language"), "left")
 
     def measured(words: Column) -> Column:
         long_text, long_words = F.length("text") >= min_chars, F.size(words) >= min_words
