@@ -81,7 +81,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     latest = F.greatest(F.col("length") - F.col("size"), F.lit(0))
     places = hits.select("k", "size", F.least(F.greatest(F.col("at") - F.col("offset"), F.lit(0)), latest).alias("start")).distinct()
 
-    inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi").groupBy("k").agg(F.first("body").alias("body"))
+    inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")
+    # Grouped by another key as well, copies are combined before the shuffle instead of meeting in one task.
+    inside = inside.groupBy("k", F.xxhash64("k").alias("_spread")).agg(F.first("body").alias("body"))
     span = F.when(F.col("size") > F.size("w"), F.col("w")).otherwise(F.slice("w", F.col("start") + 1, F.col("size")))
     windows = (
         inside.select("k", plain_words(F.col("body")).alias("w"))
