@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from lodestrata.session import scratch_path
 
 from .components import components
+from .memory import release
 from .wordhash import mix, shingle_hashes, slices, weighted_jaccard
 
 BANDS, ROWS = 32, 6
@@ -130,6 +131,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["node", "bands", "signature", "size"],
             )
+    release()
 
 
 def _similar(threshold: float):
@@ -144,6 +146,7 @@ def _similar(threshold: float):
                     for i in range(part.num_rows)
                 ]
                 yield pa.RecordBatch.from_arrays([part["u"].filter(pa.array(keep)), part["v"].filter(pa.array(keep))], names=["u", "v"])
+        release()
 
     return step
 
@@ -202,6 +205,7 @@ def _joined(threshold: float):
             marks = np.frombuffer(b"".join(part["signature"].to_pylist()), np.uint16).reshape(b - a, -1)
             links = block(roots[a:b], marks, _Bags(*shingle_hashes(part["text"])), pairs)
             found.update((max(p), min(p)) for p in ((int(nodes[a + i]), int(nodes[a + j])) for i, j in links))
+        release()
         return pa.table({"u": pa.array([p[0] for p in found], pa.int64()), "v": pa.array([p[1] for p in found], pa.int64())})
 
     return step

@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import release
 from .wordhash import slices
 
 MARK = "▁"
@@ -215,12 +216,13 @@ def _encode(data: bytes, threads: int, verify: bool):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(threads)
         for batch in batches:
-            for part in slices(batch, "_text", size=8 << 20):
+            for part in slices(batch, "_text", size=4 << 20):
                 ids, trips, agrees = _encoded(data, part["_text"].cast(pa.string()), threads, verify)
                 same = pa.array(agrees) if verify else pa.nulls(part.num_rows, pa.bool_())
                 names = [n for n in part.schema.names if n != "_text"]
                 made = [pc.list_value_length(ids).cast(pa.int64()), ids, pa.array(trips), same]
                 yield pa.RecordBatch.from_arrays([part[n] for n in names] + made, names=[*names, "n_tokens", "token_ids", "round_trip", "parity"])
+        release()
 
     return step
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .memory import release
+
 # Perfect difference sets, period to residues.
 DIFFERENCE_COVERS = {
     1: (0,),
@@ -304,6 +306,8 @@ def _removal_step(length: int, buckets: int, columns: list[str]):
                 made = made.drop_columns([c])
         for i, c in enumerate(c for c in table.column_names if c not in ("owner", "text")):
             made = made.add_column(i, c, table[c])
+        del texts, group, found
+        release()
         return made
 
     return step

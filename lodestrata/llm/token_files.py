@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lodestrata.session import scratch_path
 
 from .files import PartFile, filesystem
+from .memory import release
 
 _ROLL = 256 << 20
 
@@ -50,6 +51,7 @@ def _write(folder: str, ranks: bytes, pattern: str, separator: int, dtype: str):
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array([w[0] for w in where], pa.string()), pa.array([w[1] for w in where], pa.int64())], names=["key", "file", "place"])
         if part:
             part.close()
+        release()
 
     return step
 
@@ -139,4 +141,5 @@ def count_documents(spark: SparkSession, docs: DataFrame, ranks: bytes, pattern:
     """(``key``, n_tokens) for every row: its text goes through token files and is counted there."""
     order = write_token_files(spark, docs, ranks, pattern, separator, key, text)
     counted = count_tokens(order, separator)
-    return order.join(counted, ["file", "place"]).select(F.col("key").alias(key), "n_tokens")
+    # The order compresses well, so its size on disk would mislead Spark into broadcasting it.
+    return order.hint("merge").join(counted, ["file", "place"]).select(F.col("key").alias(key), "n_tokens")
