@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
-A window takes part if it shares a five-word shingle with an item at that alignment; all others have
-similarity 0 to every item and need no fingerprint. Its 64-bit SimHash, weighted by shingle counts,
-is cut into ``radius + 1`` blocks: two fingerprints within the radius agree in at least one block,
+A window takes part if at least as many of its five-word shingles occur in items of its size, in
+whatever order, as the similarity needs; no other window can reach it. Its 64-bit SimHash, weighted
+by shingle counts, is cut into ``radius + 1`` blocks: two fingerprints within the radius agree in at least one block,
 so joining on (size, block, value) finds all of them. The weighted Jaccard similarity of the
 shingle bags then decides. All steps are column expressions and joins.
 """
@@ -58,6 +58,28 @@ def _bag(df: DataFrame, keys: list[str], hashes: str) -> DataFrame:
     return df.select(*keys, F.explode(hashes).alias("h")).groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _places(hits: DataFrame, similarity: float) -> DataFrame:
+    """(k, size, n_words, start) of all windows that hold enough of the hits (k, length, size, at).
+
+    Window and item have ``n`` and ``m`` shingles, so the similarity needs ``s (n + m) / (1 + s)``
+    common ones. Each start belongs to the first hit its window holds; so many hits on, there must be
+    one within the window.
+    """
+    n_words = F.least("size", "length")
+    grouped = hits.groupBy("k", "size", "length").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    shingles = F.col("n_words") - (SHINGLE - 1)
+    needed = F.ceil(similarity * (shingles + F.col("size") - (SHINGLE - 1)) / (1 + similarity) - 1e-9).cast("int")
+    enough = grouped.withColumn("n_words", n_words).withColumn("needed", F.greatest(needed, F.lit(1))).where(F.size("ats") >= F.col("needed"))
+
+    def starts(i: Column) -> Column:
+        low = F.greatest(F.get("ats", i + F.col("needed") - 1) - shingles + 1, F.coalesce(F.get("ats", i - 1) + 1, F.lit(0)), F.lit(0))
+        high = F.least(F.get("ats", i), F.col("length") - F.col("n_words"))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.sequence(F.lit(0), F.size("ats") - F.col("needed"))
+    return enough.select("k", "size", "n_words", F.explode(F.flatten(F.transform(firsts, starts))).alias("start"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = 0.8, radius: int = 23) -> DataFrame:
     """(``key``, ``item``, similarity, start, n_words) for each row that holds a window like an item.
 
@@ -74,22 +96,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         .where(F.size("hashes") > 0)
         .select(F.xxhash64("item", "hashes").alias("item_row"), "item", "size", "hashes")
     )
-    anchors = items.select("size", F.posexplode("hashes").alias("offset", "h")).distinct()
+    anchors = items.select("size", F.explode("hashes").alias("h")).distinct()
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     found = docs.select(digest.alias("k"), let(plain_words(F.col(text)), lambda w: F.struct(F.size(w).alias("length"), shingle_hashes(w).alias("hashes"))).alias("d"))
     hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h")).join(anchors, "h")
-    latest = F.greatest(F.col("length") - F.col("size"), F.lit(0))
-    places = hits.select("k", "size", F.least(F.greatest(F.col("at") - F.col("offset"), F.lit(0)), latest).alias("start")).distinct()
+    places = _places(hits, similarity)
 
     inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")
     # Grouped by another key as well, copies are combined before the shuffle instead of meeting in one task.
     inside = inside.groupBy("k", F.xxhash64("k").alias("_spread")).agg(F.first("body").alias("body"))
-    span = F.when(F.col("size") > F.size("w"), F.col("w")).otherwise(F.slice("w", F.col("start") + 1, F.col("size")))
     windows = (
-        inside.select("k", plain_words(F.col("body")).alias("w"))
+        inside.select("k", shingle_hashes(plain_words(F.col("body"))).alias("all"))
         .join(places, "k")
-        .select("k", "start", "size", let(span, lambda s: F.struct(F.size(s).alias("n"), shingle_hashes(s).alias("hashes"))).alias("s"))
-        .select("k", "start", "size", F.col("s.n").alias("n_words"), F.col("s.hashes").alias("hashes"))
+        .select("k", "start", "size", "n_words", F.slice("all", F.col("start") + 1, F.col("n_words") - (SHINGLE - 1)).alias("hashes"))
     )
     marked = windows.withColumn("print", simhash(F.col("hashes")))
     left = marked.select("k", "start", "size", "n_words", "print", F.explode(hamming_blocks(F.col("print"), radius)).alias("b")).select("k", "start", "size", "n_words", "print", "b.*")

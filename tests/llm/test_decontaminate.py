@@ -48,6 +48,24 @@ def test_against_all_windows(spark):
     assert len(got) > 15
 
 
+def test_rotated_and_reordered_items(spark):
+    r = random.Random(5)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate((50, 59, 40, 60, 100, 200))] + [(6, sentence(r, 80))]
+    docs = []
+    for (i, text), turn in zip(items, (10, 10, 6, 5, 30, 90, 8)):
+        w = text.split()
+        third = len(w) // 3
+        for turned in (w[-turn:] + w[:-turn], w[turn:] + w[:turn], w[third:] + w[:third], w[-turn:] + ["and", "so"] + w[:-turn]):
+            docs.append((len(docs), f"{sentence(r, 100)} {' '.join(turned)} {sentence(r, 60)}"))
+        docs.append((len(docs), " ".join(w[-turn:] + w[:-turn])))
+        docs.append((len(docs), " ".join(w[-4:] + w[:-9])))
+    docs.append((len(docs), items[0][1] + " " + items[0][1] + " " + items[3][1]))
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute(docs, items)
+    assert {(x["doc_id"], x["item_id"], round(x["similarity"], 9)) for x in got} == {(k, i, s) for (_, k, i), s in want.items()}
+    assert {x["doc_id"] for x in got} >= {0, 6, 12}
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
