@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from .quality import let
 
 SHINGLE = 5
-_LANES = 16
-_MASK = 0x0001000100010001
+#: A lane of 16 bits counts so many hashes without a carry into the next.
+_LANE_MOST = (1 << 16) - 1
 
 
 def plain_words(text: Column) -> Column:
@@ -33,19 +33,22 @@ def shingle_hashes(words: Column) -> Column:
 def simhash(hashes: Column) -> Column:
     """The 64 bits in which most of the hashes agree.
 
-    Sixteen sums count four bits each, in lanes of 16 bits: bit j + 16 l is lane l of sum j.
+    Sums count several bits each: bit j + w l is lane l, of w bits, of sum j. Lanes have 16 bits, and
+    32 where more hashes than ``_LANE_MOST`` could carry from one into the next.
     """
 
-    def counts(j: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_MASK)))
-
-    bits = F.lit(0).cast("long")
-    for j in range(_LANES):
-        counted = counts(j)
-        for lane in range(4):
-            count = F.shiftrightunsigned(counted, 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            bits = bits.bitwiseOR(F.shiftleft(F.when(2 * count > F.size(hashes), F.lit(1)).otherwise(F.lit(0)).cast("long"), j + _LANES * lane))
-    return bits
+    def bits_by(width: int) -> Column:
+        lanes = 64 // width
+        mask = sum(1 << width * lane for lane in range(lanes))
+        bits = F.lit(0).cast("long")
+        for j in range(width):
+            counted = F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, j).bitwiseAND(F.lit(mask)))
+            for lane in range(lanes):
+                count = F.shiftrightunsigned(counted, width * lane).bitwiseAND(F.lit((1 << width) - 1))
+                bits = bits.bitwiseOR(F.shiftleft(F.when(2 * count > F.size(hashes), F.lit(1)).otherwise(F.lit(0)).cast("long"), j + width * lane))
+        return bits
+
+    return F.when(F.size(hashes) <= _LANE_MOST, bits_by(16)).otherwise(bits_by(32))
 
 
 def hamming_blocks(fingerprint: Column, radius: int) -> Column:

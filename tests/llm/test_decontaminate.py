@@ -90,3 +90,22 @@ def test_simhash(spark):
     got = spark.createDataFrame([(hashes,)], "h array<long>").select(decontaminate.simhash(F.col("h")).alias("s")).first()["s"]
     want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     assert got % (1 << 64) == want
+
+
+def test_simhash_of_many_hashes(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(2)
+    hashes = r.integers(-(1 << 63), (1 << 63) - 1, 140_000) | 0x0F0F  # bits that all hashes have overflow a lane of 16
+    got = spark.createDataFrame([(hashes.tolist(),)], "h array<long>").select(decontaminate.simhash(F.col("h")).alias("s")).first()["s"]
+    want = sum(1 << b for b in range(64) if 2 * int((hashes >> b & 1).sum()) > len(hashes))
+    assert got % (1 << 64) == want
+
+
+def test_a_long_item(spark):
+    r = random.Random(8)
+    text = sentence(r, 140_000)
+    docs = spark.createDataFrame([(1, text), (2, edited(r, text, 2_000)), (3, " ".join(reversed(text.split())))], "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame([(9, text)], "item_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["item_id"], x["n_words"]) for x in got) == [(1, 9, 140_000), (2, 9, 140_000)]
