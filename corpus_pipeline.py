@@ -16,7 +16,7 @@ from lodestrata.session import scratch_path
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), "text", "lang")
-    return quality.judge(rows).where("kept").select("row.*")
+    return quality.judge(rows, each_text_once=True).where("kept").select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

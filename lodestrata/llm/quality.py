@@ -1,8 +1,8 @@
 """Quality rules: counts of words, symbols and repeats, and divergence from the language's own texts.
 
 All of it is column expressions. A document's character classes and common words are held against
-the pooled histograms of all documents of its language with the Jensen-Shannon distance (the root
-of the divergence to base 2, from 0 to 1).
+the pooled histograms of the documents of its language with the Jensen-Shannon distance (the root of
+the divergence to base 2, from 0 to 1).
 """
 
 from __future__ import annotations
@@ -100,21 +100,40 @@ def _class_counts(text: Column, words: Column) -> Column:
     return F.transform(let(F.array(*[F.regexp_count(body, F.lit(p)) for p in CLASSES.values()]), complete), lambda x: x.cast("double"))
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(language, classes_all, common_all): both histograms added up over all documents of a language."""
+def references(docs: DataFrame, text: str = "text", lang: str = "lang", each_text_once: bool = False) -> DataFrame:
+    """(language, classes_all, common_all): both histograms added up over all documents of a language.
+
+    With ``each_text_once`` every distinct text adds its shares instead of its counts, so that it
+    weighs 1, however long or often copied; shares are added in units of 2 ** -32, in whole numbers,
+    so that the sum does not depend on the order.
+    """
     both = let(words_of(F.col(text)), lambda w: F.struct(_class_counts(F.col(text), w).alias("classes"), _word_counts(w, F.col(lang)).alias("common")))
-    found = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("language"), both.alias("h"))
+    copy = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    found = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("language"), copy.alias("copy"), both.alias("h"))
     places = {"classes": len(CLASSES) + 2, "common": 1 + max(len(v.split()) for v in COMMON_WORDS.values())}
-    sums = [F.coalesce(F.sum(F.get(F.col(f"h.{k}"), F.lit(i))), F.lit(0.0)).alias(f"{k}{i}") for k, n in places.items() for i in range(n)]
-    return found.groupBy("language").agg(*sums).select("language", *[F.array(*[f"{k}{i}" for i in range(n)]).alias(f"{k}_all") for k, n in places.items()])
+    names = [f"{k}{i}" for k, n in places.items() for i in range(n)]
+    if each_text_once:
+        shares = found.select("language", "copy", F.struct(*[_share(F.col(f"h.{k}")).alias(k) for k in places]).alias("h"))
+        units = [F.round(F.get(F.col(f"h.{k}"), F.lit(i)) * (1 << 32)).cast("long").alias(f"{k}{i}") for k, n in places.items() for i in range(n)]
+        placed = shares.select("language", "copy", *units).groupBy("language", "copy").agg(*[F.max(c).alias(c) for c in names])
+    else:
+        placed = found.select("language", *[F.get(F.col(f"h.{k}"), F.lit(i)).alias(f"{k}{i}") for k, n in places.items() for i in range(n)])
+    sums = [F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c) for c in names]
+    return placed.groupBy("language").agg(*sums).select("language", *[F.array(*[f"{k}{i}" for i in range(n)]).alias(f"{k}_all") for k, n in places.items()])
+
+
+def _total(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+
+
+def _share(x: Column) -> Column:
+    """A histogram's parts of its total; null if that is 0."""
+    return let(_total(x), lambda n: F.when(n > 0, F.transform(x, lambda v: v / n)))
 
 
 def _divergence(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms; null if either is empty."""
 
-    def total(x: Column) -> Column:
-        return F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
-
     def part(a: Column, m: Column) -> Column:
         return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
 
@@ -122,11 +141,8 @@ def _divergence(p: Column, q: Column) -> Column:
         u, v = F.coalesce(u, F.lit(0.0)), F.coalesce(v, F.lit(0.0))
         return part(u, (u + v) / 2) + part(v, (u + v) / 2)
 
-    def share(x: Column) -> Column:
-        return let(total(x), lambda n: F.when(n > 0, F.transform(x, lambda v: v / n)))
-
-    terms = lambda a, b: let(share(a), lambda s: let(share(b), lambda t: F.zip_with(s, t, term)))
-    return F.sqrt(let(let(p, lambda a: let(q, lambda b: total(terms(a, b)))), lambda d: F.when(d < 0, F.lit(0.0)).otherwise(d / 2)))
+    terms = lambda a, b: let(_share(a), lambda s: let(_share(b), lambda t: F.zip_with(s, t, term)))
+    return F.sqrt(let(let(p, lambda a: let(q, lambda b: _total(terms(a, b)))), lambda d: F.when(d < 0, F.lit(0.0)).otherwise(d / 2)))
 
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
@@ -140,10 +156,13 @@ def judge(
     max_word_distance: float = 0.26,
     min_chars: int = 400,
     min_words: int = 100,
+    each_text_once: bool = False,
 ) -> DataFrame:
     """Every row of ``docs`` with its counts, distances and verdict.
 
-    The references are those of all documents of a language. The distance of character classes
+    The references are those of all documents of a language, by characters and words; with
+    ``each_text_once`` every distinct text weighs the same, so that neither copies nor very long texts
+    move them. The distance of character classes
     counts from ``min_chars`` characters on, that of common words from ``min_words`` words on and
     for languages with a list; below that, and for a null language, the method keeps. Null and
     empty texts have no words and fail the base rule. Repeated rows are judged each, an empty table
@@ -154,7 +173,7 @@ def judge(
     rows = docs.select(F.struct(*[F.col(c) for c in carried]).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     # Written first, the references have a size Spark knows: below its threshold no text is shuffled.
     path = scratch_path(docs.sparkSession, "references")
-    references(docs, text, lang).coalesce(1).write.parquet(path)
+    references(docs, text, lang, each_text_once).coalesce(1).write.parquet(path)
     joined = rows.join(docs.sparkSession.read.parquet(path), F.col("lang") == F.col("language"), "left")
 
     def measured(words: Column) -> Column:

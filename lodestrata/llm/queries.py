@@ -86,7 +86,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select("doc_id", *quality.RESULTS)
+    return quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), each_text_once=True).select("doc_id", *quality.RESULTS)
 
 
 @query()

@@ -71,6 +71,28 @@ def test_strange_texts_go_and_ordinary_ones_stay(spark):
     assert all(got[i] for i in range(60)) and not any(got[i] for i in (100, 101, 102))
 
 
+def test_copies_and_long_tables_do_not_move_the_references(spark, tmp_path):
+    from lodestrata.llm.queries import QUERIES
+
+    r = random.Random(12)
+    common = quality.COMMON_WORDS["es"].split()
+    prose = lambda n: " ".join(r.choice(common) if r.random() < 0.45 else r.choice(["piedra", "mesa,", "Casa", "tarde.", "claro"]) + "aeiou"[r.randrange(5)] for _ in range(n))
+    table = " ".join(str(r.randrange(10**6)) for _ in range(2_000))
+    rows = [(i, prose(r.randint(200, 400))) for i in range(60)] + [(100 + i, table) for i in range(30)] + [(200, " ".join(str(r.randrange(10**6)) for _ in range(20_000)))]
+    spark.createDataFrame([(*x, "es") for x in rows], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x["doc_id"]: x["kept"] for x in QUERIES["op9_quality"](spark, str(tmp_path)).collect()}
+    assert all(got[i] for i in range(60)) and not any(got[i] for i in got if i >= 100)
+
+
+def test_shares_of_distinct_texts_against_python(spark):
+    rows = [("a1 B", "en"), ("a1 B", "en"), ("a" * 3 + "7" * 97, "en"), ("", "en"), (None, "en"), ("the x", "de")]
+    got = {x["language"]: x for x in quality.references(spark.createDataFrame(rows, "text string, lang string"), each_text_once=True).collect()}
+    # upper, digit, symbol, mark, blank, other
+    want = [0.25, 0.25 + 0.97, 0, 0, 0.25, 0.25 + 0.03]
+    assert all(abs(a / 2**32 - b) < 1e-9 for a, b in zip(got["en"]["classes_all"], want))
+    assert sum(got["en"]["common_all"]) == 2 * 2**32 and sum(got["de"]["classes_all"]) == 2**32
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
     plan = quality.judge(docs)._jdf.queryExecution().executedPlan().toString()
