@@ -5,7 +5,8 @@ path share two ratios: characters per block, and punctuation per block. Along th
 are smoothed with a Gaussian, fused by their product, and held against a threshold taken from
 their spread. The blocks above it are the content nodes; the element around them is the article, and
 what it holds, apart from elements whose name, class or role marks them as something else and from
-lists of links, is its text.
+lists of links, is its text. A class or id does not count on an element that holds the page's main
+element or most of its content score: that is a wrapper around the article.
 """
 
 from __future__ import annotations
@@ -52,13 +53,33 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 _KERNEL = [math.exp(-(i * i) / 2) for i in range(-2, 3)]
 
 
+@dataclass
+class Mark:
+    """An element that a class or id marks as something other than main text."""
+
+    outer: Mark | None
+    depth: int
+    in_article: bool
+    in_main: bool
+    counts: bool = True
+
+
 @dataclass
 class Element:
     name: str
     parent: Element | None
-    other: bool
+    never: bool
+    mark: Mark | None
     depth: int
 
+    @property
+    def other(self) -> bool:
+        """Whether it is, or lies in, something other than main text."""
+        mark = self.mark
+        while mark is not None and not mark.counts:
+            mark = mark.outer
+        return self.never or mark is not None
+
 
 @dataclass
 class Block:
@@ -69,36 +90,42 @@ class Block:
     text: str = ""
 
 
-def _other(name: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element is something other than main text, by its name, role, class, id or visibility."""
+def _never(name: str, found: dict[str, str], inside_article: bool) -> bool:
+    """Whether an element is something other than main text, by its name, role or visibility."""
     if name in OTHER_TAGS or (name == "header" and not inside_article):
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not found or name in ("html", "body", "article", "main"):
         return False
-    found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
     if found.get("role") in OTHER_ROLES or "hidden" in found or found.get("aria-hidden") == "true":
         return True
-    if re.search(r"(display\s*:\s*none|visibility\s*:\s*hidden)", found.get("style", "")):
-        return True
+    return re.search(r"(display\s*:\s*none|visibility\s*:\s*hidden)", found.get("style", "")) is not None
+
+
+def _marked(name: str, found: dict[str, str], inside_article: bool) -> bool:
+    """Whether a class or id, whole or by its first word, names something other than main text."""
+    if not found or name in ("html", "body", "article", "main"):
+        return False
+    names = OTHER_NAMES
     if name in INLINE and name != "span" or name in ("h1", "h2", "h3", "h4", "h5", "h6", "p"):
-        names = OTHER_NAMES - {"header", "side", "notice", "comment", "search"}
-    else:
-        names = OTHER_NAMES
-    words = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}")
-    return any(w in names for w in words)
+        names = names - {"header", "side", "notice", "comment", "search"}
+    if inside_article:
+        names = names - {"header"}
+    given = f"{found.get('class', '')} {found.get('id', '')}".split()
+    return any(w in names for g in given for w in (g, re.split(r"[^a-z0-9]+", g.strip("-_"))[0]))
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order, with white space folded and character references decoded."""
-    root = Element("", None, False, 0)
+    root = Element("", None, False, None, 0)
     top, block, out = root, None, []
-    links = article = 0
+    links = article = main = 0
 
     def close(to: Element) -> None:
-        nonlocal top, links, article
+        nonlocal top, links, article, main
         while top is not to:
             links -= top.name == "a"
-            article -= top.name in ("article", "main")
+            article -= top.name == "article"
+            main -= top.name == "main"
             top = top.parent
 
     def up(names: tuple[str, ...], stop: tuple[str, ...] = ()) -> Element | None:
@@ -118,7 +145,7 @@ def blocks_of(page: str) -> list[Block]:
         home = top
         while home.name in INLINE:
             home = home.parent
-        if top.other and not home.other:
+        if top.never and not home.never or top.mark is not home.mark:
             return  # an inline element that is no main text
         if block is None:
             path, e = [], home
@@ -165,9 +192,12 @@ def blocks_of(page: str) -> list[Block]:
                 close_tag = page.find(">", at)
                 at = len(page) if close_tag < 0 else close_tag + 1
         elif name not in VOID and not m["attributes"].endswith("/"):
-            top = Element(name, top, top.other or _other(name, m["attributes"], article > 0), top.depth + 1)
+            found = {x[1].lower(): html.unescape(x[2] or x[3] or x[4] or "").lower() for x in _ATTRIBUTE.finditer(m["attributes"])}
+            mark = Mark(top.mark, top.depth + 1, article > 0, main > 0) if _marked(name, found, article + main > 0) else top.mark
+            top = Element(name, top, top.never or _never(name, found, article + main > 0), mark, top.depth + 1)
             links += name == "a"
-            article += name in ("article", "main")
+            article += name == "article"
+            main += name == "main"
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
     return [b for b in out if b.text]
@@ -205,6 +235,48 @@ def _inside(e: Element | None, outer: Element) -> bool:
     return e is outer
 
 
+def _lift_marks(blocks: list[Block], scores: list[float]) -> None:
+    """Let the marks of wrappers not count, the innermost first.
+
+    Outside articles, an element is a wrapper if it holds the main element; or, where no other article
+    or main element stands unmarked, if it holds four fifths of the content score, or an article and
+    half of the score. Score within other marked elements is left out.
+    """
+    weight: dict[int, float] = defaultdict(float)
+    named: dict[tuple[int, str], set[int]] = defaultdict(set)
+    marks: dict[int, Mark] = {}
+    seen: set[int] = set()
+    for b, s in zip(blocks, scores):
+        if b.element.never:
+            continue
+        weight[id(b.element.mark)] += s * max(len(b.text) - b.linked, 0)
+        e = b.element
+        while e is not None and id(e) not in seen:
+            seen.add(id(e))
+            if e.name in ("article", "main"):
+                named[id(e.mark), e.name].add(id(e))
+            mark = e.mark
+            while mark is not None and id(mark) not in marks:
+                marks[id(mark)] = mark
+                mark = mark.outer
+            e = e.parent
+    for mark in sorted(marks.values(), key=lambda m: -m.depth):
+        if mark.in_article:
+            continue
+        around, outer = [id(None)], mark.outer
+        while outer is not None:
+            around.append(id(outer))
+            outer = outer.outer
+        own, rest = weight[id(mark)], sum(weight[x] for x in around)
+        elsewhere = any(named[x, "article"] or named[x, "main"] and not mark.in_main for x in around)
+        articles, mains = named[id(mark), "article"], named[id(mark), "main"]
+        if mains or not elsewhere and own > 0 and (own >= 4 * rest or articles and own >= rest):
+            mark.counts = False
+            weight[id(mark.outer)] += own
+            named[id(mark.outer), "article"] |= articles
+            named[id(mark.outer), "main"] |= mains
+
+
 def _region(content: list[Block]) -> Element:
     """The article around the content nodes: the outermost article or main element with most of
     their text, or else the innermost element that holds nine tenths of it."""
@@ -229,6 +301,7 @@ def main_text(page: str) -> str:
         return ""
     scores = path_scores(blocks)
     least = _threshold(scores)
+    _lift_marks(blocks, scores)
     content = [b for b, s in zip(blocks, scores) if s >= least and not b.element.other and b.linked * 2 <= len(b.text)]
     content = content or [b for b in blocks if not b.element.other and b.linked * 2 <= len(b.text)]
     if not content:

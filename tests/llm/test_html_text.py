@@ -26,6 +26,23 @@ CASES = {
     "script to the end": (f"<article><p>{LONG}</p><script>if (a < b) {{", [LONG.strip()]),
 }
 
+ARTICLE = f"<article><header class='entry-header'><h1>Head</h1></header><div class='post-header'><p>By me, today.</p></div><p>{LONG}</p><p>{LONG}</p></article>"
+BESIDE = f"<div class=sidebar><p>{LONG}</p></div><div id=comments class='comments-area'><article><p>{LONG * 3}</p></article></div>"
+WHOLE = ["Head", "By me, today.", LONG.strip(), LONG.strip()]
+WRAPPERS = ["class='content-sidebar-wrap'", "class='has-sidebar'", "class='layout no-sidebar'", "id='search-page'", "class='sidebar-layout'", "class=search", "id=widget class='menu-open'"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize(
+    "inside",
+    [ARTICLE, ARTICLE + BESIDE, f"<div class='search-inner'>{ARTICLE}</div>{BESIDE}", f"<main>{ARTICLE}</main>{BESIDE}", ARTICLE.replace("article>", "div>") + f"<div class=sidebar><p>{LONG}</p></div>"],
+)
+def test_wrappers_around_the_article(wrapper, inside):
+    for page in (f"<body><div {wrapper}>{inside}</div></body>", f"<body><div {wrapper}>{inside}</div><footer>end</footer></body>", f"<main><div {wrapper}>{inside.replace('main>', 'section>')}</div></main>"):
+        got = html_text.main_text(page).split("\n\n")
+        headed = "<article>" in inside or "<main>" in page  # elsewhere a header element is the site's
+        assert got == WHOLE[not headed :], page
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_pages(name):
