@@ -278,8 +278,8 @@ def _lift_marks(blocks: list[Block], scores: list[float]) -> None:
 
 
 def _region(content: list[Block]) -> Element:
-    """The article around the content nodes: the outermost article or main element with most of
-    their text, or else the innermost element that holds nine tenths of it."""
+    """The article around the content nodes: the outermost article, or else main element, that holds
+    nine tenths of their text, or else the innermost element that does."""
     weight: dict[int, list] = {}
     for b in content:
         e = b.element
@@ -287,11 +287,12 @@ def _region(content: list[Block]) -> Element:
             weight.setdefault(id(e), [e, 0])[1] += len(b.text)
             e = e.parent
     whole = sum(len(b.text) for b in content)
-    named = [(w, -e.depth, i) for i, (e, w) in enumerate(weight.values()) if e.name in ("article", "main")]
-    articles = [x for x in named if list(weight.values())[x[2]][0].name == "article"] or named
-    if articles and max(articles)[0] >= 0.3 * whole:
-        return list(weight.values())[max(articles)[2]][0]
-    return max((e for e, w in weight.values() if 10 * w >= 9 * whole), key=lambda e: e.depth)
+    most = [e for e, w in weight.values() if 10 * w >= 9 * whole]
+    for name in ("article", "main"):
+        named = [e for e in most if e.name == name]
+        if named:
+            return min(named, key=lambda e: e.depth)
+    return max(most, key=lambda e: e.depth)
 
 
 def main_text(page: str) -> str:

@@ -44,6 +44,20 @@ def test_wrappers_around_the_article(wrapper, inside):
         assert got == WHOLE[not headed :], page
 
 
+REGIONS = {
+    "teaser in main": (f"<main><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><article><p>{LONG}</p></article><p>Last words.</p></main>", ["Head", LONG.strip(), LONG.strip(), LONG.strip(), "Last words."]),
+    "three articles in main": (f"<main><article><p>One. {LONG}</p></article><article><p>Two. {LONG}</p></article><article><p>Three. {LONG}</p></article></main>", [f"{n}. {LONG.strip()}" for n in ("One", "Two", "Three")]),
+    "three articles": (f"<div id=top><p>Hi</p></div><div><article><p>One. {LONG}</p></article><article><p>Two. {LONG}</p></article><article><p>Three. {LONG}</p></article></div>", [f"{n}. {LONG.strip()}" for n in ("One", "Two", "Three")]),
+    "main and a small article": (f"<main><p>{LONG * 9}</p><p>{LONG * 9}</p></main><article><p>{LONG}</p></article>", [(LONG * 9).strip()] * 2),
+}
+
+
+@pytest.mark.parametrize("name", REGIONS)
+def test_several_articles(name):
+    page, blocks = REGIONS[name]
+    assert html_text.main_text(page) == "\n\n".join(blocks)
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_pages(name):
     page, blocks = CASES[name]
