@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, warc
+from . import collocations, decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +94,44 @@ def op10_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_texts(spark, _table(spark, sf_dir, "documents"))
 
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+counted AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM words, range(1, 6) AS t(k))
+  GROUP BY lang, k, phrase),
+sizes AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counted WHERE f >= 100),
+longest AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, unnest([array_to_string(w[:k - 1], ' '), array_to_string(w[2:], ' ')]) AS part FROM frequent WHERE k >= 3)
+  GROUP BY lang, part),
+candidates AS (
+  SELECT c.* FROM frequent AS c LEFT JOIN longest AS o ON o.lang = c.lang AND o.part = c.phrase
+  WHERE c.k >= 2 AND (o.f IS NULL OR 100 * o.f < 100 * c.f)),
+cuts AS (SELECT lang, phrase, f, w, k, unnest(range(1, k)) AS c FROM candidates),
+scored AS (
+  SELECT u.lang, u.phrase, u.f AS a, u.c, x.f AS l, y.f AS r, s.n, (1000::HUGEINT * u.f * s.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts AS u JOIN sizes AS s ON s.lang = u.lang
+  JOIN frequent AS x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[:u.c], ' ')
+  JOIN frequent AS y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[u.c + 1:], ' ')),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+  FROM least WHERE place = 1)
+WHERE rank <= 2000
+"""
+
+
+@query(_PHRASES)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(spark, docs).drop("words")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
