@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import collocations, decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, url_filter, warc
+from . import collocations, decontaminate, html_text, minhash_dedup, quality, sentencepiece_codec, sharding, suffix_dedup, token_files, toxicity, url_filter, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +132,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, docs).drop("words")
 
 
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, _table(spark, sf_dir, "embeddings")).drop("deviation_exact")
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
