@@ -21,7 +21,9 @@ from lodestrata.session import scratch_path
 
 from .files import PartFile, filesystem
 from .memory import release
+from .tables import written
 
+MOST_TASKS = 100_000
 _ROLL = 256 << 20
 
 
@@ -90,9 +92,10 @@ def _scan(separator: int, dtype: str):
                 with system.open_input_file(path) as f:
                     ids = np.frombuffer(f.read_at(size * width, start * width), dtype)
                 ends = np.flatnonzero(ids == separator) + start
+                last = int(ends[-1]) if ends.size else None
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([uri]), pa.array([start], pa.int64()), pa.array([start + ids.size], pa.int64()), pa.array([ends], pa.list_(pa.int64()))],
-                    names=["file", "start", "stop", "ends"],
+                    [pa.array([uri]), *(pa.array([n], pa.int64()) for n in (start, start + ids.size, ends.size, last)), pa.array([ends], pa.list_(pa.int64()))],
+                    names=["file", "start", "stop", "n_ends", "last", "ends"],
                 )
 
     return step
@@ -107,33 +110,39 @@ def count_tokens(files: DataFrame, separator: int, dtype: str = "<u2", block_tok
     width = np.dtype(dtype).itemsize
     sized = files.select("file").distinct().mapInArrow(_sizes, "file string, size long")
     whole = F.when(F.col("size") % width == 0, (F.col("size") / width).cast("long")).otherwise(F.raise_error(F.concat(F.lit("broken token file "), "file")).cast("long"))
+    spark = files.sparkSession
     blocks = (
         sized.select("file", whole.alias("n"))
         .where("n > 0")
         .select("file", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(block_tokens).cast("long"))).alias("start"))
         .select("file", "start", F.least(F.lit(block_tokens), F.col("n") - F.col("start")).alias("size"))
-        .repartition(F.col("file"), F.col("start"))
     )
-    found = blocks.mapInArrow(_scan(separator, dtype), "file string, start long, stop long, ends array<long>")
+    blocks = written(spark, blocks, "token-blocks")
+    # The list of blocks is small and what they name is not: without a number Spark would read all of them in one task.
+    dealt = blocks.repartitionByRange(max(1, min(blocks.count(), MOST_TASKS)), "file", "start")
+    found = written(spark, dealt.mapInArrow(_scan(separator, dtype), "file string, start long, stop long, n_ends long, last long, ends array<long>"), "token-ends")
+    # Only counts and last separators pass through the window; the places themselves are joined to its result.
     order = Window.partitionBy("file").orderBy("start")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
-    stitched = found.select(
+    light = found.select(
         "file",
+        "start",
         "stop",
-        "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("first"),
-        F.coalesce(F.max(last).over(before), F.lit(-1)).alias("prior"),
+        "n_ends",
+        "last",
+        F.coalesce(F.sum("n_ends").over(before), F.lit(0)).alias("first"),
+        F.coalesce(F.max("last").over(before), F.lit(-1)).alias("prior"),
         F.lead("stop").over(order).alias("after"),
     )
+    stitched = found.select("file", "start", "ends").join(light.select("file", "start", "first", "prior"), ["file", "start"])
     closed = stitched.select("file", "first", "prior", "ends", F.posexplode("ends").alias("i", "end")).select(
         "file",
         (F.col("first") + F.col("i")).alias("place"),
         (F.col("end") - F.when(F.col("i") > 0, F.get("ends", F.col("i") - 1)).otherwise(F.col("prior")) - 1).alias("n_tokens"),
         F.lit(True).alias("closed"),
     )
-    final = F.coalesce(last, F.col("prior"))
-    tail = stitched.where("after is null").select("file", (F.col("first") + F.size("ends")).alias("place"), (F.col("stop") - 1 - final).alias("n_tokens"), F.lit(False).alias("closed"))
+    final = F.coalesce("last", "prior")
+    tail = light.where("after is null").select("file", (F.col("first") + F.col("n_ends")).alias("place"), (F.col("stop") - 1 - final).alias("n_tokens"), F.lit(False).alias("closed"))
     return closed.union(tail.where("n_tokens > 0"))
 
 

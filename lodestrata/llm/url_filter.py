@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.session import scratch_path
+
 from .quality import let
 
 SIZES = (3, 4, 5)
@@ -89,7 +91,11 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label", decay: fl
     clean = labelled.where(F.col(url).isNotNull() & F.col(label).isNotNull()).select(F.col(url).alias("url"), F.col(label).cast("double").alias("label"))
     if not 0 < clean.count() <= MOST_LABELLED:
         raise ValueError(f"between 1 and {MOST_LABELLED} labelled rows are trained on")
-    return LogisticRegression(regParam=decay, maxIter=100, standardization=False).fit(_features(clean, "url"))
+    fitted = LogisticRegression(regParam=decay, maxIter=100, standardization=False).fit(_features(clean, "url"))
+    # The fitted model keeps its summary, and with it the session, which tasks cannot be sent; a stored one does not.
+    path = scratch_path(labelled.sparkSession, "url-model")
+    fitted.save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def judge_urls(

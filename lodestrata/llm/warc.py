@@ -27,6 +27,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _READ = 1 << 16
+MOST_TASKS = 20_000
 _ROLL = 256 << 20
 _RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
@@ -206,7 +207,11 @@ def write_pages(
 
 
 def read_pages(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of the listed archives; a revisit's payload is null, its length and digest are those of the full payload."""
-    files = archives.select("archive").repartition(F.col("archive"))
+    """The records of the listed archives; a revisit's payload is null, its length and digest are those of the full payload.
+
+    The list is small and its files are not, so it is dealt out to as many tasks as it has files, up to ``MOST_TASKS``.
+    """
+    files = archives.select("archive")
+    files = files.repartitionByRange(max(1, min(files.count(), MOST_TASKS)), "archive")
     out = files.mapInArrow(_read(with_payload), _RECORDS)
     return out if with_payload else out.drop("payload")

@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from lodestrata.llm import token_files
 
@@ -43,5 +43,22 @@ def test_stitching_across_blocks(spark, tmp_path, block):
 
 def test_half_an_id_fails(spark, tmp_path):
     (tmp_path / "x.tokens").write_bytes(b"abc")
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="broken token file"):
         token_files.count_tokens(spark.createDataFrame([(f"{tmp_path}/x.tokens",)], "file string"), 9).collect()
+
+
+def test_blocks_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """The list of blocks fits one partition; the blocks must not be read by one task."""
+    for k in range(4):
+        np.array([1, 2, 9] * 100, "<u2").tofile(f"{tmp_path}/{k}.tokens")
+    files = spark.createDataFrame([(f"{tmp_path}/{k}.tokens",) for k in range(4)], "file string")
+    made, plain = [], token_files.written
+
+    def spied(session, rows, label):
+        made.append((label, rows))
+        return plain(session, rows, label)
+
+    monkeypatch.setattr(token_files, "written", spied)
+    assert token_files.count_tokens(files, 9, block_tokens=50).count() == 400
+    scan = dict(made)["token-ends"]
+    assert scan.count() == 24 and scan.select(F.spark_partition_id()).distinct().count() > 12

@@ -63,3 +63,33 @@ def test_bounds_of_the_labelled_table(spark):
         url_filter.train(spark.createDataFrame([(None, 1)], "url string, label int"))
     with pytest.raises(ValueError):
         url_filter.train(spark.range(url_filter.MOST_LABELLED + 1).selectExpr("'http://a.test' AS url", "id % 2 AS label"))
+
+
+def test_after_an_observation(spark):
+    """A session that has observed something cannot be sent to tasks, so the model must not hold it."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    assert url_filter.judge_urls(spark.createDataFrame([(1, "http://a.test/")], "page_id long, url string"), model).count() == 1
+
+
+def test_scores_against_a_regression_written_out(spark, model):
+    """The same hashed n-grams and coefficients, added up in Python."""
+    import math
+
+    from pyspark.ml.feature import HashingTF
+
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    hashing = HashingTF(**url_filter._HASHING)
+    for r in url_filter.judge_urls(rows, model).collect():
+        grams = set()
+        for kind, framed in (("h:", f"^{r['host']}$"), ("p:", f"^{r['path']}$")):
+            for n in url_filter.SIZES:
+                grams |= {kind + framed[i : i + n] for i in range(len(framed) - n + 1)}
+        odds = model.intercept + sum(model.coefficients[i] for i in {hashing.indexOf(g) for g in grams})
+        assert abs(r["score"] - 1 / (1 + math.exp(-odds))) < 1e-9
+        assert r["rule"] or r["verdict"] == ("block" if r["score"] >= 0.5 else "allow")

@@ -83,3 +83,13 @@ def test_broken_archives_fail():
     for change in (plain.replace(b"\x01" * 10, b"\x02" * 10, 1), plain.replace(b"Content-Length: 70000", b"Content-Length: 70001"), plain + b"more", b"HTTP" + plain):
         with pytest.raises(warc.BrokenArchive):
             list(warc.read_records(io.BytesIO(gzip.compress(change))))
+
+
+def test_archives_are_read_by_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.range(60).select(F.col("id").alias("page_id"), F.lit("http://a.test/").alias("url"), F.col("id").cast("string").alias("html")).repartition(12)
+    archives = warc.write_pages(spark, pages)
+    found = warc.read_pages(archives, with_payload=False)
+    assert archives.count() > 4 and found.count() == 60
+    assert found.select(F.spark_partition_id()).distinct().count() > 2
