@@ -62,6 +62,10 @@ def words_of(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
     return words.dictionary, codes
 
 
+def _as_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _rows_of(codes: np.ndarray) -> Iterator[np.ndarray]:
     """The array in parts of about ``_ROW_IDS`` ids, cut between pieces only."""
     ends = np.flatnonzero(codes == 0)
@@ -85,10 +89,9 @@ def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(words):
             return
         counts = np.bincount(codes, minlength=len(words) + 1)[1:]
-        lists = [words, pa.array(counts, pa.int64())]
         for i, part in enumerate(_rows_of(codes)):
-            whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) if i == 0 else pa.nulls(1, pa.list_(x.type)) for x in lists]
-            yield pa.record_batch([pa.array([group]), pa.array([lang]), *whole, pa.array([part.tobytes()])], names=["group", "lang", "words", "counts", "codes"])
+            whole = [_as_list(x) if i == 0 else pa.nulls(1, pa.list_(x.type)) for x in (words, pa.array(counts))]
+            yield pa.record_batch([pa.array([group]), pa.array([lang]), *whole, pa.array([part.tobytes()])], names=["group", "lang", "items", "counts", "codes"])
         group += 1
 
     for batch in batches:
@@ -204,7 +207,7 @@ def _pair_counts(arrays: DataFrame, least: int, buckets: int) -> DataFrame:
 
 
 def _possible(words: object, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrays of pairs in place of arrays of ids: each group's possible keys, and places in them from 1 on."""
+    """Arrays of pairs in place of arrays of ids: each row's possible keys, and places in them from 1 on."""
     for batch in batches:
         for group, lang, codes in zip(batch["group"].to_pylist(), batch["lang"].to_pylist(), batch["codes"]):
             ids = np.frombuffer(codes.as_buffer(), np.int32).astype(np.int64)
@@ -216,7 +219,7 @@ def _possible(words: object, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.R
                 keys, places = np.unique(key[at], return_inverse=True)
                 found = np.zeros(key.size, np.int32)
                 found[at] = places + 1
-                yield pa.record_batch([pa.array([group]), pa.array([lang]), pa.array([keys.tolist()], pa.list_(pa.int64())), pa.array([_squeezed(found).tobytes()])], names=["group", "lang", "keys", "codes"])
+                yield pa.record_batch([pa.array([group]), pa.array([lang]), _as_list(pa.array(keys)), pa.array([_squeezed(found).tobytes()])], names=["group", "lang", "items", "codes"])
     memory.release()
 
 
@@ -229,20 +232,123 @@ def _renumber(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, (group, lang) in enumerate(zip(batch["group"].to_pylist(), batch["lang"].to_pylist())):
             codes = np.frombuffer(batch["codes"][i].as_buffer(), np.int32)
-            places = batch["places"][i].values
+            known = batch["known"][i].values
             table = np.zeros(int(codes.max(initial=0)) + 1, np.int32)
-            place, number = places.field("place").to_numpy() + 1, places.field("id").to_numpy()
-            table[place[place < table.size]] = number[place < table.size]
+            place, number = (known.field(c).flatten().to_numpy() for c in ("places", "ids"))
+            inside = place < table.size
+            table[place[inside]] = number[inside]
             new = _squeezed(table[codes])
             if new.size > 1:
                 yield pa.record_batch([pa.array([group]), pa.array([lang]), pa.array([new.tobytes()])], names=["group", "lang", "codes"])
     memory.release()
 
 
-def _by_number(arrays: DataFrame, places: DataFrame) -> DataFrame:
-    """Arrays of ids: each group's places in its own dictionary give way to the ids of (group, place, id)."""
-    of_group = places.groupBy("group").agg(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), F.col("id").cast("int").alias("id"))).alias("places"))
-    joined = arrays.select("group", "lang", "codes").join(of_group, "group")
+def item_hashes(items: pa.Array) -> np.ndarray:
+    """A hash for each text or integer, the same in every task."""
+    if pa.types.is_integer(items.type):
+        return mix(items.to_numpy().view(np.uint64))
+    items = items.cast(pa.large_string())
+    offsets = np.frombuffer(items.buffers()[1], np.int64, len(items) + 1, items.offset * 8)
+    data = np.frombuffer(items.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    size = np.diff(offsets)
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(int(size.max(initial=0)), 0x100000001B3, np.uint64)], dtype=np.uint64)
+    place = np.arange(data.size) - np.repeat(offsets[:-1], size)
+    sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[place], dtype=np.uint64)]
+    return mix(sums[offsets[1:]] - sums[offsets[:-1]])
+
+
+def _dealt(rows: DataFrame, buckets: int, kind: str, numbers: str) -> DataFrame:
+    """Lists of items and numbers of (group, lang, items, ``numbers``), cut by the items' hashes into one list for each bucket.
+
+    Without numbers, these are the places in the list, from 1 on.
+    """
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (group, lang) in enumerate(zip(batch["group"].to_pylist(), batch["lang"].to_pylist())):
+                items = batch["items"][i].values
+                number = batch["numbers"][i].values if numbers else pa.array(np.arange(1, len(items) + 1))
+                bucket = (item_hashes(items) % np.uint64(buckets)).astype(np.uint16)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
+                here = np.flatnonzero(np.diff(ends))
+                bounds = pa.array(np.r_[ends[here], ends[-1]].astype(np.int32))
+                lists = [pa.ListArray.from_arrays(bounds, x.take(pa.array(order))) for x in (items, number)]
+                yield pa.record_batch([pa.array(here.astype(np.int32)), pa.array([group] * here.size, pa.int64()), pa.array([lang] * here.size, pa.string()), *lists], names=["bucket", "group", "lang", "items", "numbers"])
+
+    chosen = rows.select("group", "lang", "items", *([F.col(numbers).alias("numbers")] if numbers else []))
+    return chosen.mapInArrow(cut, f"bucket int, group long, lang string, items array<{kind}>, numbers array<long>")
+
+
+def _word_counts(groups: DataFrame, least: int, buckets: int) -> DataFrame:
+    """(lang, phrase, a) of the words that occur ``least`` times or more; each bucket adds up its share of all dictionaries."""
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, limit = [], 0, _HELD
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("a", "sum")]).rename_columns(["lang", "phrase", "a"])
+
+        for batch in batches:
+            lengths = pc.list_value_length(batch["items"]).to_numpy()
+            lang = batch["lang"].take(pa.array(np.repeat(np.arange(batch.num_rows), lengths)))
+            held.append(pa.table({"lang": lang, "phrase": batch["items"].flatten(), "a": batch["numbers"].flatten()}))
+            size += held[-1].num_rows
+            if size > limit:
+                held = [merged()]
+                size = held[0].num_rows
+                limit = max(_HELD, 2 * size)
+        if held:
+            table = merged()
+            yield from table.filter(pc.greater_equal(table["a"], least)).to_batches()
+        memory.release()
+
+    return _dealt(groups, buckets, "string", "counts").repartition("bucket").mapInArrow(add_up, "lang string, phrase string, a long")
+
+
+def _listed(known: DataFrame, kind: str) -> DataFrame:
+    """Rows of (lang, item, id) as lists for ``_dealt``; they have no group."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang in pc.unique(batch["lang"]):
+                part = batch.filter(pc.equal(batch["lang"], lang))
+                yield pa.record_batch([pa.nulls(1, pa.int64()), pa.array([lang.as_py()]), _as_list(part["item"]), _as_list(part["id"])], names=["group", "lang", "items", "ids"])
+
+    return known.mapInArrow(pack, f"group long, lang string, items array<{kind}>, ids array<long>")
+
+
+def _by_number(arrays: DataFrame, known: DataFrame, kind: str, buckets: int) -> DataFrame:
+    """Arrays of ids: the places in each group's dictionary give way to the ids of (lang, item, id).
+
+    Dictionaries and known items meet in buckets, packed; a group gets back a list from each bucket.
+    """
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, of_lang = None, {}
+        for batch in batches:
+            for i, (at, group, lang) in enumerate(zip(*(batch[c].to_pylist() for c in ("bucket", "group", "lang")))):
+                if at != bucket:
+                    bucket, of_lang = at, {}
+                items, numbers = batch["items"][i].values, batch["numbers"][i].values
+                if group is None:
+                    of_lang.setdefault(lang, []).append((items, numbers))
+                elif lang in of_lang:
+                    if isinstance(of_lang[lang], list):
+                        of_lang[lang] = tuple(pa.concat_arrays(x) for x in zip(*of_lang[lang]))
+                    values, ids = of_lang[lang]
+                    hit = pc.index_in(items, value_set=values)
+                    there = pc.is_valid(hit)
+                    columns = [_as_list(numbers.filter(there).cast(pa.int32())), _as_list(ids.take(hit.filter(there)).cast(pa.int32()))]
+                    yield pa.record_batch([pa.array([group]), *columns], names=["group", "places", "ids"])
+        memory.release()
+
+    both = _dealt(arrays.where(F.col("items").isNotNull()), buckets, kind, "").unionByName(_dealt(_listed(known, kind), buckets, kind, "ids"))
+    met = both.repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("group"))
+    found = met.mapInArrow(find, "group long, places array<int>, ids array<int>")
+    of_group = found.groupBy("group").agg(F.collect_list(F.struct("places", "ids")).alias("known"))  # a list for each bucket
+    joined = arrays.select("group", "lang", "codes").join(of_group.hint("shuffle_hash"), "group")  # one plan at every size
     return joined.mapInArrow(_renumber, "group long, lang string, codes binary")
 
 
@@ -253,26 +359,22 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, text: str = "text", l
     their last and their first word.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    groups = written(spark, texts.mapInArrow(_encode, "group long, lang string, words array<string>, counts array<long>, codes binary"), "phrase-words", per_file=16)
-    dictionary = groups.where(F.col("words").isNotNull())
-    counted = dictionary.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy("lang", "words").agg(F.sum("counts").alias("a"))
-    counted = written(spark, counted, "phrase-counts")
-    totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
-    order = [F.desc("a"), F.asc("lang"), F.asc("phrase")]
-    levels = [written(spark, numbered(spark, counted.where(F.col("a") >= least).withColumnRenamed("words", "phrase"), order, "phrase-order"), "phrase-1")]
-    places = dictionary.select("group", "lang", F.posexplode("words").alias("place", "phrase")).join(levels[0].select("lang", "phrase", "id"), ["lang", "phrase"])
-    arrays = written(spark, _by_number(groups, places), "phrase-ids-1", per_file=16)
-    buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    buckets = min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    groups = written(spark, texts.mapInArrow(_encode, "group long, lang string, items array<string>, counts array<long>, codes binary"), "phrase-words", per_file=16)
+    dictionary = groups.where(F.col("items").isNotNull())
+    totals = dictionary.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda n, c: n + c)).alias("n"))
+    counted = numbered(spark, _word_counts(dictionary, least, buckets), [F.desc("a"), F.asc("lang"), F.asc("phrase")], "phrase-order-1")
+    levels = [written(spark, counted, "phrase-1")]
+    arrays = written(spark, _by_number(groups, levels[0].select("lang", F.col("phrase").alias("item"), "id"), "string", buckets), "phrase-ids-1", per_file=16)
     while len(levels) < longest:
         found = numbered(spark, _pair_counts(arrays, least, buckets), [F.desc("a"), F.asc("key")], f"phrase-order-{len(levels) + 1}")
         found = written(spark, found, f"phrase-{len(levels) + 1}")
         levels.append(found)
         if len(levels) < longest:
             words = spark.sparkContext.broadcast(key_filter(found, "key"))
-            possible = arrays.mapInArrow(lambda batches, words=words: _possible(words, batches), "group long, lang string, keys array<long>, codes binary")
-            possible = written(spark, possible.withColumn("group", F.monotonically_increasing_id()), f"phrase-possible-{len(levels)}", per_file=64)
-            places = possible.select("group", F.posexplode("keys").alias("place", "key")).join(found.select("key", "id"), "key")
-            arrays = written(spark, _by_number(possible, places), f"phrase-ids-{len(levels)}", per_file=64)
+            possible = arrays.mapInArrow(lambda batches, words=words: _possible(words, batches), "group long, lang string, items array<long>, codes binary")
+            possible = written(spark, possible.withColumn("group", F.monotonically_increasing_id()).withColumn("lang", F.lit("")), f"phrase-possible-{len(levels)}", per_file=64)
+            arrays = written(spark, _by_number(possible, found.select(F.lit("").alias("lang"), F.col("key").alias("item"), "id"), "long", buckets), f"phrase-ids-{len(levels)}", per_file=64)
     return totals, levels
 
 
