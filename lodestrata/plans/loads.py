@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
-from ..operators.columns import FIRST_CHECKPOINT, LOAD_COLUMN, add_audit, between_checkpoints, stamp_load
+from ..operators.columns import AUDIT_COLUMNS, FIRST_CHECKPOINT, LOAD_COLUMN, add_audit, between_checkpoints, drop_stamps, stamp_load
 from ..operators.nested import relationalize
-from ..sinks import writers
+from ..sinks import versions, writers
 from . import calendar
 
 CHECKPOINT_SCHEMA = "checkpoint_value string"
@@ -81,53 +80,79 @@ def load_merged(
     partition_keys: Sequence[str] = (),
     view: str | None = None,
 ) -> str:
-    """Merge a batch into the current version of a table and store the result as the next one."""
-    merged = merge.merge_replace(writers.current_version(spark, base), source, keys, run_stamp, at, by, audit_source)
-    return writers.write_version(merged, base, run_stamp, view, partition_keys)
+    """Merge a batch into the current version of a table and store the result as the next one.
 
-
-def _quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    Only files that hold a key of the batch are rewritten; the others are named again by the new version.
+    Load stamp and audit columns are the same in all rows of a version, so they stand in its entry
+    and not in the files. A view can name one folder only: with a ``view``, or with a stamp as partition
+    key, the whole table is written.
+    """
+    stamped = {LOAD_COLUMN, *AUDIT_COLUMNS}
+    after = versions.newest(spark, base)
+    if view or stamped & set(partition_keys) or (after is not None and not after.files):
+        current = versions.read_version(spark, base, after) if after else None
+        merged = merge.merge_replace(current, source, keys, run_stamp, at, by, audit_source)
+        return versions.write_version(merged, base, run_stamp, view, partition_keys, after)
+    shared = dict(zip((LOAD_COLUMN, *AUDIT_COLUMNS), (F.lit(run_stamp), at, at, F.lit(by), F.lit(by), F.lit(audit_source))))
+    fresh = drop_stamps(source)
+    return _write_by_file(spark, base, after, fresh, keys, lambda old: merge.delete_insert(old, fresh, keys), run_stamp, partition_keys, shared)
+
+
+def _write_by_file(
+    spark: SparkSession,
+    base: str,
+    after: Row | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    change: Callable[[DataFrame], DataFrame],
+    run_stamp: str,
+    partition_keys: Sequence[str],
+    shared: Mapping[str, Column] | None = None,
+    among: str | None = None,
+) -> str:
+    """Apply a change to the rows of the files that hold a key of the batch, among those rows, and keep all other files."""
+    if after is None:
+        return versions.write_changed(spark, batch, base, run_stamp, None, None, partition_keys, shared)
+    held = versions.stored_rows(spark, base, after)
+    path = f"{base}/_replaced/version={run_stamp}"
+    versions.files_with_keys(held.filter(among) if among else held, batch, keys).write.mode("overwrite").parquet(path)
+    replaced = spark.read.schema("file string").parquet(path)
+    old = versions.stored_rows(spark, base, after, replaced).drop("_file")
+    return versions.write_changed(spark, change(old), base, run_stamp, after, replaced, partition_keys, shared)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+def load_compacted(spark: SparkSession, base: str, run_stamp: str, partition_keys: Sequence[str] = ()) -> str:
+    """Store the current version anew as files of even size, for tables that many small loads have cut up."""
+    after = versions.newest(spark, base)
+    rows = versions.stored_rows(spark, base, after)
+    shared = versions.constant_columns(after)
+    return versions.write_changed(spark, rows if partition_keys else rows.hint("rebalance"), base, run_stamp, after, versions.file_list(spark, base, after).select("file"), partition_keys, shared)
 
 
-def _unused_version(spark: SparkSession, path: str) -> str:
-    """A folder for a version. A run lost before all partitions pointed to its folder leaves it
-    unfinished and partly in use, so a retry with the same stamp takes another one."""
-    found, attempt = path, 0
-    while _exists(spark, found):
-        if _exists(spark, f"{found}/_finished"):
-            raise ValueError(f"{found} is complete already")
-        attempt += 1
-        found = f"{path}-{attempt}"
-    return found
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def load_delete_insert(
     spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], run_stamp: str, partition_keys: Sequence[str] = (), view: str | None = None
 ) -> str:
-    """Replace the rows of the current version whose key is in the batch, and store the result as the next one."""
-    current = writers.current_version(spark, base)
-    rows = source if current is None else merge.delete_insert(current, source, keys)
-    return writers.write_version(rows, base, run_stamp, view, partition_keys)
+    """Replace the rows of the current version whose key is in the batch, and store the result as the next one; see :func:`load_merged`."""
+    after = versions.newest(spark, base)
+    if view:
+        rows = source if after is None else merge.delete_insert(versions.read_version(spark, base, after), source, keys)
+        return versions.write_version(rows, base, run_stamp, view, partition_keys, after)
+    return _write_by_file(spark, base, after, source, keys, lambda old: merge.delete_insert(old, source, keys), run_stamp, partition_keys)
 
 
 def load_upserted(
     spark: SparkSession, source: DataFrame, base: str, keys: Sequence[str], run_stamp: str, partition_keys: Sequence[str] = (), view: str | None = None
 ) -> str:
-    """Update and add rows by key in the current version, and store the result as the next one."""
-    current = writers.current_version(spark, base)
-    rows = source if current is None else merge.merge_upsert(current, source, keys)
-    return writers.write_version(rows, base, run_stamp, view, partition_keys)
+    """Update and add rows by key in the current version, and store the result as the next one; see :func:`load_merged`."""
+    after = versions.newest(spark, base)
+    if view:
+        rows = source if after is None else merge.merge_upsert(versions.read_version(spark, base, after), source, keys)
+        return versions.write_version(rows, base, run_stamp, view, partition_keys, after)
+    return _write_by_file(spark, base, after, source, keys, lambda old: merge.merge_upsert(old, source, keys), run_stamp, partition_keys)
 
 
 def load_calendar(span: DataFrame, holidays: DataFrame, base: str, run_stamp: str) -> tuple[str, str]:
@@ -154,56 +179,65 @@ def load_merged_partitions(
     """As :func:`load_merged`, for a catalog table partitioned by a text column of its key.
 
     Rows with one key then share a partition, so only the partitions the batch touches are read
-    and written: anew, below the version's folder, where the table's partitions are pointed once
-    all are complete. The touched partition values, never rows, pass through the driver.
+    and written, and only their rows have the new stamp. ``table`` is a view of a partitioned table that
+    belongs to one version: all its partitions are declared before the view is switched, so readers never see
+    half a batch. The names of partitions and files pass through the driver, never rows.
     """
     if partition not in keys:
         raise ValueError(f"{partition} must be part of the key, or a row could move between partitions")
-    touched = [r[0] for r in source.select(partition).distinct().collect()]
-    if None in touched:
+    if not source.filter(F.col(partition).isNull()).isEmpty():
         raise ValueError(f"{partition} must not be null")
-    exists = spark.catalog.tableExists(table)
-    current = spark.table(table).filter(F.col(partition).isin(touched)) if exists else None
-    merged = merge.merge_replace(current, source, keys, run_stamp, at, by, audit_source)
-    path = _unused_version(spark, f"{base}/version={run_stamp}")
-    merged.write.mode("errorifexists").partitionBy(partition).parquet(path)
-    if not exists:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{base}/unused'")
-    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    folder = F.regexp_extract(decoded, "^(.*)/[^/]*$", 1)
-    written = spark.read.schema(merged.schema).parquet(path).select(F.col(partition).alias("value"), folder.alias("folder")).distinct()
-    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for value, location in written.collect():
-        name = location.rsplit("/", 1)[-1]
-        action = "PARTITION {} SET LOCATION '{}'" if name in known else "ADD PARTITION {} LOCATION '{}'"
-        spark.sql(f"ALTER TABLE {table} " + action.format(f"(`{partition}` = {_quoted(value)})", location.replace("'", "\\'")))
-    spark.createDataFrame([(run_stamp,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_finished")
-    spark.catalog.refreshTable(table)
-    return touched
+    after = versions.newest(spark, base)
+    values = source.select(partition).distinct()
+    replaced, old = None, None
+    if after is not None:
+        _point_view(spark, table, base)  # a run may have been lost after its commit
+        path = f"{base}/_replaced/version={run_stamp}"
+        held = versions.stored_rows(spark, base, after).select(partition, F.col("_file").alias("file"))
+        held.join(values, partition, "left_semi").select("file").distinct().write.mode("overwrite").parquet(path)
+        replaced = spark.read.schema("file string").parquet(path)
+        old = versions.stored_rows(spark, base, after, replaced).drop("_file")
+    merged = merge.merge_replace(old, source, keys, run_stamp, at, by, audit_source)
+    versions.write_changed(spark, merged, base, run_stamp, after, replaced, [partition], ready=lambda number, rows: _declare(spark, f"{table}__{number}", rows, base, partition))
+    _point_view(spark, table, base)
+    return [r[0] for r in values.collect()]
+
+
+def _declare(spark: SparkSession, table: str, rows: DataFrame, base: str, partition: str) -> None:
+    """A catalog table over the folders of a version that is about to be committed."""
+    folders = rows.select(partition, F.regexp_extract("_file", "^(.*)/[^/]*$", 1).alias("folder")).distinct().collect()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_file").schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{base}/unused'")
+    for at in range(0, len(folders), 500):
+        named = " ".join(f"PARTITION (`{partition}` = {_quoted(value)}) LOCATION {_quoted(folder)}" for value, folder in folders[at : at + 500])
+        spark.sql(f"ALTER TABLE {table} ADD {named}")
+
+
+def _point_view(spark: SparkSession, table: str, base: str) -> None:
+    """Let the view read the newest version's table, and drop the one before the last; files stay."""
+    number = versions.newest(spark, base).number
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__{number}")
+    if number > 2:
+        spark.sql(f"DROP TABLE IF EXISTS {table}__{number - 2}")
 
 
 def load_history(spark: SparkSession, stage: DataFrame, base: str, keys: Sequence[str], as_of: Column, run_stamp: str) -> str:
-    """Close and add history rows; what was closed by earlier loads is neither read nor written again.
+    """Close and add history rows; only files of current rows that hold a staged key are written again.
 
-    A version holds the rows that are current after its load, and those it closed, apart.
-    :func:`history_rows` puts the whole history together.
+    What earlier loads closed is neither read nor written. :func:`history_rows` reads the whole history in one scan.
     """
-    newest = writers.current_version(spark, base)
-    history = stage if newest is None else merge.scd2_load(newest.filter(_CURRENT), stage, keys, as_of)
-    return writers.write_version(history, base, run_stamp, keys=["current_indicator"])
+    after = versions.newest(spark, base)
+    change = lambda old: merge.scd2_load(old.filter(_CURRENT), stage, keys, as_of)
+    return _write_by_file(spark, base, after, stage, keys, change, run_stamp, ["current_indicator"], among=_CURRENT)
 
 
 _CURRENT = "current_indicator <=> 1"
 
 
 def history_rows(spark: SparkSession, base: str) -> DataFrame | None:
-    """The current rows of the newest version, and the rows each version closed; ``None`` before the first load."""
-    versions = writers.all_versions(spark, base)
-    if not versions:
-        return None
-    parts = [versions[-1], *(v.filter(f"NOT ({_CURRENT})") for v in versions[:-1])]
-    return reduce(DataFrame.unionByName, parts)
+    """All current and closed rows, in one scan however many loads there were; ``None`` before the first load."""
+    return versions.current_version(spark, base)
 
 
 def transform_sql(spark: SparkSession, text: str, inputs: Mapping[str, DataFrame], **arguments: object) -> DataFrame:

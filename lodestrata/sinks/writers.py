@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.columns import LOAD_COLUMN
 from ..sources.readers import listed_files, read_jdbc, read_parquet_merged
+from .versions import all_versions, current_version, write_version  # noqa: F401
 
 # Fixed values.
 SAMPLE_FRACTION = 0.01
 SAMPLE_ROWS = 100_000
 PROCESSED_SCHEMA = "file_name string, rows_processed bigint"
-VERSION_SCHEMA = "version string, path string, schema string, rows bigint"
 
 
 def overwrite_partitions(
@@ -104,57 +101,6 @@ def register_external_table(spark: SparkSession, table: str, path: str, partitio
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-# --- versions -------------------------------------------------------------------------------
-
-
-def write_version(df: DataFrame, base: str, version: str, view: str | None = None, keys: Sequence[str] = ()) -> str:
-    """Write a whole table as a new version beside the old ones, then make it current.
-
-    A merge reads the current version while it writes the next, so nothing is written over its
-    own input. The version log is only appended to, after the data is complete. It keeps the
-    schema, so that partition keys come back in their own types, and the number of rows. A view,
-    when named, is then switched to the new version.
-    """
-    path, spark = f"{base}/version={version}", df.sparkSession
-    log = _version_log(spark, base)
-    if log is not None and not log.filter(F.col("version") == version).isEmpty():
-        raise ValueError(f"{path} is complete already")
-    # A folder that is not in the log is what a lost run left.
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*keys).parquet(path)
-    spark.createDataFrame([(version, path, df.schema.json(), seen.get.get("rows", 0))], VERSION_SCHEMA).coalesce(1).write.mode("append").json(f"{base}/_versions")
-    if view:
-        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
-    return path
-
-
-def _version_log(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(VERSION_SCHEMA).json(f"{base}/_versions")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _read_version(spark: SparkSession, entry: Row) -> DataFrame:
-    reader = spark.read.schema(StructType.fromJson(json.loads(entry.schema))) if entry.schema else spark.read
-    return reader.parquet(entry.path)
-
-
-def current_version(spark: SparkSession, base: str) -> DataFrame | None:
-    """The table as its greatest logged version, or ``None`` before the first."""
-    log = _version_log(spark, base)
-    newest = log.agg(F.max_by(F.struct("path", "schema"), "version").alias("n")).first()["n"] if log else None
-    return _read_version(spark, newest) if newest else None
-
-
-def all_versions(spark: SparkSession, base: str) -> list[DataFrame]:
-    """Every logged version, oldest first; there is one for each load."""
-    log = _version_log(spark, base)
-    return [_read_version(spark, entry) for entry in log.orderBy("version").collect()] if log else []
-
-
 # --- counts and manifests -------------------------------------------------------------------
 
 
