@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import blank_to_null, null_spellings
+from . import lines
 from .schemas import schema_from_ddl
 
 # File extension to format and separator.
@@ -93,62 +91,34 @@ def read_typed_text(
     )
 
 
-def _without_first_lines(batches: Iterator[pa.RecordBatch], skip: int, sep: str, header: list[str] | None) -> Iterator[pa.RecordBatch]:
-    """Drop the lines up to the header of each file. Only the split that starts a file has block start 0.
-
-    Fails when those lines go on into the next split, and when a header differs from ``header``.
-    """
-    split, seen, more = None, 0, False
-
-    def ended() -> None:
-        if split and split[1] == 0 and seen <= skip and more:
-            raise ValueError(f"the first lines of {split[0]} do not end in its first split; raise spark.sql.files.maxPartitionBytes")
-
-    for batch in batches:
-        starts, sizes, lengths = (batch.column(i).to_numpy() for i in (2, 3, 4))
-        files = batch.column(1).to_numpy(zero_copy_only=False)
-        edges = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
-        for begin, end in zip([0, *edges], [*edges, len(starts)]):
-            if begin == end:
-                continue
-            if (files[begin], starts[begin]) != split:
-                ended()
-                split, seen, more = (files[begin], starts[begin]), 0, starts[begin] + lengths[begin] < sizes[begin]
-            drop = 0 if starts[begin] else min(max(skip + 1 - seen, 0), end - begin)
-            if header is not None and drop and seen + drop == skip + 1:
-                found = next(csv.reader([batch.column(0)[int(begin + drop - 1)].as_py()], delimiter=sep))
-                if [n.strip() for n in found] != header:
-                    raise ValueError(f"{split[0]} has the header {found}, another file {header}")
-            seen += end - begin
-            yield batch.slice(begin + drop, end - begin - drop).select([0])
-    ended()
-
-
 def read_after_first_line(
     spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | str | None = None, skip: int = 1
 ) -> DataFrame:
-    """Delimited files with ``skip`` lines before the header, dropped from every file.
+    """Delimited files with ``skip`` lines before the header, dropped from every file, wherever its splits lie.
 
-    Files stay splittable: lines are counted only at the start of each file, and the read fails
-    when they do not end in its first split. Without a schema the columns are text, named by the
-    header, which must be the same in all files.
+    Without a schema the columns are text, named by the header, which must be the same in all files.
     """
-    text = spark.read.text(path)
-    names = None
-    if schema is None:
-        first = listed_files(spark, path).agg(F.min("path")).first()[0]
-        line = [r.value for r in spark.read.text(first).head(skip + 1)][-1]
-        names = [n.strip() for n in next(csv.reader([line], delimiter=sep))]
-        target = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    else:
-        target = _schema(schema)
-    located = text.select("value", *[f"_metadata.{c}" for c in ("file_path", "file_block_start", "file_size", "file_block_length")])
-    body = located.mapInArrow(lambda batches: _without_first_lines(batches, skip, sep, names), "value string")
+    names = lines.headers(spark, path, skip, sep) if schema is None else None
+    target = T.StructType([T.StructField(n, T.StringType()) for n in names]) if names else _schema(schema)
+    body = lines.after_first_lines(spark, path, skip + 1)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target.fields)
     parsed = body.filter(F.col("value") != "").select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
     return parsed.select("r.*")
 
 
+def read_quoted(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ",", header: bool = True, **options: str | bool
+) -> DataFrame:
+    """As :func:`read_delimited` with ``multi_line``, but large files are read by many tasks.
+
+    The rules for quotes are those of :func:`lines.quoted_records`; ``options`` are those of ``from_csv``.
+    """
+    target = _schema(schema)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target.fields)
+    given = {"sep": sep, "escape": '"', "multiLine": "true", **{k: str(v) for k, v in options.items()}}
+    return lines.quoted_records(spark, path, header).select(F.from_csv("value", ddl, given).alias("r")).select("r.*")
+
+
 def read_json(
     spark: SparkSession,
     path: str | Sequence[str],

@@ -232,7 +232,7 @@ def line_break_cleanup(spark, sf_dir):
     raw, clean = scratch_path(spark, "raw"), scratch_path(spark, "clean")
     writers.write_quoted_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), raw)
     ddl = "doc_id string, text string, source string"
-    rows = readers.read_delimited(spark, raw, ddl, multi_line=True)
+    rows = readers.read_quoted(spark, raw, ddl)
     writers.write_quoted_csv(rows.select(*[strip_line_breaks(c).alias(c) for c in rows.columns]), clean)
     return readers.read_delimited(spark, clean, "doc_id bigint, text string, source string", escape='"')
 
