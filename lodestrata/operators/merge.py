@@ -64,26 +64,18 @@ def _has_key(keys: Sequence[str]) -> Column:
     return present
 
 
-def unique_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same rows, failing the job when a key occurs twice.
+def _counted_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.filter(_has_key(keys)).groupBy(*keys, spread(keys)).agg(F.count(F.lit(1)).alias("_n"))
 
-    Rows are combined in each task before the shuffle, so a repeated key is found without
-    gathering its rows.
-    """
-    others = [c for c in df.columns if c not in keys]
-    counted = df.groupBy(*keys, spread(keys)).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_row"))
-    message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
-    once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    restored = [F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
-    return counted.filter(once).select(*restored)
+
+def _repeated(keys: Sequence[str]) -> Column:
+    return F.raise_error(F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys))))
 
 
 def checked_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each key without nulls once, failing the job when one occurs twice. Only keys are shuffled."""
-    counted = df.filter(_has_key(keys)).groupBy(*keys, spread(keys)).agg(F.count(F.lit(1)).alias("_n"))
-    message = F.concat(F.lit("several source rows for key "), F.to_json(F.struct(*keys)))
-    once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return counted.filter(once).select(*keys)
+    once = F.when(F.col("_n") > 1, _repeated(keys).cast("boolean")).otherwise(F.lit(True))
+    return _counted_keys(df, keys).filter(once).select(*keys)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,8 +89,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")
-    unique = unique_by_key(source.filter(_has_key(keys)), keys) if values else distinct_keys(source.filter(_has_key(keys)), keys)
-    carried = unique.select(*keys, F.struct(F.lit(True).alias("_hit"), *values).alias("_new"))
+    if not values:
+        return target.unionByName(full_reload(target, source.join(distinct_keys(target, keys), keys, "left_anti")))
+    carried = source.filter(_has_key(keys)).select(*keys, F.struct(F.lit(True).alias("_hit"), *values).alias("_new"))
     updated = target.join(carried, keys, "left").select(
         *[
             F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
@@ -108,7 +101,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         ]
     )
     added = source.join(distinct_keys(target, keys), keys, "left_anti")
-    return updated.unionByName(full_reload(target, added))
+    # Keys are counted beside the join, not before it: no rows, but an error when one occurs twice. The error has its own
+    # condition, as Spark may evaluate what is made of these columns before the filter.
+    failed = F.when(F.col("_n") > 1, _repeated(keys))
+    guard = _counted_keys(source, keys).filter("_n > 1").select(*[failed.cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return updated.unionByName(full_reload(target, added)).unionByName(guard)
 
 
 def scd2_load(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import move_if_absent
+
 # The rule types, by the number of datasets they take.
 SINGLE_DATASET = ("row_count", "failed_rows", "duplicate_count")
 TWO_DATASETS = ("same_row_count",)
@@ -120,9 +123,17 @@ def reconcile(triggers: DataFrame, loaded: DataFrame, run_column: str, run_id: s
 def promote(staged: DataFrame, verdict: DataFrame, path: str, run_id: str) -> bool:
     """Add staged rows to the main table only when their reconciliation holds.
 
-    A run has a folder of its own, written over when the run is retried, so no row is added twice.
+    A run has a folder of its own, which appears when it is complete. A run that is there already, from
+    before a retry or from another writer, stays as it is, so no row is added twice.
     """
     if not verdict.first()["reconciled"]:
         return False
-    staged.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+    hidden = f"{path}/_promoting/{run_id}-{uuid.uuid4().hex}"
+    staged.write.parquet(hidden)
+    move_if_absent(staged.sparkSession, hidden, f"{path}/run={run_id}")
     return True
+
+
+def with_previous(repository: DataFrame) -> DataFrame:
+    """Stored results with the value that each metric had in the run before, null in its first run."""
+    return repository.withColumn("previous", F.lag("value").over(Window.partitionBy("rule", "dataset", "metric").orderBy("run_stamp")))

@@ -9,7 +9,6 @@ see a version whole or not at all.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.joins import distinct_keys
+from ..storage import ConflictError, decoded, put_if_absent  # noqa: F401
 
 VERSION_SCHEMA = "version string, path string, schema string, rows bigint, number bigint, files string, constants string"
 FILE_SCHEMA = "file string, rows bigint"
@@ -25,34 +25,6 @@ FILE_SCHEMA = "file string, rows bigint"
 FOLDER = "version"
 
 
-class ConflictError(RuntimeError):
-    """Another writer has committed since this one read the table."""
-
-
-def put_if_absent(spark: SparkSession, path: str, text: str) -> None:
-    """A file with the text, complete as soon as it is there; ``ConflictError`` if the name is taken.
-
-    The file is written under another name and renamed without overwriting. On HDFS that is atomic;
-    on other stores it is as good as their rename.
-    """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    files = hadoop.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.mkdirs(target.getParent())
-    half = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
-    out = system.create(half, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-    try:
-        files.rename(system.makeQualified(half), system.makeQualified(target), spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
-    except Exception as error:
-        system.delete(half, False)
-        if "FileAlreadyExistsException" in str(error):
-            raise ConflictError(f"{path} was committed by another writer") from None
-        raise
-
-
 def version_log(spark: SparkSession, base: str) -> DataFrame | None:
     try:
         return spark.read.schema(VERSION_SCHEMA).json(f"{base}/_versions")
@@ -106,7 +78,7 @@ def write_version(df: DataFrame, base: str, version: str, view: str | None = Non
 
 def _file() -> Column:
     """The path of a row's file as a reader takes it; the metadata column has it URL-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return decoded("_metadata.file_path")
 
 
 def _constants(text: str | None) -> dict[str, Column]:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyarrow import fs
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..operators.columns import LOAD_COLUMN
 from ..sources.readers import listed_files, read_jdbc, read_parquet_merged
+from ..storage import file_digests, filesystem, footer_counts
 from .versions import all_versions, current_version, write_version  # noqa: F401
 
 # Fixed values.
@@ -81,15 +86,42 @@ def sync_tables(
         overwrite(read_jdbc(spark, connection, table=name, **(ranges or {}).get(name, {})), f"{path}/{name}", file_format)
 
 
+def logged_schema(spark: SparkSession, path: str, partition: str) -> StructType:
+    """The union of the columns of all Parquet files below a path, opening only files that have not been looked at before.
+
+    What was looked at is kept in a log below the path, which appears when it is complete; a column with two
+    types is an error. Without new files only names are read.
+    """
+    log = f"{path}/_schemas"
+    try:
+        seen = spark.read.schema("file_path string, columns string").parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        seen = spark.createDataFrame([], "file_path string, columns string")
+    files = listed_files(spark, path, "*.parquet").select(F.col("path").alias("file_path"))
+    fresh = [r[0] for r in files.join(seen, "file_path", "left_anti").collect()]
+    known = [StructType.fromJson(json.loads(r[0])) for r in seen.where("columns IS NOT NULL").select("columns").distinct().collect()]
+    if fresh:
+        found = read_parquet_merged(spark, fresh).schema
+        known.append(StructType([f for f in found.fields if f.name != partition]))
+        entries = files.where(F.col("file_path").isin(fresh)) if len(fresh) < 1000 else files.join(seen.select("file_path"), "file_path", "left_anti")
+        entries.withColumn("columns", F.lit(known[-1].json())).write.mode("append").parquet(log)
+    merged: dict[str, StructField] = {}
+    for field in (f for fields in known for f in fields):
+        if merged.setdefault(field.name, field).dataType != field.dataType:
+            raise ValueError(f"column {field.name} has types {merged[field.name].dataType.simpleString()} and {field.dataType.simpleString()}")
+    return StructType(list(merged.values()))
+
+
 def register_external_table(spark: SparkSession, table: str, path: str, partition: str) -> None:
     """A table over Parquet files already written, partitioned by one text column.
 
-    Its columns are the union of those in the files. Columns the table lacks are added to it; only
+    Its columns are the union of those in the files (:func:`logged_schema`). Columns the table lacks are added to it; only
     one whose own columns are gone or have other types is declared anew. Files are not touched.
     Then the partitions on storage are found.
     """
-    fields = [f for f in read_parquet_merged(spark, path).schema.fields if f.name != partition]
-    wanted = [(f.name, f.dataType.simpleString()) for f in fields]
+    wanted = [(f.name, f.dataType.simpleString()) for f in logged_schema(spark, path, partition)]
     known = [d for d in spark.table(table).dtypes if d[0] != partition] if spark.catalog.tableExists(table) else wanted
     fresh = ", ".join(f"`{name}` {kind}" for name, kind in wanted if (name, kind) not in known)
     if not set(known) <= set(wanted):
@@ -104,17 +136,34 @@ def register_external_table(spark: SparkSession, table: str, path: str, partitio
 # --- counts and manifests -------------------------------------------------------------------
 
 
-def archive_files(spark: SparkSession, files: Sequence[str], folder: str) -> None:
-    """Move the files of a finished batch to a folder; files moved already, by a run that was lost, are passed over."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(folder)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.mkdirs(target)
-    for file in files:
-        source = hadoop.Path(file)
-        if system.exists(source) and not system.rename(source, hadoop.Path(target, source.getName())):
+def archive_files(spark: SparkSession, files: Sequence[str], folder: str, root: str | None = None, at_once: int = 16) -> None:
+    """Move the files of a finished batch to a folder, some at once; files moved already, by a run that was lost, are passed over.
+
+    Below ``root`` files keep their relative paths, so equal names in several folders stay apart; without it, such
+    names are an error before the first file moves.
+    """
+    hadoop, settings = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    system = hadoop.Path(folder).getFileSystem(settings)
+    top = system.makeQualified(hadoop.Path(root)).toUri().getPath().rstrip("/") + "/" if root else None
+
+    def name(file: str) -> str:
+        path = hadoop.Path(file).toUri().getPath()
+        return path.removeprefix(top) if top and path.startswith(top) else hadoop.Path(file).getName()
+
+    names = {file: name(file) for file in files}
+    if len(set(names.values())) < len(names):
+        raise ValueError(f"several files have one name in {folder}")
+
+    def move(file: str) -> None:
+        source, target = hadoop.Path(file), hadoop.Path(folder, names[file])
+        system.mkdirs(target.getParent())
+        if system.exists(source) and not system.rename(source, target):
             raise OSError(f"{file} cannot be moved to {folder}")
 
+    system.mkdirs(hadoop.Path(folder))
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(inheritable_thread_target(spark)(move), files))
+
 
 def write_counted(df: DataFrame, path: str, file_format: str = "parquet", mode: str = "append", **options: str | bool) -> int:
     """Write and count the rows in the same pass."""
@@ -145,6 +194,12 @@ def records_per_file(
     return max(1, math.floor(rows * target_bytes / size))
 
 
+def records_per_file_from(spark: SparkSession, path: str, target_bytes: int) -> int:
+    """As :func:`records_per_file`, from the footers of Parquet files that are there already; nothing is written or sampled."""
+    found = footer_counts(listed_files(spark, path, "*.parquet")).agg(F.sum("rows").alias("rows"), F.sum("size").alias("size")).first()
+    return max(1, math.floor(found["rows"] * target_bytes / found["size"])) if found["rows"] else 0
+
+
 def write_sized(df: DataFrame, path: str, max_records: int) -> None:
     overwrite(df, path, maxRecordsPerFile=max_records)
 
@@ -154,33 +209,24 @@ def manifest(
 ) -> DataFrame:
     """One row per written file: counts, size and MD5, as the receiver checks them.
 
-    Row counts come from the files' own counts. The MD5 reads each file whole, so size files
-    with :func:`records_per_file` first.
+    Each file is one task, which reads it once, in pieces; row counts are those of the footers.
     """
     data = spark.read.parquet(path)
-    counts = data.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("NumberOfRows"))
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("_path"), F.md5("content").alias("MD5HashKey"), F.col("length").alias("DataFileSize"))
-    )
-    joined = files.join(counts, "_path", "left")
+    joined = file_digests(listed_files(spark, path, "*.parquet")).withColumn("_path", F.col("path"))
     # Tasks give their files one name in every partition, so the partition folders are part of it.
     name = F.regexp_extract("_path", "((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
     return joined.select(
         F.concat(F.replace(name, F.lit("/"), F.lit(".")), F.lit(".trg.json")).alias("TriggerFileName"),
         name.alias("DataFileName"),
-        F.coalesce("NumberOfRows", F.lit(0)).alias("NumberOfRows"),
+        F.col("rows").alias("NumberOfRows"),
         F.lit(len(data.columns)).alias("NumberOfColumns"),
         extracted_at.alias("ExtractDateTime"),
         F.lit(specification).alias("SpecificationFileName"),
         F.lit(version).alias("SpecificationFileVersion"),
         F.lit(run_id).alias("RunInvocationID"),
         F.lit(history).alias("HistoryFlag"),
-        "MD5HashKey",
-        "DataFileSize",
+        F.col("md5").alias("MD5HashKey"),
+        F.col("size").alias("DataFileSize"),
     )
 
 
@@ -188,7 +234,7 @@ def _write_named(folder: str):
     """Write each row's text to a file of its own name; a retried task writes the same files again."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, path = fs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{folder}")
+        system, path = filesystem(folder)
         system.create_dir(path, recursive=True)
         for batch in batches:
             for name, text in zip(batch["name"].to_pylist(), batch["text"].to_pylist()):

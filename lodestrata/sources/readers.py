@@ -160,9 +160,9 @@ def read_lenient_json(spark: SparkSession, path: str | Sequence[str], schema: T.
     return rows.select(*[_retyped(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_parquet_merged(spark: SparkSession, path: str) -> DataFrame:
+def read_parquet_merged(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Parquet whose files have gained columns over time."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(*([path] if isinstance(path, str) else path))
 
 
 def latest_partition_value(df: DataFrame, column: str) -> object:

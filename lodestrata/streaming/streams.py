@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sinks.writers import archive_files
 from ..sources.readers import CORRUPT
+from ..storage import decoded
 
 MOST_FILES = 10_000
 
@@ -51,15 +53,18 @@ def append_readable(
 ) -> StreamingQuery:
     """Write the transformed readable records, and the text of unreadable ones apart, then stop.
 
-    Each batch has its own folder, written over when the batch is retried.
+    A batch is parsed once, into a folder that the next batch writes over. Each batch has its own folder,
+    written over when the batch is retried.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{_run_folder(batch.sparkSession, checkpoint)}/batch_id={batch_id}"
-        good = transform(batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-        good.write.mode("overwrite").parquet(f"{path}/{folder}")
-        bad = batch.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-        bad.write.mode("overwrite").text(f"{quarantine}/{folder}")
+        spark = batch.sparkSession
+        run = _run_folder(spark, checkpoint)
+        staged, folder = f"{quarantine}/_staged/{run}", f"{run}/batch_id={batch_id}"
+        batch.withColumn("_bad", F.col(CORRUPT).isNotNull()).write.mode("overwrite").partitionBy("_bad").parquet(staged)
+        rows = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("_bad", T.BooleanType())])).parquet(staged)
+        transform(rows.filter("NOT _bad").drop(CORRUPT, "_bad")).write.mode("overwrite").parquet(f"{path}/{folder}")
+        rows.filter("_bad").select(F.col(CORRUPT).alias("value")).write.mode("overwrite").text(f"{quarantine}/{folder}")
 
     return records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -101,8 +106,8 @@ def ingest_files(
     ``file_format`` is ``csv``, ``json`` or ``parquet``; ``options`` are the reader's, such as
     ``sep``, ``header`` (true unless given), ``quote``, ``nullValue``, ``dateFormat`` or
     ``timestampFormat``. A file with a malformed record is quarantined whole, with the raw text of
-    its bad records. The checkpoint remembers files. Files of a finished batch move to ``archive``
-    when a later batch runs. ``max_files`` a batch, 10,000 at most, bound what is broadcast.
+    its bad records. The checkpoint remembers files. With ``archive``, the files of all committed batches
+    have moved there, below their paths in ``landing``, when this returns. ``max_files`` a batch, 10,000 at most, bound what is broadcast.
     """
     if not 0 < max_files <= MOST_FILES:
         raise ValueError(f"max_files must be from 1 to {MOST_FILES}")
@@ -113,13 +118,39 @@ def ingest_files(
         reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     if file_format == "csv":
         reader = reader.option("header", True)
-    if archive:
-        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
     rows = reader.options(**options).load(landing).withColumn("_file", F.col("_metadata.file_path"))
     rows = rows if text else rows.withColumn(CORRUPT, F.lit(None).cast("string"))
-    return (
+    query = (
         rows.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, batch_id, target, quarantine, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    if archive:
+        query.awaitTermination()
+        archive_committed(spark, landing, checkpoint, archive)
+    return query
+
+
+def archive_committed(spark: SparkSession, landing: str, checkpoint: str, archive: str) -> None:
+    """Move the files of batches that are committed and not archived yet.
+
+    The source's log in the checkpoint names the files of each batch. The last batch whose files have all moved
+    is noted afterwards, so a run that is lost in between moves the rest.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    commits = hadoop.Path(f"{checkpoint}/commits")
+    system = commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(commits):
+        return
+    last = max((int(s.getPath().getName()) for s in system.listStatus(commits) if s.getPath().getName().isdigit()), default=-1)
+    done = f"{checkpoint}/_archived"
+    before = -1
+    if system.exists(hadoop.Path(done)):
+        before = spark.read.schema("batch_id long").json(done).agg(F.max("batch_id")).first()[0]
+    if last <= before:
+        return
+    entries = spark.read.text(f"{checkpoint}/sources/0").where(F.startswith("value", F.lit("{"))).select(F.from_json("value", "path string, batchId long").alias("e"))
+    names = entries.where((F.col("e.batchId") > before) & (F.col("e.batchId") <= last)).select(decoded("e.path").alias("path")).distinct()
+    archive_files(spark, [r["path"] for r in names.collect()], archive, landing)
+    spark.createDataFrame([(last,)], "batch_id long").coalesce(1).write.mode("append").json(done)

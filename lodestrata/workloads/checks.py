@@ -43,6 +43,31 @@ def dq_report(spark, sf_dir):
     return quality.run_checks(datasets, rules)
 
 
+@workload(
+    """
+    WITH days AS (SELECT '20261130_000000' AS run_stamp, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+                  UNION ALL SELECT '20261201_000000', o_orderkey, o_orderstatus FROM orders),
+    found AS (
+      SELECT run_stamp, 'orders present' AS rule, 'orders' AS dataset, 'row_count' AS metric, count(*) AS value, count(*) > 0 AS passed FROM days GROUP BY run_stamp
+      UNION ALL
+      SELECT run_stamp, 'status known', 'orders', 'failed_rows', count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')),
+             count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) = 0 FROM days GROUP BY run_stamp)
+    SELECT *, lag(value) OVER (PARTITION BY rule, dataset, metric ORDER BY run_stamp) AS previous FROM found
+    """
+)
+def dq_repository(spark, sf_dir):
+    """Two runs kept in the metrics repository, each value beside that of the run before: the second run has the pending orders too."""
+    path, orders = scratch_path(spark, "metrics"), table(spark, sf_dir, "orders")
+    rules = [
+        {"name": "orders present", "type": "row_count", "dataset": "orders"},
+        {"name": "status known", "type": "failed_rows", "dataset": "orders", "bad": "o_orderstatus NOT IN ('F', 'O')"},
+    ]
+    for stamp, rows in (("20261130_000000", orders.filter("o_orderstatus <> 'P'")), ("20261201_000000", orders)):
+        quality.store_results(quality.run_checks({"orders": rows}, rules), path, stamp)
+    stored = spark.read.schema("rule string, dataset string, metric string, value long, passed boolean, run_stamp string").parquet(path)
+    return quality.with_previous(stored)
+
+
 @workload("SELECT event_id, event_type FROM events WHERE length(event_type) < 6")
 def failed_rows(spark, sf_dir):
     return quality.failed_rows(table(spark, sf_dir, "events").select("event_id", "event_type"), "length(event_type) < 6")
@@ -113,7 +138,7 @@ def stream_enrich(spark, sf_dir):
 @workload(
     """
     SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'quarantined' ELSE 'loaded' END AS outcome FROM orders
-    UNION ALL SELECT o_orderkey, 'archived' FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT o_orderkey, 'archived' FROM orders
     """
 )
 def stream_file_ingest(spark, sf_dir):

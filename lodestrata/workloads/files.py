@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import strip_line_breaks
+from ..functions.scalar import decimal, strip_line_breaks
 from ..operators.columns import LOAD_COLUMN, stamp_load
 from ..operators.latest import latest_value_rows
 from ..operators.merge import full_reload as reload
@@ -216,6 +216,16 @@ def partition_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@workload("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def latest_file_scan(spark, sf_dir):
+    """A file for each order status; the greatest name is that of the pending orders."""
+    landing, orders = scratch_path(spark, "feeds"), table(spark, sf_dir, "orders")
+    for status in ("F", "O", "P"):
+        feed = orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", decimal("o_totalprice", 18, 2).alias("o_totalprice"))
+        feed.coalesce(1).write.option("header", True).csv(f"{landing}/feed_{status}")
+    return readers.read_latest_file(spark, landing, schema="o_orderkey bigint, o_totalprice decimal(18,2)", pattern="*.csv", header=True)
+
+
 @workload("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def external_table(spark, sf_dir):
     path = scratch_path(spark, "external")
