@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -220,6 +221,84 @@ def people_from_tables(flat: Flattened, top: DataFrame | None = None) -> DataFra
     return rows.drop(*[flat.name(path) for path in sides])
 
 
+def _inner_values(flat: Flattened) -> dict[tuple[str, str], dict[str, Column]]:
+    """For each array inside an array, (outer, inner), what one of its rows adds to the columns of a person; null where it adds nothing."""
+    codes, statuses = flat.name(f"{WORK}.val.{CODES}.val"), flat.name(f"{WORK}.val.{STATUSES}.val")
+    named, wishes = flat.name(f"{ATTRIBUTES}.val.{NAMED}.val"), flat.name(f"{PREFERENCES}.val.{COMMUNICATION}.val")
+
+    def chosen(category: Column, value: Column, wanted: dict[str, list[str]]) -> dict[str, Column]:
+        return {out: F.when(category.isin(*among), value.cast("string")) for out, among in wanted.items()}
+
+    organization, category, field = F.col(f"{codes}_organizationId").cast("string"), F.col(f"{statuses}_categoryId").cast("string"), F.col(f"{named}_fieldName")
+    return {
+        (WORK, CODES): chosen(organization, F.col(f"{codes}_value"), ORGANIZATION_VALUES),
+        (WORK, STATUSES): chosen(category, F.col(f"{statuses}_value"), EMPLOYMENT_VALUES)
+        | chosen(category, F.col(f"{statuses}_beginDate"), EMPLOYMENT_DATES)
+        | chosen(category, category, EMPLOYMENT_CODES),
+        (ATTRIBUTES, NAMED): chosen(field, F.col(f"{named}_fieldValue"), PERSON_VALUES)
+        | {"civilian": (field == CIVILIAN_MARK).cast("string"), "uniformed": (field == UNIFORMED_MARK).cast("string")},
+        (PREFERENCES, COMMUNICATION): {"communication_preference": F.col(f"{wishes}_benefitCommunicationPreference").cast("string")},
+    }
+
+
+def _padded(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The rows with all the columns, null where they have none."""
+    return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()])
+
+
+def latest_people_from_tables(flat: Flattened, tie_break: Sequence[str]) -> DataFrame:
+    """One row per person, of the latest message, with its attributes, marks and originating persons.
+
+    Linked tables are not joined but gathered: both sides of a link are put below each other and
+    grouped by it, so every table is shuffled once. A link belongs to one array of one message, so groups are as
+    small as arrays, and rows without a link are grouped by their person. Children of older messages meet no person and go.
+    """
+    load, values = flat.load(), _inner_values(flat)
+    attributes = {out: "string" for columns in values.values() for out in columns}
+    keys = {"link": "string", **{c: "string" for c in load}, "part": "string"}
+
+    inner: list[DataFrame] = []
+    for (outer, name), columns in values.items():
+        part, path = F.lit(f"{outer}.{name}").alias("part"), f"{outer}.val.{name}"
+        child = flat.child(path).select(F.col("id").alias("link"), *load, part, *[c.alias(out) for out, c in columns.items()])
+        owner = flat.child(outer).select(F.col(flat.name(path)).alias("link"), *load, part, F.col("id").alias("outer")).where("link IS NOT NULL")
+        inner += [_padded(child, keys | {"outer": "string"} | attributes), _padded(owner, keys | {"outer": "string"} | attributes)]
+    met = reduce(DataFrame.unionByName, inner).groupBy(*keys).agg(F.max("outer").alias("outer"), *[F.max(c).alias(c) for c in attributes])
+    arrays = met.where("outer IS NOT NULL").select(F.col("outer").alias("link"), *load, F.substring_index("part", ".", 1).alias("part"), *attributes)
+
+    fields = {**HEADER_FIELDS, **PERSON_FIELDS}
+    top = latest_top(flat, tie_break)
+    person = F.struct(*_top_fields(flat, top, fields)).alias("person")
+    links = F.array(*[F.struct(F.lit(p).alias("part"), top[flat.name(p)].cast("string").alias("link")) for p in (WORK, ATTRIBUTES, PREFERENCES, ACCOUNTS)], F.struct(F.lit("").alias("part"), F.lit(None).cast("string").alias("link")))
+    rooted = top.select(*load, person, F.explode(links).alias("l")).where("l.link IS NOT NULL OR l.part = ''").select(
+        F.coalesce("l.link", "person.participant_id").alias("link"),
+        *load,
+        "l.part",
+        F.col("person.participant_id").alias("participant_id"),
+        F.lit(True).alias("known"),
+        *[F.when(F.col("l.part") == "", F.col(f"person.{c}")).cast("string").alias(c) for c in fields if c != "participant_id"],
+    )
+    origin = F.struct(F.col(flat.name(f"{ACCOUNTS}.val.{ORIGINATING}")).cast("string").alias("origin")).alias("origin")
+    accounts = flat.child(ACCOUNTS).select(F.col("id").alias("link"), *load, F.lit(ACCOUNTS).alias("part"), origin)
+    wide = {**keys, "known": "boolean", **{c: "string" for c in fields}, **attributes, "origin": "struct<origin: string>"}
+    sides = [_padded(x, wide) for x in (arrays, rooted, accounts)]
+    both = reduce(DataFrame.unionByName, sides).groupBy(*keys).agg(
+        F.max("known").alias("known"), F.collect_set("origin").alias("origins"), *[F.max(c).alias(c) for c in (*fields, *attributes)]
+    )
+    whole = both.where("known").groupBy("participant_id").agg(
+        *[F.max(c).alias(c) for c in load], F.max("origins").alias("origins"), *[F.max(c).alias(c) for c in (*fields, *attributes) if c != "participant_id"]
+    )
+    kinds = dict(top.select(*_top_fields(flat, top, fields)).dtypes)
+    return whole.select(
+        *load,
+        *[F.col(c).cast(kinds[c]).alias(c) for c in fields],
+        *[c for c in attributes if c not in ("civilian", "uniformed")],
+        *[F.col(c).cast("boolean").alias(c) for c in ("civilian", "uniformed")],
+        F.array_max(F.col("origins.origin")).alias("originatingpersoninternalid"),
+        "origins",
+    )
+
+
 # --- people, from nested messages -----------------------------------------------------------
 
 
@@ -292,6 +371,36 @@ def latest_events_from_tables(flat: Flattened, kind: EventKind) -> DataFrame:
     return _latest_events(people.join(events, ["id", *load], "left"))
 
 
+def acted_events_from_tables(flat: Flattened, kinds: Sequence[EventKind], only: bool = True) -> DataFrame:
+    """The latest event of each kind about each person; with ``only``, of those whose action is that of the kind.
+
+    Events and the people they name are gathered by their link, and the latest is the greatest of an
+    aggregate, so each is shuffled once and rows of one person are combined in every task before.
+    """
+    load, sides = flat.load(), []
+    columns = {"link": "string", **{c: "string" for c in load}, "kind": "string"}
+    event = {"action": "string", "global_participant_id": "string", "event_at": "string"}
+    wide = {**columns, "event": "struct<action: string, global_participant_id: string, event_at: string>", "named": "struct<index: int, person_id: string>"}
+    for kind in kinds:
+        top = flat.top()
+        paths = dict(zip(event, ("header.action", kind.global_id, "header.messageTimestamp")))
+        fields = F.struct(*[c.cast("string").alias(n) for n, c in zip(paths, _top_fields(flat, top, paths))]).alias("event")
+        mark = F.lit(kind.action).alias("kind")
+        owners = top.select(F.col(flat.name(kind.mapping)).alias("link"), *load, mark, fields).where("link IS NOT NULL")
+        named = F.struct("index", F.col(flat.name(f"{kind.mapping}.val.{kind.person}")).cast("string").alias("person_id")).alias("named")
+        people = flat.child(kind.mapping).select(F.col("id").alias("link"), *load, mark, named)
+        sides += [_padded(owners, wide), _padded(people, wide)]
+    met = reduce(DataFrame.unionByName, sides).groupBy(*columns).agg(F.max("event").alias("event"), F.collect_list("named").alias("named"))
+    rows = met.select("link", "kind", "event", F.explode("named").alias("named")).select(
+        F.col("named.person_id").alias("person_id"), "kind", F.struct(parse_offset_timestamp("event.event_at").alias("at"), "link", "named.index", "event").alias("latest")
+    )
+    newest = rows.groupBy("person_id").agg(*[F.max(F.when(F.col("kind") == k.action, F.col("latest"))).alias(k.action) for k in kinds])
+    each = F.array(*[F.struct(F.lit(k.action).alias("kind"), F.col(k.action).alias("latest")) for k in kinds])
+    found = newest.select("person_id", F.explode(each).alias("e")).where("e.latest IS NOT NULL")
+    acted = found.select("person_id", *[F.col(f"e.latest.event.{c}").alias(c) for c in event], F.col("e.kind").alias("_kind"))
+    return (acted.where(F.col("action") == F.col("_kind")) if only else acted).drop("_kind")
+
+
 def latest_events_from_messages(messages: DataFrame, key: str, kind: EventKind, message: str = "message") -> DataFrame:
     """As :func:`latest_events_from_tables`; ``key`` identifies a message."""
     rows = messages.select(
@@ -360,9 +469,13 @@ def participant_history(
     ``people`` holds the latest message per person, ``created`` and ``updated`` the latest event
     per person; a person whose latest event has another action is left out.
     """
-    wanted = people.filter(F.col("participant_id").isNotNull() & (F.col("subtopic") == PERSON_SUBTOPIC))
-
     acted = created.filter(F.col("action") == CREATED.action).unionByName(updated.filter(F.col("action") == UPDATED.action))
+    return history_of(people, acted, as_of, user_id, source_zone)
+
+
+def history_of(people: DataFrame, acted: DataFrame, as_of: Column, user_id: str = UPDATE_USER, source_zone: str | None = None) -> DataFrame:
+    """As :func:`participant_history`, from the events that created or updated people."""
+    wanted = people.filter(F.col("participant_id").isNotNull() & (F.col("subtopic") == PERSON_SUBTOPIC))
     keys = {
         "participant_id": F.col("participant_id"),
         "global_participant_id": F.col("global_participant_id"),
@@ -380,21 +493,10 @@ def participant_history(
 
 
 def balance_people_from_tables(flat: Flattened, tie_break: Sequence[str]) -> DataFrame:
-    """Latest message per person, marks of its account kinds, and its originating persons."""
-    load, path = flat.load(), f"{ATTRIBUTES}.val.{NAMED}"
-    name = F.col(f"{flat.name(path)}_val_fieldName")
-    marks = _values(
-        flat,
-        ATTRIBUTES,
-        NAMED,
-        [F.max(name == CIVILIAN_MARK).alias("civilian"), F.max(name == UNIFORMED_MARK).alias("uniformed")],
-    )
-    origins = flat.child(ACCOUNTS).select("id", *load, F.col(flat.name(f"{ACCOUNTS}.val.{ORIGINATING}")).alias("originatingpersoninternalid"))
-    top = latest_top(flat, tie_break)
-    rows = top.select(*load, flat.name(ATTRIBUTES), flat.name(ACCOUNTS), *_top_fields(flat, top, HEADER_FIELDS))
-    rows = _attach(rows, flat.name(ATTRIBUTES), marks, load)
-    rows = _attach(rows, flat.name(ACCOUNTS), origins.distinct(), load)
-    return rows.drop(flat.name(ATTRIBUTES), flat.name(ACCOUNTS))
+    """Latest message per person, marks of its account kinds, and a row for each of its originating persons."""
+    people = latest_people_from_tables(flat, tie_break)
+    origin = F.explode_outer(F.col("origins.origin")).alias("originatingpersoninternalid")
+    return people.select(*flat.load(), *HEADER_FIELDS, "civilian", "uniformed", origin)
 
 
 def balance_people_from_messages(messages: DataFrame, tie_break: Sequence[str], message: str = "message") -> DataFrame:

@@ -195,9 +195,9 @@ _HISTORY_SQL = f"""
 @workload(_HISTORY_SQL)
 def participant_history(spark, sf_dir):
     flat, events = _flattened(_person_messages(spark, sf_dir)), _flattened(_event_messages(spark, sf_dir))
-    people = marts.people_from_tables(flat, marts.latest_top(flat, [flat.name(marts.PREFERENCES)]))
-    created, updated = (marts.latest_events_from_tables(events, kind) for kind in (marts.CREATED, marts.UPDATED))
-    return _plain_timestamps(marts.participant_history(people, created, updated, _as_of()))
+    people = marts.latest_people_from_tables(flat, [flat.name(marts.PREFERENCES)])
+    acted = marts.acted_events_from_tables(events, (marts.CREATED, marts.UPDATED))
+    return _plain_timestamps(marts.history_of(people, acted, _as_of()))
 
 
 @workload(_HISTORY_SQL)
@@ -268,7 +268,7 @@ def participant_balances(spark, sf_dir):
     people_tables, events = _flattened(_person_messages(spark, sf_dir)), _flattened(_event_messages(spark, sf_dir))
     balance_tables = marts.Flattened(relationalize(_balance_messages(spark, sf_dir), keys=["message_id"]))
     people = marts.balance_people_from_tables(people_tables, [people_tables.name(marts.PREFERENCES)])
-    created = marts.latest_events_from_tables(events, marts.CREATED)
+    created = marts.acted_events_from_tables(events, [marts.CREATED], only=False)
     result = marts.participant_balances(
         people, marts.balances_from_tables(balance_tables), created, *_balance_lookups(spark, sf_dir), _as_of()
     )

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from lodestrata.operators.nested import relationalize
-from tests.helpers import plan
+from tests.helpers import final_plan, plan, rows
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
@@ -31,6 +31,8 @@ def shuffles(text):
         ("incremental_window", 0),
         ("retype_by_position", 0),
         ("audit_stamp", 0),
+        ("participant_history", 6),
+        ("contributions_report", 1),
     ],
 )
 def test_shuffle_count(spark, name, expected):
@@ -69,3 +71,23 @@ def test_join_of_many_rows_shares_its_left_side(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_balances_shuffle_each_table_once(spark):
+    """Both halves of the join of many rows share what they are made from."""
+    text = final_plan(QUERIES["participant_balances"](spark, SF_DIR))
+    assert shuffles(text) <= 14 and "ReusedExchange" in text
+
+
+def test_gathered_people_equal_joined_people(spark):
+    from pyspark.sql import functions as F
+
+    from lodestrata.plans import participants as marts
+    from lodestrata.workloads import messages
+
+    flat = messages._flattened(messages._person_messages(spark, SF_DIR))
+    tie = [flat.name(marts.PREFERENCES)]
+    joined = marts.people_from_tables(flat, marts.latest_top(flat, tie))
+    gathered = marts.latest_people_from_tables(flat, tie)
+    assert rows(gathered.select(*joined.columns)) == rows(joined) and gathered.count() > 100
+    assert gathered.select(F.max(F.size("origins"))).first()[0] == 2
