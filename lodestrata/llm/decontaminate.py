@@ -1,15 +1,18 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 A window takes part if at least as many of its five-word shingles occur in items of its size, in
-whatever order, as the similarity needs; no other window can reach it. Its 64-bit SimHash, weighted
-by shingle counts, is cut into ``radius + 1`` blocks: two fingerprints within the radius agree in at least one block,
-so joining on (size, block, value) finds all of them. The weighted Jaccard similarity of the
-shingle bags then decides. All steps are column expressions and joins.
+whatever order, as the similarity needs, and among them an anchor: one of the rarest shingles of an item, so many that
+a window without any of them cannot reach the similarity. No other window can be alike. Its 64-bit SimHash, weighted
+by shingle counts, is cut into ``radius + 1`` blocks: two fingerprints within the radius agree in at least one block.
+At a similarity of 0.8 a sixth of the bits differ, and blocks short enough for the guarantee are shared by nearly all
+fingerprints; so there is an index of blocks for every anchor, and joining on (size, anchor, block, value) finds all
+pairs within the radius, while windows and items without a common anchor never meet. The weighted Jaccard similarity
+of the shingle bags then decides. All steps are column expressions and joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality import let
@@ -61,18 +64,32 @@ def _bag(df: DataFrame, keys: list[str], hashes: str) -> DataFrame:
     return df.select(*keys, F.explode(hashes).alias("h")).groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _anchors(item_bag: DataFrame, similarity: float) -> DataFrame:
+    """(item_row, h): each item's shingles that are rarest among all items, ties by their hash, with ``m - ceil(similarity * m) + 1`` of its ``m`` shingles.
+
+    A window as similar has ``similarity * m`` of them at least, so not all of its shingles are others.
+    """
+    often = item_bag.groupBy("h").agg(F.sum("n").alias("items"))
+    own = Window.partitionBy("item_row")  # as large as an item
+    order = own.orderBy("items", "h").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("n").over(own)
+    ranked = item_bag.join(often, "h").withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).withColumn("enough", total - F.ceil(similarity * total - 1e-9) + 1)
+    return ranked.where(F.col("before") < F.col("enough")).select("item_row", "h")
+
+
 def _places(hits: DataFrame, similarity: float) -> DataFrame:
-    """(k, size, n_words, start) of all windows that hold enough of the hits (k, length, size, at).
+    """(k, size, n_words, start, anchors) of all windows that hold enough of the hits (k, length, size, at, h, anchor), and the anchors among them.
 
     Window and item have ``n`` and ``m`` shingles, so the similarity needs ``s (n + m) / (1 + s)``
     common ones. Each start belongs to the first hit its window holds; so many hits on, there must be
     one within the window.
     """
     n_words = F.least("size", "length")
-    grouped = hits.groupBy("k", "size", "length").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    anchored = F.collect_set(F.when(F.col("anchor"), F.struct("at", "h")))
+    grouped = hits.groupBy("k", "size", "length").agg(F.sort_array(F.collect_set("at")).alias("ats"), anchored.alias("anchored"))
     shingles = F.col("n_words") - (SHINGLE - 1)
     needed = F.ceil(similarity * (shingles + F.col("size") - (SHINGLE - 1)) / (1 + similarity) - 1e-9).cast("int")
-    enough = grouped.withColumn("n_words", n_words).withColumn("needed", F.greatest(needed, F.lit(1))).where(F.size("ats") >= F.col("needed"))
+    enough = grouped.withColumn("n_words", n_words).withColumn("needed", F.greatest(needed, F.lit(1))).where((F.size("ats") >= F.col("needed")) & (F.size("anchored") > 0))
 
     def starts(i: Column) -> Column:
         low = F.greatest(F.get("ats", i + F.col("needed") - 1) - shingles + 1, F.coalesce(F.get("ats", i - 1) + 1, F.lit(0)), F.lit(0))
@@ -80,7 +97,18 @@ def _places(hits: DataFrame, similarity: float) -> DataFrame:
         return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
 
     firsts = F.sequence(F.lit(0), F.size("ats") - F.col("needed"))
-    return enough.select("k", "size", "n_words", F.explode(F.flatten(F.transform(firsts, starts))).alias("start"))
+    places = enough.select("k", "size", "n_words", "anchored", F.explode(F.flatten(F.transform(firsts, starts))).alias("start"))
+    inside = F.filter("anchored", lambda a: (a["at"] >= F.col("start")) & (a["at"] < F.col("start") + shingles))
+    return places.withColumn("anchors", F.array_distinct(F.transform(inside, lambda a: a["h"]))).drop("anchored").where(F.size("anchors") > 0)
+
+
+def meeting(windows: DataFrame, items: DataFrame, anchors: DataFrame, radius: int) -> DataFrame:
+    """Windows (k, start, size, n_words, print, anchors) beside the items of their size with a common anchor and an equal block, once for each."""
+    blocks = F.explode(hamming_blocks(F.col("print"), radius)).alias("b")
+    left = windows.select("k", "start", "size", "n_words", "print", F.explode("anchors").alias("anchor")).select("*", blocks).select("*", "b.*").drop("b")
+    right = items.select("item_row", "size", simhash(F.col("hashes")).alias("print")).join(anchors.withColumnRenamed("h", "anchor"), "item_row")
+    right = right.select("item_row", "size", F.col("print").alias("item_print"), "anchor", blocks).select("*", "b.*").drop("b")
+    return left.join(right, ["size", "anchor", "block", "value"])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = 0.8, radius: int = 23) -> DataFrame:
@@ -99,10 +127,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         .where(F.size("hashes") > 0)
         .select(F.xxhash64("item", "hashes").alias("item_row"), "item", "size", "hashes")
     )
-    anchors = items.select("size", F.explode("hashes").alias("h")).distinct()
+    item_bag = _bag(items, ["item_row"], "hashes")
+    anchors = _anchors(item_bag, similarity)
+    named = items.select("item_row", "size").join(anchors, "item_row").select("size", "h").distinct().withColumn("anchor", F.lit(True))
+    known = items.select("size", F.explode("hashes").alias("h")).distinct().join(named, ["size", "h"], "left").select("size", "h", F.coalesce("anchor", F.lit(False)).alias("anchor"))
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     found = docs.select(digest.alias("k"), let(plain_words(F.col(text)), lambda w: F.struct(F.size(w).alias("length"), shingle_hashes(w).alias("hashes"))).alias("d"))
-    hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h")).join(anchors, "h")
+    hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h")).join(known, "h")
     places = _places(hits, similarity)
 
     inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")
@@ -111,19 +142,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     windows = (
         inside.select("k", shingle_hashes(plain_words(F.col("body"))).alias("all"))
         .join(places, "k")
-        .select("k", "start", "size", "n_words", F.slice("all", F.col("start") + 1, F.col("n_words") - (SHINGLE - 1)).alias("hashes"))
+        .select("k", "start", "size", "n_words", "anchors", F.slice("all", F.col("start") + 1, F.col("n_words") - (SHINGLE - 1)).alias("hashes"))
     )
     marked = windows.withColumn("print", simhash(F.col("hashes")))
-    left = marked.select("k", "start", "size", "n_words", "print", F.explode(hamming_blocks(F.col("print"), radius)).alias("b")).select("k", "start", "size", "n_words", "print", "b.*")
-    right = items.select("item_row", "size", simhash(F.col("hashes")).alias("item_print")).select("item_row", "size", "item_print", F.explode(hamming_blocks(F.col("item_print"), radius)).alias("b")).select("item_row", "size", "item_print", "b.*")
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius
-    pairs = left.join(right, ["size", "block", "value"]).where(near).select("k", "start", "size", "n_words", "item_row").distinct()
+    pairs = meeting(marked, items, anchors, radius).where(near).select("k", "start", "size", "n_words", "item_row").distinct()
 
     window_bag = _bag(windows, ["k", "start", "size"], "hashes")
-    item_bag = _bag(items, ["item_row"], "hashes").withColumnRenamed("n", "m")
     shared = (
         pairs.join(window_bag, ["k", "start", "size"])
-        .join(item_bag, ["item_row", "h"])
+        .join(item_bag.withColumnRenamed("n", "m"), ["item_row", "h"])
         .groupBy("k", "start", "size", "n_words", "item_row")
         .agg(F.sum(F.least("n", "m")).alias("shared"))
     )

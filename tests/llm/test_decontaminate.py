@@ -109,3 +109,32 @@ def test_a_long_item(spark):
     docs = spark.createDataFrame([(1, text), (2, edited(r, text, 2_000)), (3, " ".join(reversed(text.split())))], "doc_id long, text string")
     got = decontaminate.find_leaks(docs, spark.createDataFrame([(9, text)], "item_id long, text string")).collect()
     assert sorted((x["doc_id"], x["item_id"], x["n_words"]) for x in got) == [(1, 9, 140_000), (2, 9, 140_000)]
+
+
+def test_the_index_selects(spark, monkeypatch):
+    """Of all pairs of a window and an item of one size, under one in a hundred meets; those of a copy and its item do."""
+    r = random.Random(11)
+    items = [(i, sentence(r, 30)) for i in range(300)]
+    docs = [(i, sentence(r, 10) + " " + text) for i, text in items]
+    seen, plain = [], decontaminate.meeting
+    monkeypatch.setattr(decontaminate, "meeting", lambda w, i, a, radius: seen.append((w, plain(w, i, a, radius))) or seen[-1][1])
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in got} >= {(i, i) for i in range(300)}
+    windows, met = seen[0]
+    pairs = met.select("k", "start", "item_row").distinct().count()
+    assert windows.count() <= pairs < 0.01 * windows.count() * len(items)
+
+
+def test_anchors_are_rare_and_enough(spark):
+    """A window that lacks every anchor of an item has less than the similarity needs."""
+    import math
+
+    r = random.Random(12)
+    texts = [sentence(r, n) for n in (5, 6, 9, 20, 40, 41)] + ["a b c d e " * 12]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_row long, text string")
+    bags = items.select("item_row", decontaminate.shingle_hashes(decontaminate.plain_words(items.text)).alias("hashes"))
+    found = decontaminate._anchors(decontaminate._bag(bags, ["item_row"], "hashes"), 0.8).collect()
+    for row, text in enumerate(texts):
+        bag = Counter(bags.where(bags.item_row == row).first()["hashes"])
+        total, mine = sum(bag.values()), {x["h"] for x in found if x["item_row"] == row}
+        assert mine and total - sum(bag[h] for h in mine) < math.ceil(0.8 * total - 1e-9)
