@@ -33,8 +33,8 @@ from .memory import release
 from .wordhash import mix, shingle_hashes, slices, weighted_jaccard
 
 BANDS, ROWS = 32, 6
-#: nodes whose texts are found by a broadcast of the nodes, of 16 bytes each and as much for the table
-MOST_BROADCAST = 1_000_000
+#: bits of the filter that finds the texts of nodes; what is broadcast are its 64-bit words, 2 ** 20 at most
+_FILTER_BITS = 26
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 2.0**-53
 #: rows and bytes of text in a block of a bucket, about
@@ -220,13 +220,16 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 def _one_of_each(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     """Each text of the given nodes, once.
 
-    The nodes are broadcast if they are at most ``MOST_BROADCAST``, about 32 MB; beyond that texts
-    are shuffled. Grouped by a second key, copies are combined before the shuffle instead of
-    meeting in one task.
+    A filter of fixed size, made from the upper bits of the nodes, is broadcast and tested in the scan. What passes,
+    some other texts among it, is combined by node in every task, shuffled, and held against the
+    nodes themselves. The plan is the same for any number of nodes.
     """
     nodes = _stored(nodes.distinct(), "nodes")
-    chosen = texts.join(F.broadcast(nodes) if nodes.count() <= MOST_BROADCAST else nodes, "node", "left_semi")
-    return chosen.groupBy("node", F.xxhash64("node").alias("_spread")).agg(F.first("text").alias("text")).drop("_spread")
+    word = F.shiftrightunsigned("node", 64 - _FILTER_BITS + 6)
+    bit = f"cast(shiftrightunsigned(node, {64 - _FILTER_BITS}) & 63 AS int)"
+    marks = nodes.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("mask"))
+    maybe = texts.withColumn("word", word).join(F.broadcast(marks), "word").where(F.expr(f"shiftright(mask, {bit}) & 1 = 1"))
+    return maybe.groupBy("node").agg(F.first("text").alias("text")).join(nodes.hint("shuffle_hash"), "node", "left_semi")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:

@@ -103,3 +103,34 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 150), (7, 7), (300, 400)]
     got = dict(components.components(spark, spark.createDataFrame(edges, "u long, v long")).collect())
     assert got == {**dict.fromkeys(range(1, 61), 1), 100: 100, 150: 100, 200: 100, 300: 300, 400: 300}
+
+
+def test_texts_of_nodes(spark, monkeypatch):
+    """Exactly the texts asked for, once each, also when the filter lets nearly all texts pass."""
+    from pyspark.sql import functions as F
+
+    texts = spark.range(500).select(F.xxhash64("id").alias("node"), F.concat(F.lit("t"), "id").alias("text"))
+    texts = texts.unionAll(texts).repartition(5)
+    wanted = texts.where("substr(text, -1) = '7'").select("node").unionAll(texts.limit(3).select("node"))
+    for bits in (26, 8):
+        monkeypatch.setattr(minhash_dedup, "_FILTER_BITS", bits)
+        found = [r["text"] for r in minhash_dedup._one_of_each(texts, wanted).collect()]
+        assert len(found) == len(set(found)) and {f"t{i}" for i in range(7, 500, 10)} <= set(found) and len(found) <= 53
+
+
+def test_recall_by_similarity(spark):
+    """Of pairs at the threshold or above, nearly all are found; every link reported is one."""
+    r = random.Random(21)
+    docs, pairs = [], []
+    for i in range(240):
+        words = sentence(r, 200).split()
+        other = list(words)
+        for k in range(r.randint(0, 6)):
+            other[r.randrange(len(other))] = f"new{i}x{k}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        pairs.append(jaccard(bag(docs[-1][1]), bag(docs[-2][1])))
+    found = {x["doc_id"]: x["class_id"] for x in minhash_dedup.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        band = [i for i, s in enumerate(pairs) if low <= s < high]
+        assert len(band) > 15 and sum(found[2 * i] == found[2 * i + 1] for i in band) >= 0.99 * len(band)
+    assert not any(found[2 * i] == found[2 * i + 1] for i, s in enumerate(pairs) if s < 0.8)
