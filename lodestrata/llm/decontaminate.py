@@ -5,9 +5,8 @@ whatever order, as the similarity needs, and among them an anchor: one of the ra
 a window without any of them cannot reach the similarity. No other window can be alike. Its 64-bit SimHash, weighted
 by shingle counts, is cut into ``radius + 1`` blocks: two fingerprints within the radius agree in at least one block.
 At a similarity of 0.8 a sixth of the bits differ, and blocks short enough for the guarantee are shared by nearly all
-fingerprints; so there is an index of blocks for every anchor, and joining on (size, anchor, block, value) finds all
-pairs within the radius, while windows and items without a common anchor never meet. The weighted Jaccard similarity
-of the shingle bags then decides. All steps are column expressions and joins.
+fingerprints; so windows and items first meet at a common anchor, and the blocks are compared there, as masks of the
+bits that differ, instead of a row for each. The weighted Jaccard similarity of the shingle bags then decides. All steps are column expressions and joins.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality import let
+from .tables import may_match
 
 SHINGLE = 5
 #: A lane of 16 bits counts so many hashes without a carry into the next.
@@ -54,10 +54,14 @@ def simhash(hashes: Column) -> Column:
     return F.when(F.size(hashes) <= _LANE_MOST, bits_by(16)).otherwise(bits_by(32))
 
 
-def hamming_blocks(fingerprint: Column, radius: int) -> Column:
-    """The fingerprint in ``radius + 1`` blocks, as (number, value)."""
+def share_block(one: Column, other: Column, radius: int) -> Column:
+    """Whether two fingerprints have one of their ``radius + 1`` blocks in common, as any two within the radius have."""
+    differ, any_block = one.bitwiseXOR(other), F.lit(False)
     edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value")) for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    for a, b in zip(edges, edges[1:]):
+        mask = ((1 << b) - (1 << a)) - (1 << 64 if b == 64 else 0)
+        any_block = any_block | (differ.bitwiseAND(F.lit(mask)) == 0)
+    return any_block
 
 
 def _bag(df: DataFrame, keys: list[str], hashes: str) -> DataFrame:
@@ -103,12 +107,10 @@ def _places(hits: DataFrame, similarity: float) -> DataFrame:
 
 
 def meeting(windows: DataFrame, items: DataFrame, anchors: DataFrame, radius: int) -> DataFrame:
-    """Windows (k, start, size, n_words, print, anchors) beside the items of their size with a common anchor and an equal block, once for each."""
-    blocks = F.explode(hamming_blocks(F.col("print"), radius)).alias("b")
-    left = windows.select("k", "start", "size", "n_words", "print", F.explode("anchors").alias("anchor")).select("*", blocks).select("*", "b.*").drop("b")
-    right = items.select("item_row", "size", simhash(F.col("hashes")).alias("print")).join(anchors.withColumnRenamed("h", "anchor"), "item_row")
-    right = right.select("item_row", "size", F.col("print").alias("item_print"), "anchor", blocks).select("*", "b.*").drop("b")
-    return left.join(right, ["size", "anchor", "block", "value"])
+    """Windows (k, start, size, n_words, print, anchors) beside the items of their size, once for each common anchor, where a block agrees."""
+    left = windows.select("k", "start", "size", "n_words", "print", F.explode("anchors").alias("anchor"))
+    right = items.select("item_row", "size", simhash(F.col("hashes")).alias("item_print")).join(anchors.withColumnRenamed("h", "anchor"), "item_row")
+    return left.join(right, ["size", "anchor"]).where(share_block(F.col("print"), F.col("item_print"), radius))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = 0.8, radius: int = 23) -> DataFrame:
@@ -133,7 +135,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     known = items.select("size", F.explode("hashes").alias("h")).distinct().join(named, ["size", "h"], "left").select("size", "h", F.coalesce("anchor", F.lit(False)).alias("anchor"))
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     found = docs.select(digest.alias("k"), let(plain_words(F.col(text)), lambda w: F.struct(F.size(w).alias("length"), shingle_hashes(w).alias("hashes"))).alias("d"))
-    hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h")).join(known, "h")
+    hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h"))
+    hits = may_match(hits, known.select("h"), "h").join(known, "h")  # few shingles of the corpus get to the shuffle of this join
     places = _places(hits, similarity)
 
     inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")

@@ -74,12 +74,25 @@ def test_empty_tables(spark):
 
 
 def test_blocks_cover_the_fingerprint(spark):
+    """Fingerprints share a block if one of the radius + 1 pieces of their bits is equal; within the radius, always."""
     from pyspark.sql import functions as F
 
-    value = 0x9E3779B97F4A7C15 - (1 << 64)
-    blocks = spark.range(1).select(decontaminate.hamming_blocks(F.lit(value), 23).alias("b")).first()["b"]
+    r, rows = random.Random(9), []
     edges = [64 * i // 24 for i in range(25)]
-    assert [b["value"] for b in blocks] == [(value >> a) & ((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:])]
+    for n in range(400):
+        one = r.getrandbits(64)
+        other = one
+        for bit in r.sample(range(64), r.randint(0, 40)):
+            other ^= 1 << bit
+        if n % 3 == 0:  # differ in every block
+            other = one ^ sum(1 << r.randrange(a, b) for a, b in zip(edges, edges[1:]))
+        agree = any((one ^ other) >> a & ((1 << (b - a)) - 1) == 0 for a, b in zip(edges, edges[1:]))
+        assert agree or bin(one ^ other).count("1") > 23
+        signed = lambda v: v - (1 << 64) if v >> 63 else v
+        rows.append((signed(one), signed(other), agree))
+    frame = spark.createDataFrame(rows, "a long, b long, agree boolean")
+    assert frame.where(decontaminate.share_block(F.col("a"), F.col("b"), 23) != F.col("agree")).count() == 0
+    assert 100 < sum(x[2] for x in rows) < 300
 
 
 def test_simhash(spark):
