@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import blank_to_null, null_spellings
-from . import lines
+from ..session import scratch_path
+from . import lines, objects
 from .schemas import schema_from_ddl
 
 # File extension to format and separator.
@@ -138,6 +139,23 @@ def read_json(
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
+def read_json_objects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, **options: str | bool) -> DataFrame:
+    """As :func:`read_json` with ``multi_line``, but large files are read by many tasks.
+
+    The rules for files are those of :func:`objects.json_objects`, which also takes objects one after
+    another; ``options`` are those of Spark's JSON reader. Without a schema the records are stored as lines once,
+    since they are read twice from then on.
+    """
+    found = objects.json_objects(spark, path)
+    if schema is None:
+        staged = scratch_path(spark, "objects")
+        # Strings hold no bare line breaks, so these stand between values only.
+        found.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value")).write.text(staged)
+        return spark.read.options(**options).json(staged)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _schema(schema).fields)
+    return found.select(F.from_json("value", ddl, {k: str(v) for k, v in options.items()}).alias("r")).select("r.*")
+
+
 def _as_text(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.StructType):
         return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind.fields])

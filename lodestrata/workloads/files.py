@@ -119,6 +119,18 @@ def scan_multiline_json(spark, sf_dir):
     return readers.read_json(spark, path, schema, multi_line=True).select("event_id", "user_id", "props.k", "value")
 
 
+@workload("SELECT l_orderkey AS orderkey, l_linenumber AS line, l_returnflag || ' {\"}\" \\ ' || l_linestatus AS status FROM lineitem")
+def scan_json_objects(spark, sf_dir):
+    """Arrays of nested records without line breaks, whose files are read by many tasks."""
+    path = scratch_path(spark, "objects")
+    line = F.struct(F.col("l_linenumber").alias("line"), F.concat("l_returnflag", F.lit(' {"}" \\ '), "l_linestatus").alias("status"))
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    records = orders.select(F.to_json(F.struct(F.col("l_orderkey").alias("orderkey"), "lines")).alias("value"))
+    records.mapInArrow(lambda b: _framed(b, ["["], ",", ["]"]), "value string").write.option("lineSep", " ").text(path)
+    found = readers.read_json_objects(spark, path, "orderkey bigint, lines array<struct<line: integer, status: string>>")
+    return found.select("orderkey", F.explode("lines").alias("l")).select("orderkey", "l.line", "l.status")
+
+
 @workload(
     """
     SELECT event_id, CASE WHEN event_type = 'click' THEN user_id END AS clicker, CASE WHEN event_type <> 'click' THEN value END AS amount FROM events
