@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
-from ..operators.columns import AUDIT_COLUMNS, FIRST_CHECKPOINT, LOAD_COLUMN, add_audit, between_checkpoints, drop_stamps, stamp_load
+from ..operators.columns import AUDIT_COLUMNS, FIRST_CHECKPOINT, LOAD_COLUMN, add_audit, between_checkpoints, drop_stamps
 from ..operators.nested import relationalize
 from ..sinks import versions, writers
 from . import calendar
@@ -35,8 +35,8 @@ def load_raw(
     The batch's ``files``, when named, move to ``archive`` once it has landed.
     """
     seen = Observation()
-    landed = add_audit(stamp_load(df, run_stamp), at, by, source).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writers.overwrite_partitions(landed, path, [LOAD_COLUMN], table=table, rebalance=False)
+    landed = add_audit(df.drop(LOAD_COLUMN), at, by, source).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writers.overwrite_partition(landed, path, LOAD_COLUMN, run_stamp, table)
     if archive:
         writers.archive_files(df.sparkSession, files, archive)
     return seen.get.get("rows", 0)

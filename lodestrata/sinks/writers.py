@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.columns import LOAD_COLUMN
 from ..sources.readers import listed_files, read_jdbc, read_parquet_merged
@@ -41,6 +41,22 @@ def overwrite_partitions(
         writer.save(path)
 
 
+def _escaped(value: str) -> str:
+    """A partition value as a folder name, in the way of Spark's own writers."""
+    return "".join(f"%{ord(c):02X}" if c < " " or c in "\"#%'*/:=?\\\x7f{[]^" else c for c in value)
+
+
+def overwrite_partition(df: DataFrame, path: str, key: str, value: str, table: str | None = None) -> None:
+    """Replace the one partition that all rows belong to, as part of a named table when one is given; ``df`` is without its column.
+
+    The folder is written directly: to find the partitions of rows, Spark sorts all of a task before it writes them.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/{key}={_escaped(value)}")
+    if table:
+        named = df.sparkSession.createDataFrame([], StructType([*df.schema.fields, StructField(key, StringType())]))
+        overwrite_partitions(named, path, [key], table=table, rebalance=False)  # no rows: the table's columns and partitions
+
+
 def overwrite(df: DataFrame, path: str, file_format: str = "parquet", **options: str | bool | int) -> None:
     df.write.format(file_format).options(**options).mode("overwrite").save(path)
 

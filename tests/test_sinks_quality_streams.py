@@ -106,6 +106,18 @@ def test_flattened_load_writes_every_table(spark, tmp_path):
     assert rows(spark.table("flat_table_root_a").select("id", "index", "a_val")) == [("1", 0, 1), ("1", 1, 2)]
 
 
+def test_raw_load_writes_without_a_sort(spark, tmp_path, monkeypatch):
+    at, path, plans = F.lit("2026-12-01").cast("timestamp"), str(tmp_path / "raw"), []
+    add = loads.add_audit
+    monkeypatch.setattr(loads, "add_audit", lambda *a: plans.append(add(*a)) or plans[-1])
+    for stamp, rows_in in (("20260101_000000", 5), ("a:b", 3), ("a:b", 2), ("a:b", 2)):
+        assert loads.load_raw(spark.range(rows_in), path, stamp, at, "me", "s", table="raw_unsorted") == rows_in
+    assert LOAD_COLUMN not in plans[0].columns  # so that no task sorts its rows by it
+    got = [("20260101_000000", 5), ("a:b", 2)]
+    assert rows(spark.table("raw_unsorted").groupBy(LOAD_COLUMN).count()) == got
+    assert rows(spark.read.parquet(path).groupBy(LOAD_COLUMN).count()) == got
+
+
 def test_raw_load_and_sql_text(spark, tmp_path):
     at = F.lit("2026-12-01").cast("timestamp")
     (tmp_path / "in.csv").write_text("1\n2\n3\n")
