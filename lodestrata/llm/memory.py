@@ -1,18 +1,3 @@
 """Memory of Python workers, which Spark keeps for later tasks."""
 
-from __future__ import annotations
-
-import ctypes
-import gc
-
-import pyarrow as pa
-
-
-def release() -> None:
-    """Give freed memory back to the system at the end of a task, so that idle workers stay small."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # not a system with the GNU C library
-        pass
+from lodestrata.operators.batches import release  # noqa: F401

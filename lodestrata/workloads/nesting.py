@@ -178,4 +178,4 @@ def _without_accents(text: str) -> str:
 def map_in_batches(spark, sf_dir):
     """Unicode decomposition, for which there is no built-in expression."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return add_column_in_batches(docs, "plain", T.StringType(), lambda batch: batch["text"].map(_without_accents)).drop("text")
+    return add_column_in_batches(docs, "plain", T.StringType(), lambda batch: batch["text"].map(_without_accents), needs=["text"]).drop("text")

@@ -309,3 +309,11 @@ def test_split_malformed(spark, tmp_path):
 def test_column_in_batches(spark):
     got = add_column_in_batches(spark.range(3), "twice", T.LongType(), lambda batch: batch["id"] * 2)
     assert rows(got) == [(0, 0), (1, 2), (2, 4)]
+
+
+def test_batch_functions_get_slices_of_long_texts(spark):
+    texts = spark.range(40, numPartitions=1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("text"), F.when(F.col("id") > 3, F.col("id")).alias("gap"))
+    got = add_column_in_batches(texts, "mb", T.LongType(), lambda b: (b["text"].str.len().sum() >> 20) + 0 * b["text"].str.len(), needs=["text"])
+    seen = got.select("id", "gap", "mb").collect()
+    assert [r.id for r in seen] == list(range(40)) and [r.gap for r in seen] == [None] * 4 + list(range(4, 40))
+    assert max(r.mb for r in seen) <= 4  # MB of text a call has in Python
