@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality import let
-from .tables import may_match
+from .tables import may_match, written
 
 SHINGLE = 5
 #: A lane of 16 bits counts so many hashes without a carry into the next.
@@ -123,21 +123,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     kept. At 0.8 the expected Hamming distance is about 10 of 64 bits; radius 23 is more than four
     standard deviations above.
     """
+    spark = docs.sparkSession
     items = (
         benchmark.select(F.col(item).alias("item"), plain_words(F.col(item_text)).alias("w"))
         .select("item", F.size("w").alias("size"), shingle_hashes(F.col("w")).alias("hashes"))
         .where(F.size("hashes") > 0)
         .select(F.xxhash64("item", "hashes").alias("item_row"), "item", "size", "hashes")
     )
+    # What several steps use is written once: as one plan, each use would bring all steps before it along, and the driver would hold them all.
+    items = written(spark, items, "items")
     item_bag = _bag(items, ["item_row"], "hashes")
-    anchors = _anchors(item_bag, similarity)
+    anchors = written(spark, _anchors(item_bag, similarity), "anchors")
     named = items.select("item_row", "size").join(anchors, "item_row").select("size", "h").distinct().withColumn("anchor", F.lit(True))
     known = items.select("size", F.explode("hashes").alias("h")).distinct().join(named, ["size", "h"], "left").select("size", "h", F.coalesce("anchor", F.lit(False)).alias("anchor"))
+    known = written(spark, known, "shingles")
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
     found = docs.select(digest.alias("k"), let(plain_words(F.col(text)), lambda w: F.struct(F.size(w).alias("length"), shingle_hashes(w).alias("hashes"))).alias("d"))
     hits = found.select("k", "d.length", F.posexplode("d.hashes").alias("at", "h"))
     hits = may_match(hits, known.select("h"), "h").join(known, "h")  # few shingles of the corpus get to the shuffle of this join
-    places = _places(hits, similarity)
+    places = written(spark, _places(hits, similarity), "places")
 
     inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")
     # Grouped by another key as well, copies are combined before the shuffle instead of meeting in one task.
@@ -150,6 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     marked = windows.withColumn("print", simhash(F.col("hashes")))
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius
     pairs = meeting(marked, items, anchors, radius).where(near).select("k", "start", "size", "n_words", "item_row").distinct()
+    pairs = written(spark, pairs, "pairs")
 
     window_bag = _bag(windows, ["k", "start", "size"], "hashes")
     shared = (

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 from lodestrata.llm import decontaminate
+from tests.helpers import plan
 from tests.llm.texts import edited, jaccard, sentence
 
 
@@ -151,3 +152,11 @@ def test_anchors_are_rare_and_enough(spark):
         bag = Counter(bags.where(bags.item_row == row).first()["hashes"])
         total, mine = sum(bag.values()), {x["h"] for x in found if x["item_row"] == row}
         assert mine and total - sum(bag[h] for h in mine) < math.ceil(0.8 * total - 1e-9)
+
+
+def test_the_plan_holds_each_step_once(spark):
+    rows = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
+    items = spark.createDataFrame([(2, "a b c d e f g h")], "item_id long, text string")
+    found = decontaminate.find_leaks(rows, items)
+    assert plan(found).count("Exchange") <= 20  # the driver holds a plan whole; with all steps in one it had more than 50
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 2)]
