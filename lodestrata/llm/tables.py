@@ -9,12 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.operators.joins import FILTER_BITS, may_match  # noqa: F401
 from lodestrata.session import scratch_path
 
 from .wordhash import mix
 
-#: bits of the filter; with it, what is broadcast is 8 MB at every size of input
-FILTER_BITS = 26
 _SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,15 +66,3 @@ def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     hit = lambda at: (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
     first, second = _places(keys)
     return hit(first) & hit(second)
-
-
-def may_match(rows: DataFrame, known: DataFrame, column: str) -> DataFrame:
-    """Rows whose hash, a long, can be one of the known ones: all that are, and few others. For column expressions only.
-
-    The upper ``FILTER_BITS`` bits of the known hashes are broadcast as 64-bit words, at most
-    ``2 ** (FILTER_BITS - 6)`` rows however many are known.
-    """
-    word, bit = F.shiftrightunsigned(column, 64 - FILTER_BITS + 6), f"cast(shiftrightunsigned({column}, {64 - FILTER_BITS}) & 63 AS int)"
-    marks = known.groupBy(word.alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_mask"))
-    found = rows.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.expr(f"shiftright(_mask, {bit}) & 1 = 1"))
-    return found.drop("_word", "_mask")

@@ -62,3 +62,25 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[tuple[Column, str]], ta
     for i, (expression, _) in enumerate(on):
         condition = condition & (expression == side[f"_k{i}"])
     return df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(on))])
+
+
+#: bits of the filter of :func:`may_match`; what is broadcast is at most 2 ** 20 rows at every size of input
+FILTER_BITS = 26
+
+
+def key_marks(known: DataFrame, column: str) -> DataFrame:
+    """The upper ``FILTER_BITS`` bits of known hashes, longs, as 64-bit words: at most ``2 ** (FILTER_BITS - 6)`` rows however many are known."""
+    word, bit = F.shiftrightunsigned(column, 64 - FILTER_BITS + 6), f"cast(shiftrightunsigned({column}, {64 - FILTER_BITS}) & 63 AS int)"
+    return known.groupBy(word.alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_mask"))
+
+
+def among_marks(rows: DataFrame, marks: DataFrame, column: str) -> DataFrame:
+    """Rows whose hash can be one of those marked; the marks are broadcast."""
+    word, bit = F.shiftrightunsigned(column, 64 - FILTER_BITS + 6), f"cast(shiftrightunsigned({column}, {64 - FILTER_BITS}) & 63 AS int)"
+    found = rows.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.expr(f"shiftright(_mask, {bit}) & 1 = 1"))
+    return found.drop("_word", "_mask")
+
+
+def may_match(rows: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    """Rows whose hash, a long, can be one of the known ones: all that are, and few others. For column expressions only."""
+    return among_marks(rows, key_marks(known, column), column)

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date, parse_offset_timestamp
 from ..operators.columns import LOAD_COLUMN, constant
-from ..operators.joins import left_join_many, lookup
+from ..operators.joins import among_marks, key_marks, left_join_many, lookup
 from ..operators.latest import latest_per_key
 from ..operators.nested import find_table
 from ..operators.reshape import attribute_columns
+from ..session import scratch_path
 
 # Codes that select attribute rows, by output column.
 ORGANIZATION_VALUES = {
@@ -246,30 +247,49 @@ def _padded(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()])
 
 
+def _link_marks(owners: DataFrame, link: Column) -> DataFrame:
+    """Marks of the owners' links, written once so that no plan that uses them makes them again."""
+    marks = key_marks(owners.where(link.isNotNull()).select(F.xxhash64(link.cast("string")).alias("_hash")), "_hash")
+    path = scratch_path(owners.sparkSession, "links")
+    marks.write.parquet(path)
+    return owners.sparkSession.read.schema(marks.schema).parquet(path)
+
+
+def _linked(rows: DataFrame, link: Column, marks: DataFrame) -> DataFrame:
+    """Rows whose link can be one of the marked ones; few others stay, and the grouping that follows drops them."""
+    return among_marks(rows.withColumn("_hash", F.xxhash64(link.cast("string"))), marks, "_hash").drop("_hash")
+
+
 def latest_people_from_tables(flat: Flattened, tie_break: Sequence[str]) -> DataFrame:
     """One row per person, of the latest message, with its attributes, marks and originating persons.
 
     Linked tables are not joined but gathered: both sides of a link are put below each other and
     grouped by it, so every table is shuffled once. A link belongs to one array of one message, so groups are as
-    small as arrays, and rows without a link are grouped by their person. Children of older messages meet no person and go.
+    small as arrays, and rows without a link are grouped by their person. Children of older messages meet no person and go;
+    nearly all are left out before they are sorted and shuffled, by filters of fixed size over the links of the latest messages.
     """
     load, values = flat.load(), _inner_values(flat)
+    top = latest_top(flat, tie_break)
+    paths = (WORK, ATTRIBUTES, PREFERENCES, ACCOUNTS)
+    of_latest = top.select(F.explode(F.array(*[top[flat.name(p)].cast("string") for p in paths])).alias("latest_link"))
+    latest = _link_marks(of_latest, F.col("latest_link"))
+    outers = {p: _linked(flat.child(p), F.col("id"), latest) for p in paths}
     attributes = {out: "string" for columns in values.values() for out in columns}
     keys = {"link": "string", **{c: "string" for c in load}, "part": "string"}
 
     inner: list[DataFrame] = []
     for (outer, name), columns in values.items():
         part, path = F.lit(f"{outer}.{name}").alias("part"), f"{outer}.val.{name}"
-        child = flat.child(path).select(F.col("id").alias("link"), *load, part, *[c.alias(out) for out, c in columns.items()])
-        owner = flat.child(outer).select(F.col(flat.name(path)).alias("link"), *load, part, F.col("id").alias("outer")).where("link IS NOT NULL")
+        child = _linked(flat.child(path), F.col("id"), _link_marks(outers[outer], F.col(flat.name(path))))
+        child = child.select(F.col("id").alias("link"), *load, part, *[c.alias(out) for out, c in columns.items()])
+        owner = outers[outer].select(F.col(flat.name(path)).alias("link"), *load, part, F.col("id").alias("outer")).where("link IS NOT NULL")
         inner += [_padded(child, keys | {"outer": "string"} | attributes), _padded(owner, keys | {"outer": "string"} | attributes)]
     met = reduce(DataFrame.unionByName, inner).groupBy(*keys).agg(F.max("outer").alias("outer"), *[F.max(c).alias(c) for c in attributes])
     arrays = met.where("outer IS NOT NULL").select(F.col("outer").alias("link"), *load, F.substring_index("part", ".", 1).alias("part"), *attributes)
 
     fields = {**HEADER_FIELDS, **PERSON_FIELDS}
-    top = latest_top(flat, tie_break)
     person = F.struct(*_top_fields(flat, top, fields)).alias("person")
-    links = F.array(*[F.struct(F.lit(p).alias("part"), top[flat.name(p)].cast("string").alias("link")) for p in (WORK, ATTRIBUTES, PREFERENCES, ACCOUNTS)], F.struct(F.lit("").alias("part"), F.lit(None).cast("string").alias("link")))
+    links = F.array(*[F.struct(F.lit(p).alias("part"), top[flat.name(p)].cast("string").alias("link")) for p in paths], F.struct(F.lit("").alias("part"), F.lit(None).cast("string").alias("link")))
     rooted = top.select(*load, person, F.explode(links).alias("l")).where("l.link IS NOT NULL OR l.part = ''").select(
         F.coalesce("l.link", "person.participant_id").alias("link"),
         *load,
@@ -279,7 +299,7 @@ def latest_people_from_tables(flat: Flattened, tie_break: Sequence[str]) -> Data
         *[F.when(F.col("l.part") == "", F.col(f"person.{c}")).cast("string").alias(c) for c in fields if c != "participant_id"],
     )
     origin = F.struct(F.col(flat.name(f"{ACCOUNTS}.val.{ORIGINATING}")).cast("string").alias("origin")).alias("origin")
-    accounts = flat.child(ACCOUNTS).select(F.col("id").alias("link"), *load, F.lit(ACCOUNTS).alias("part"), origin)
+    accounts = outers[ACCOUNTS].select(F.col("id").alias("link"), *load, F.lit(ACCOUNTS).alias("part"), origin)
     wide = {**keys, "known": "boolean", **{c: "string" for c in fields}, **attributes, "origin": "struct<origin: string>"}
     sides = [_padded(x, wide) for x in (arrays, rooted, accounts)]
     both = reduce(DataFrame.unionByName, sides).groupBy(*keys).agg(

@@ -132,3 +132,10 @@ def test_balances(spark, people, events, from_tables):
     assert shown == [("p", "7", "Seven", "Employee", None, "o"), ("q", None, None, None, None, None)]
     report = reports.summary_report(got, described).collect()
     assert [(r.participant_id, str(r.employee), r.fund_description) for r in report] == [("p", "3.125000000", "Seven")]
+
+
+def test_children_of_other_messages_are_left_out_before_the_shuffle(spark):
+    children = spark.range(20_000).select(F.col("id").cast("string").alias("id"))
+    owners = spark.createDataFrame([("7",), ("19999",), ("no child",), (None,)], "link string")
+    kept = {r.id for r in marts._linked(children, F.col("id"), marts._link_marks(owners, F.col("link"))).collect()}
+    assert {"7", "19999"} <= kept and len(kept) < 10
