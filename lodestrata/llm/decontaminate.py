@@ -143,9 +143,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     hits = may_match(hits, known.select("h"), "h").join(known, "h")  # few shingles of the corpus get to the shuffle of this join
     places = written(spark, _places(hits, similarity), "places")
 
-    inside = docs.select(digest.alias("k"), F.col(text).alias("body")).join(places.select("k").distinct(), "k", "left_semi")
-    # Grouped by another key as well, copies are combined before the shuffle instead of meeting in one task.
-    inside = inside.groupBy("k", F.xxhash64("k").alias("_spread")).agg(F.first("body").alias("body"))
+    spread = F.xxhash64("k").alias("_spread")
+    bodies = docs.select(digest.alias("k"), F.col(text).alias("body")).select("k", "body", spread)
+    # Few texts hold a place, and only they and a few that the filter lets by are shuffled; the join to the places drops the latter.
+    # A semi join here would be pushed below the filter. Grouped by another key as well, copies are combined before the shuffle
+    # instead of meeting in one task.
+    inside = may_match(bodies, places.select(spread), "_spread").groupBy("k", "_spread").agg(F.first("body").alias("body"))
+    inside = written(spark, inside, "inside")
     windows = (
         inside.select("k", shingle_hashes(plain_words(F.col("body"))).alias("all"))
         .join(places, "k")

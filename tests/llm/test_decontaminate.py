@@ -160,3 +160,21 @@ def test_the_plan_holds_each_step_once(spark):
     found = decontaminate.find_leaks(rows, items)
     assert plan(found).count("Exchange") <= 20  # the driver holds a plan whole; with all steps in one it had more than 50
     assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 2)]
+
+
+def test_texts_without_a_place_stay_out_of_the_shuffle(spark, monkeypatch):
+    r = random.Random(13)
+    items = [(i, sentence(r, 30)) for i in range(5)]
+    docs = [(i, " ".join(f"v{i}x{k}" for k in range(20))) for i in range(2_000)] + [(5_000 + i, text) for i, text in items]
+    bodies, plain = [], decontaminate.written
+    monkeypatch.setattr(decontaminate, "written", lambda s, rows, label: [bodies.append(rows) if "body" in rows.columns else None, plain(s, rows, label)][1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as where the keys are too many to broadcast
+    try:
+        got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert {(x["doc_id"], x["item_id"]) for x in got} == {(5_000 + i, i) for i in range(5)}
+        [kept] = bodies
+        above, below = plan(kept).split("BroadcastHashJoin", 1)
+        assert above.count("hashpartitioning(k") == 1 and "hashpartitioning(k" not in below  # filtered before the only shuffle
+        assert 5 <= kept.count() < 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
