@@ -146,8 +146,14 @@ def all_versions(spark: SparkSession, base: str) -> list[DataFrame]:
 
 
 def files_with_keys(rows: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The files that hold a key of the second table, of rows as ``stored_rows`` gives them; only key columns are read."""
-    return rows.select(*names, "_file").join(distinct_keys(keys, names), list(names), "left_semi").select(F.col("_file").alias("file")).distinct()
+    """The files that hold a key of the second table, of rows as ``stored_rows`` gives them; only key columns are read.
+
+    Rows are shuffled and sorted with a hash of their file's path: paths compress so well that tasks sized by
+    what was shuffled would hold many times that in memory. Two paths of one hash only name a file too many.
+    """
+    mark = F.xxhash64("_file").alias("_mark")
+    held = rows.select(*names, mark).join(distinct_keys(keys, names), list(names), "left_semi").select("_mark").distinct()
+    return rows.select(F.col("_file").alias("file"), mark).distinct().join(held, "_mark", "left_semi").select("file")
 
 
 def write_changed(

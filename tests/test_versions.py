@@ -139,3 +139,11 @@ def test_paths_with_odd_values(spark, tmp_path):
     assert rows(versions.current_version(spark, base).select("k", "v", "p")) == [(1, "a", "x y/1:%+"), (2, "B", "O'B"), (3, "c", None), (4, "d", "[z]")]
     with pytest.raises(ValueError, match="column version"):
         loads.load_delete_insert(spark, spark.range(1).withColumn("version", F.lit(1)), str(tmp_path / "n"), ["id"], "1")
+
+
+def test_paths_stay_out_of_the_join_of_keys(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c"), (None, "d")], "k long, _file string")
+    found = versions.files_with_keys(rows, spark.createDataFrame([(2,), (3,), (9,), (None,)], "k long"), ["k"])
+    assert [r.file for r in found.collect()] == ["b"]
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join LeftSemi, (k#", 1)[1]
+    assert "xxhash64(_file#" in joined.split("\n")[1]  # a row carries eight bytes for its file, not the path
