@@ -23,6 +23,15 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, spread(keys)).distinct().select(*keys)
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Each row once; rows are shuffled before they are compared.
+
+    ``distinct`` alone also compares the rows of every task before the shuffle. Where few of them are equal, as after a
+    join on a key that all copies share with many other rows, that keeps all rows the task makes in memory and drops next to none.
+    """
+    return df.repartition(*df.columns).distinct()
+
+
 def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A left outer join that stays splittable when one key holds much of the right side.
 
@@ -31,15 +40,17 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
     Both parts join on a struct of the keys. A struct is never null, so Spark adds no null filter
     to one part only, and the left side is computed and shuffled once for both. Right rows with
-    a null key are left out first, so that no such struct matches.
+    a null key are left out first, so that no such struct matches. The distinct keys are taken
+    before they become a struct, so that Spark still drops outer joins that only add to the right side's values.
     """
     keys = list(keys)
     key = F.struct(*[F.col(k).cast(left.schema[k].dataType) for k in keys]).alias("_key")
     values = [f for f in right.schema.fields if f.name not in keys]
-    many = right.dropna(subset=keys).select(key, *[F.col(f.name) for f in values])
+    known = right.dropna(subset=keys)
+    many = known.select(key, *[F.col(f.name) for f in values])
     keyed = left.select("*", key)
     matched = keyed.join(many, "_key", "inner")
-    alone = keyed.join(distinct_keys(many, ["_key"]), "_key", "left_anti")
+    alone = keyed.join(distinct_keys(known, keys).select(key), "_key", "left_anti")
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in values]
     both = matched.unionByName(alone.select("*", *missing))
     others = [c for c in left.columns if c not in keys]

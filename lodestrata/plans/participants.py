@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import age_in_years, decimal, hash_key, open_end_date, parse_offset_timestamp
 from ..operators.columns import LOAD_COLUMN, constant
-from ..operators.joins import among_marks, key_marks, left_join_many, lookup
+from ..operators.joins import among_marks, distinct_rows, key_marks, left_join_many, lookup
 from ..operators.latest import latest_per_key
 from ..operators.nested import find_table
 from ..operators.reshape import attribute_columns
@@ -584,21 +584,18 @@ def participant_balances(
     rows = lookup(rows, prices, [(F.col("fundid"), "fund_id")], {"price": "_price"})
     rows = lookup(rows, account_groups, [(F.col("accountid"), civilian_account)], {group: "_civilian_group"})
     rows = lookup(rows, account_groups, [(F.col("accountid"), uniformed_account)], {group: "_uniformed_group"})
-    if fund_descriptions is None:
-        rows = rows.withColumn("_fund_desc", constant(None, "string"))
-    else:
+    described = []
+    if fund_descriptions is not None:
         rows = lookup(rows, fund_descriptions, [(F.col("fundid"), "fund_id")], {"fund_description": "_fund_desc"})
-    validity = _validity(as_of, user_id)
-    return rows.select(
+        described = [F.col("_fund_desc").alias("fund_desc")]
+    varying = rows.select(
         "participant_id",
         "global_participant_id",
-        *[c.alias(n) for n, c in validity.items()],
-        constant(None, "string").alias("participant_name"),
         "ssn",
         "fundid",
         "subfundid",
         "accountid",
-        F.col("_fund_desc").alias("fund_desc"),
+        *described,
         decimal("fund_balance_units", 22, 7).alias("fund_balance_units"),
         decimal("_price", 12, 6).alias("price"),
         F.when(F.col("civilian"), F.col("_civilian_group")).cast("string").alias("civilian_group"),
@@ -606,4 +603,14 @@ def participant_balances(
         parse_offset_timestamp("extracted_at").alias("sourcesystemextractiontimestamp"),
         parse_offset_timestamp("event_at").alias("messageTimestamp"),
         "originatingpersoninternalid",
-    ).distinct()
+    )
+    person, fund = ["participant_id", "global_participant_id"], ["ssn", "fundid", "subfundid", "accountid"]
+    rest = [c for c in varying.columns if c not in (*person, *fund, "fund_desc")]
+    return distinct_rows(varying).select(
+        *person,
+        *[c.alias(n) for n, c in _validity(as_of, user_id).items()],
+        constant(None, "string").alias("participant_name"),
+        *fund,
+        F.col("fund_desc") if described else constant(None, "string").alias("fund_desc"),
+        *rest,
+    )

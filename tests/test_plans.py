@@ -91,3 +91,31 @@ def test_gathered_people_equal_joined_people(spark):
     gathered = marts.latest_people_from_tables(flat, tie)
     assert rows(gathered.select(*joined.columns)) == rows(joined) and gathered.count() > 100
     assert gathered.select(F.max(F.size("origins"))).first()[0] == 2
+
+
+@pytest.mark.parametrize("name", ["participant_balances", "participant_balances_nested"])
+def test_rows_are_shuffled_between_their_join_and_their_aggregate(spark, name):
+    """A task that joins by one key does not hold a group for nearly every row it makes."""
+    lines = plan(QUERIES[name](spark, SF_DIR)).splitlines()
+    first = next(i for i, line in enumerate(lines) if "HashAggregate(" in line)
+    above = lines[first : next(i for i, line in enumerate(lines) if i > first and "Join " in line)]
+    last = max(i for i, line in enumerate(above) if "HashAggregate(" in line)
+    assert any("Exchange " in line for line in above[last:])
+
+
+def test_distinct_rows_are_shuffled_once(spark):
+    from lodestrata.operators.joins import distinct_rows
+
+    df = spark.createDataFrame([(1, "a", None), (1, "a", None), (1, None, None), (None, None, None), (None, None, None), (2, "a", "b")], "k int, a string, b string")
+    got = distinct_rows(df)
+    assert shuffles(plan(got)) == 1 and rows(got) == rows(df.distinct()) and len(rows(got)) == 4
+
+
+def test_join_of_many_rows_takes_its_keys_without_the_joins_behind_the_values(spark):
+    from lodestrata.operators.joins import left_join_many
+
+    rows_of = spark.range(9).selectExpr("cast(id % 4 AS string) AS k", "id AS link").join(spark.range(5).selectExpr("id AS link", "id * 2 AS v"), "link", "left")
+    left = spark.createDataFrame([("0",), ("1",), ("x",), (None,)], "k string")
+    got = left_join_many(left, rows_of.select("k", "v"), ["k"])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 1
+    assert rows(got) == rows(left.join(rows_of.select("k", "v"), "k", "left"))
