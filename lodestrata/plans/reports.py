@@ -126,14 +126,17 @@ def summary_report(balances: DataFrame, fund_descriptions: DataFrame) -> DataFra
 
     The report is the distinct union of a pivot by civilian group and one by uniformed group.
     Rows of both pivots with the same person and fund come from the same group here, so one
-    aggregation gives both, and rows that agree are dropped within it.
+    aggregation gives both, and rows that agree are dropped within it. Balances are shuffled before
+    they are summed: where a person's lie scattered, a task that sums first holds a group for nearly
+    every row. A key with many rows costs one task their reading, but only one group.
     """
     keys = ["participant_id", "global_participant_id", "ssn", "fundid"]
     kinds = ("civilian_group", "uniformed_group")
     amount = decimal("fund_balance_units", 22, 7) * decimal("price", 14, 2)
     aggregates = [c for kind in kinds for c in sums_by_value(F.col(kind), SUMMARY_GROUPS, F.col("_amount"), f"{kind}_")]
     present = [F.count(kind).alias(f"{kind}_rows") for kind in kinds]
-    sums = balances.withColumn("_amount", amount).groupBy(*keys).agg(*aggregates, *present)
+    rows = balances.select(*keys, *kinds, amount.alias("_amount"))
+    sums = rows.repartition(*keys).groupBy(*keys).agg(*aggregates, *present)
 
     def pivoted(kind: str) -> Column:
         cells = [decimal(f"{kind}_{out}", 38, 9).alias(out) for out in SUMMARY_GROUPS.values()]

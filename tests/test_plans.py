@@ -93,7 +93,7 @@ def test_gathered_people_equal_joined_people(spark):
     assert gathered.select(F.max(F.size("origins"))).first()[0] == 2
 
 
-@pytest.mark.parametrize("name", ["participant_balances", "participant_balances_nested"])
+@pytest.mark.parametrize("name", ["participant_balances", "participant_balances_nested", "summary_report"])
 def test_rows_are_shuffled_between_their_join_and_their_aggregate(spark, name):
     """A task that joins by one key does not hold a group for nearly every row it makes."""
     lines = plan(QUERIES[name](spark, SF_DIR)).splitlines()
@@ -103,6 +103,10 @@ def test_rows_are_shuffled_between_their_join_and_their_aggregate(spark, name):
     assert any("Exchange " in line for line in above[last:])
 
 
+def test_summary_shuffles_its_balances_once(spark):
+    assert shuffles(plan(QUERIES["summary_report"](spark, SF_DIR))) == 1
+
+
 def test_distinct_rows_are_shuffled_once(spark):
     from lodestrata.operators.joins import distinct_rows
 
